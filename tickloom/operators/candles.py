@@ -60,16 +60,19 @@ def ohlcv(trades: DataFrame, bucket: str | int = "minute") -> DataFrame:
 
 
 def ohlcv_stream(
-    trades: DataFrame, bucket: str | int = "minute", late_by: str = "1 hour"
+    trades: DataFrame, bucket: str | int = "minute", late_by: str | None = "1 hour"
 ) -> DataFrame:
     """The same candles on a stream, for update mode: open candles are sent again as they change.
 
     Groups by the window struct, which keeps the watermark, so that state is dropped once a
-    candle is ``late_by`` behind the newest trade; later trades are not counted.
+    candle is ``late_by`` behind the newest trade; later trades are not counted. Pass None
+    for a stream that already has its watermark on ``trade_time``.
     """
     seconds = seconds_of(bucket)
     order = BucketOrder("trade_time", "trade_id", seconds)
-    timed = trades.select(*CANDLE_INPUT).withWatermark("trade_time", late_by)
+    timed = trades.select(*CANDLE_INPUT)
+    if late_by:
+        timed = timed.withWatermark("trade_time", late_by)
     window = F.window("trade_time", f"{seconds} seconds")
     return _finish(_aggregate(timed, order, window), order, F.col("bucket.start"))
 

@@ -18,7 +18,7 @@ SERVING_SORT = ["symbol", "period_start"]
 
 
 def read_serving(spark: SparkSession, path: str) -> DataFrame:
-    return read_table(spark, path, partitioned(CANDLE, "period_month", "int"))
+    return read_table(spark, path, partitioned(CANDLE, "period_month", "integer"))
 
 
 def publish_candles(

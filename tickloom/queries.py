@@ -30,7 +30,7 @@ from tickloom.streaming.ingest import (
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
-WHALE_USDT = 500
+WHALE_USDT = 100
 SHARDS = 16
 SLICES = 3
 

@@ -10,10 +10,11 @@ from pyspark.sql.types import StructType
 def read_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """The table's rows under a declared schema; no rows where nothing was written yet.
 
-    Only a missing path counts as "nothing yet". Any other failure is raised.
+    Partition columns the schema does not name are left out. Only a missing path counts as
+    "nothing yet". Any other failure is raised.
     """
     try:
-        return spark.read.schema(schema).parquet(path)
+        return spark.read.schema(schema).parquet(path).select(*schema.fieldNames())
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise

@@ -106,10 +106,10 @@ def live_candles(
     shows the last state of each. Trades more than ``late_by`` behind are not counted.
     """
     trades = conform_raw(accepted(check_trades(parse_trades(messages))))
+    trades = trades.withWatermark("trade_time", late_by)
     if drop_replays:
-        trades = trades.withWatermark("trade_time", late_by)
         trades = trades.dropDuplicatesWithinWatermark(TRADE_KEY)
-    candles = ohlcv_stream(trades, bucket, late_by)
+    candles = ohlcv_stream(trades, bucket, late_by=None)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         loaded = F.lit(time.time_ns() // 1_000_000)

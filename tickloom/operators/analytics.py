@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from tickloom.functions.ordering import wide_key
+from tickloom.functions.ordering import BucketOrder
 from tickloom.functions.times import bucket_start, seconds_interval, seconds_of
 from tickloom.operators.candles import summarize_candles
 from tickloom.operators.ingest import with_taker_side
@@ -35,12 +35,22 @@ def exact_sum(amount: Column) -> Column:
 
 
 def current_price(trades: DataFrame) -> DataFrame:
-    """Last price of each symbol by (trade_time, trade_id)."""
-    timed = trades.where(F.col("trade_time").isNotNull()).withColumn(
-        "position", wide_key(F.col("trade_time"), F.col("trade_id"))
+    """Last price of each symbol by (trade_time, trade_id).
+
+    Taken per day first, where the cheap order key applies, then over the days.
+    """
+    order = BucketOrder("trade_time", "trade_id", DAY)
+    timed = trades.where(F.col("trade_time").isNotNull())
+    daily = (
+        order.with_keys(timed.select("trade_id", "symbol", "price", "trade_time"))
+        .groupBy(bucket_start(F.col("trade_time"), DAY).alias("bucket"), "symbol")
+        .agg(
+            *order.last(F.col("price").cast("double"), "close"),
+            F.max("trade_time").alias("trade_time"),
+        )
     )
-    return timed.groupBy("symbol").agg(
-        F.max_by("price", "position").cast("double").alias("price"),
+    return daily.groupBy("symbol").agg(
+        F.max_by(order.pick_last("close", F.col("bucket")), "bucket").alias("price"),
         F.max("trade_time").alias("trade_time"),
     )
 

@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-TRADE_KEY = ["symbol", "trade_id"]
-CANDLE_KEY = ["symbol", "period_start"]
+# The more selective, fixed-width column goes first: sorts then compare 8-byte prefixes
+# that nearly always differ, instead of walking through whole rows of one symbol.
+TRADE_KEY = ["trade_id", "symbol"]
+CANDLE_KEY = ["period_start", "symbol"]
 
 # Version first, then the columns candles need, so that a narrower selection of
 # trades still keeps the same winner.

@@ -24,8 +24,9 @@ def _since(rows: DataFrame, time: str, seconds: int, as_of: Column | None) -> Da
     else:
         start = as_of - seconds_interval(seconds)
     recent = rows.where(F.col(time) > start)
-    if "insert_date" in rows.columns:
-        recent = recent.where(F.col("insert_date") >= F.to_date(start))
+    for day in ("insert_date", "period_date"):
+        if day in rows.columns:
+            recent = recent.where(F.col(day) >= F.to_date(start))
     return recent
 
 

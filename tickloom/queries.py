@@ -7,7 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.functions.times import epoch_ms_to_timestamp, epoch_ms_to_timestamp_seconds
+from tickloom.functions.times import (
+    bucket_start,
+    epoch_ms_to_timestamp,
+    epoch_ms_to_timestamp_seconds,
+)
 from tickloom.operators import analytics, candles, dedup, ingest, placement
 from tickloom.operators.retention import retain
 from tickloom.plans import publish
@@ -328,15 +332,22 @@ def candle_spread(spark, folder):
     return _rounded(analytics.candle_spread(_candles(spark, folder)), "spread", "spread_ratio")
 
 
+def _stats(spark, folder, seconds):
+    raw = _raw(spark, folder)
+    # The newest candle's start, without building candles for it.
+    newest = raw.agg(bucket_start(F.max("trade_time"), "minute")).scalar()
+    recent = analytics.candle_stats(candles.ohlcv(raw), seconds, newest)
+    return _rounded(recent, "change_pct")
+
+
 @query
 def stats_24h(spark, folder):
-    return _rounded(analytics.candle_stats(_candles(spark, folder)), "change_pct")
+    return _stats(spark, folder, analytics.DAY)
 
 
 @query
 def stats_7d(spark, folder):
-    week = analytics.candle_stats(_candles(spark, folder), seconds=7 * analytics.DAY)
-    return _rounded(week, "change_pct")
+    return _stats(spark, folder, 7 * analytics.DAY)
 
 
 @query

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Times are UTC wall clock everywhere.
 RUNTIME_SETTINGS = {"spark.sql.session.timeZone": "UTC"}
@@ -18,6 +18,9 @@ BUILD_SETTINGS = {
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
     ),
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    # Size written files by the advised size, not by the number of idle cores.
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     "spark.ui.enabled": "false",
 }
 
@@ -39,6 +42,27 @@ def build_session(app: str, master: str | None = None, **settings: str) -> Spark
     return configure(builder.getOrCreate())
 
 
+# One shuffle partition per this much input, between the session's setting and the cap.
+SHUFFLE_BYTES = 256 * 1024 * 1024
+MAX_SHUFFLE_PARTITIONS = 20_000
+
+
+def fit_shuffles(rows: DataFrame) -> int:
+    """Raise the session's shuffle partitions to suit the estimated size of ``rows``.
+
+    The fixed default is far too small for a table of many terabytes. Adaptive execution
+    merges what turns out too fine, but it does not add partitions. Never lowers the
+    setting. Batch jobs only: a stream's state keeps the number it started with.
+    """
+    spark = rows.sparkSession
+    size = int(str(rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    current = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    wanted = max(current, min(MAX_SHUFFLE_PARTITIONS, size // SHUFFLE_BYTES))
+    if wanted != current:
+        spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
+    return wanted
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path for an intermediate table, in the folder all executors share.
 

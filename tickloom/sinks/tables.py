@@ -9,15 +9,19 @@ MARKER = "_COMPLETE"
 
 
 def write_partitions(
-    rows: DataFrame, path: str, by: list[str], sort: list[str] | None = None
+    rows: DataFrame,
+    path: str,
+    by: list[str],
+    sort: list[str] | None = None,
+    rebalance: bool = True,
 ) -> None:
     """Replace exactly the partitions that occur in ``rows``.
 
     Rebalancing lets adaptive execution cut a large partition value into several files
-    and pack small ones, so neither one hot day nor many thin ones hurt. Sorted files
-    carry tight min/max statistics for skipping.
+    and pack small ones, so neither one hot day nor many thin ones hurt; rows that come
+    from such files need none. Sorted files carry tight min/max statistics for skipping.
     """
-    placed = rows.hint("rebalance", *by)
+    placed = rows.hint("rebalance", *by) if rebalance else rows
     placed = placed.sortWithinPartitions(*by, *(sort or []))
     (
         placed.write.partitionBy(*by)
@@ -101,7 +105,7 @@ def apply_staged(
     complete = exists(spark, f"{staging}/{MARKER}")
     if complete:
         if partition_values(spark, staging, by[0]):
-            write_partitions(spark.read.parquet(staging), target, by, sort)
+            write_partitions(spark.read.parquet(staging), target, by, sort, rebalance=False)
         where, files = _hadoop_path(spark, f"{staging}/{MARKER}")
         marker = files.open(where)
         for _ in range(marker.readInt()):

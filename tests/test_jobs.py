@@ -1,0 +1,119 @@
+"""The jobs end to end from the command line, and what the written tables look like."""
+
+from pathlib import Path
+
+import pyarrow.parquet as pq
+import pytest
+from conftest import DATA
+from pyspark.sql import functions as F
+
+from tickloom import jobs, session
+from tickloom.operators import analytics, candles
+from tickloom.plans.mart import read_mart
+from tickloom.plans.publish import read_serving
+from tickloom.schema import CANDLE_COLUMNS
+from tickloom.session import fit_shuffles
+from tickloom.sources import events as ev
+from tickloom.streaming.ingest import read_live_candles
+
+
+def same(a, b):
+    b = b.select(*a.columns)
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+@pytest.fixture(scope="module")
+def pipeline(spark, tmp_path_factory):
+    """One run of all jobs over the events table; a folder with everything they wrote."""
+    root = tmp_path_factory.mktemp("pipeline")
+
+    def at(name):
+        return str(root / name)
+
+    def run(*args):
+        jobs.main([str(a) for a in args])
+
+    sent = ev.messages_of(ev.read_events(spark, DATA)).select(
+        "key", "value", "topic",
+        F.lit(0).alias("partition"), F.monotonically_increasing_id().alias("offset"),
+        F.lit(None).cast("timestamp").alias("timestamp"),
+    )
+    sent.unionByName(sent).write.parquet(at("bus"))
+    bus = ("--files", at("bus"))
+    run("ingest", *bus, "--lake", at("lake"), "--quarantine", at("bad"), "--checkpoint", at("c1"))
+    run("realtime", *bus, "--table", at("rt"), "--checkpoint", at("c2"))
+    run("live-candles", *bus, "--table", at("live"), "--checkpoint", at("c3"))
+    load = ("load", "--lake", at("lake"), "--raw", at("raw"), "--checkpoint", at("c4"), "--archive", at("cold"))
+    run(*load)
+    run(*load)
+    refresh = ("refresh", "--raw", at("raw"), "--mart", at("mart"), "--staging", at("stage"))
+    run(*refresh, "--serving", at("serving"))
+    run("compact", "--table", at("raw"), "--staging", at("stage"))
+    run(*refresh, "--serving", at("serving"))
+    run("compact", "--kind", "live-candles", "--table", at("live"), "--staging", at("stage"),
+        "--before", "2024-01-15")
+    run("expire", "--table", at("rt"), "--days", 3, "--as-of", "2024-01-30")
+    return root
+
+
+def test_tables_agree(spark, pipeline):
+    raw = ev.raw_trades_of(ev.read_events(spark, DATA))
+    want = candles.ohlcv(raw)
+    same(read_mart(spark, str(pipeline / "mart")).select(*CANDLE_COLUMNS), want)
+    same(read_serving(spark, str(pipeline / "serving")).select(*CANDLE_COLUMNS), want)
+    same(read_live_candles(spark, str(pipeline / "live")), want)
+    same(spark.read.parquet(str(pipeline / "raw")).select(*raw.columns), raw)  # compacted: no copies
+    days = {p.name for p in (pipeline / "rt").glob("insert_date=*")}
+    assert min(days) == "insert_date=2024-01-27"
+
+
+def test_written_times_carry_statistics(pipeline):
+    """Without them a time filter skips no row group."""
+    for table, column in (("raw", "trade_time"), ("mart", "period_start"), ("rt", "trade_time")):
+        file = next((pipeline / table).rglob("*.parquet"))
+        meta = pq.ParquetFile(file).metadata
+        stats = {
+            meta.row_group(0).column(i).path_in_schema: meta.row_group(0).column(i)
+            for i in range(meta.num_columns)
+        }[column]
+        assert stats.physical_type == "INT64" and stats.statistics.has_min_max
+
+
+def test_time_window_is_pushed_to_the_scan(spark, pipeline):
+    """The newest time is found by a subquery whose value prunes days and row groups."""
+    raw = spark.read.parquet(str(pipeline / "raw"))
+    recent = analytics.volume_by_bucket(raw)
+    assert recent.count() > 0
+    recent.collect()
+    plan = recent._jdf.queryExecution().executedPlan().finalPhysicalPlan()
+
+    def scans(node):
+        if "Scan parquet" in node.nodeName():
+            yield node
+        if "QueryStage" in node.nodeName():
+            yield from scans(node.plan())
+        for i in range(node.children().size()):
+            yield from scans(node.children().apply(i))
+
+    read = [n.metrics().apply("numOutputRows").value() for n in scans(plan)]
+    assert len(read) == 1 and 0 < read[0] <= raw.where("insert_date = '2024-01-30'").count()
+
+
+def test_shuffles_grow_with_the_input(spark, pipeline, monkeypatch):
+    rows = spark.read.parquet(str(pipeline / "raw"))
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    assert fit_shuffles(rows) == int(before)
+    try:
+        monkeypatch.setattr(session, "SHUFFLE_BYTES", 1024)
+        assert int(before) < fit_shuffles(rows) < session.MAX_SHUFFLE_PARTITIONS
+        assert fit_shuffles(rows.where("false")) > int(before)  # never lowered
+        monkeypatch.setattr(session, "SHUFFLE_BYTES", 1)
+        assert fit_shuffles(rows) == session.MAX_SHUFFLE_PARTITIONS
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_every_job_has_a_parser():
+    assert jobs.parser().parse_args(["publish", "--mart", "m", "--serving", "s"]).mart == "m"
+    with pytest.raises(SystemExit):
+        jobs.parser().parse_args(["refresh", "--raw", "r"])

@@ -139,14 +139,10 @@ def conform_raw(trades: DataFrame, keep_millis: bool = True) -> DataFrame:
     """
     to_time = epoch_ms_to_timestamp if keep_millis else epoch_ms_to_timestamp_seconds
     changed = {c: F.col(c).cast(MONEY) for c in MONEY_COLUMNS}
-    changed |= {c: to_time(F.col(c)) for c in TIME_COLUMNS}
-    return trades.select(*(changed.get(c, F.col(c)).alias(c) for c in TRADE_COLUMNS))
+    return trades.withColumns(changed | {c: to_time(F.col(c)) for c in TIME_COLUMNS})
 
 
 def realtime_trades(trades: DataFrame) -> DataFrame:
     """Lake trades to the real-time table: millisecond timestamps and the partition day."""
-    changed = {c: epoch_ms_to_timestamp(F.col(c)) for c in TIME_COLUMNS}
-    return trades.select(
-        *(changed.get(c, F.col(c)).alias(c) for c in TRADE_COLUMNS),
-        F.to_date(changed["trade_time"]).alias("insert_date"),
-    )
+    times = {c: epoch_ms_to_timestamp(F.col(c)) for c in TIME_COLUMNS}
+    return trades.withColumns(times).withColumn("insert_date", F.to_date("trade_time"))

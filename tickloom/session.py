@@ -7,8 +7,12 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Times are UTC wall clock everywhere.
-RUNTIME_SETTINGS = {"spark.sql.session.timeZone": "UTC"}
+RUNTIME_SETTINGS = {
+    # Times are UTC wall clock everywhere.
+    "spark.sql.session.timeZone": "UTC",
+    # The default, INT96, has no min/max statistics, so time filters would skip nothing.
+    "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
+}
 
 # Defaults for sessions we build ourselves; a submitted job's own settings win.
 BUILD_SETTINGS = {

@@ -25,6 +25,7 @@ from tickloom.sinks.tables import with_batch, write_batch
 from tickloom.sources.lake import read_table
 
 LATE_BY = "1 hour"
+SALTS = 16
 
 LIVE_CANDLE = StructType(list(CANDLE.fields)).add("loaded_at", "long")
 LIVE_TABLE = StructType(list(LIVE_CANDLE.fields)).add("period_date", "date").add("batch", "string")
@@ -67,22 +68,45 @@ def ingest_to_lake(
     return _start(checked, write, checkpoint, every, "append")
 
 
+def _salted(messages: DataFrame, salts: int) -> DataFrame:
+    """Number the records 0 .. salts-1 by their place on the bus, the same on every replay."""
+    place = F.xxhash64("partition", "offset")
+    return messages.withColumn("salt", F.pmod(place, F.lit(salts)).cast("int"))
+
+
+def _drop_replays(trades: DataFrame) -> DataFrame:
+    """Drop copies of a trade that come within the watermark's delay.
+
+    A stream cannot merge copies before the shuffle the way a batch does. So copies are
+    first dropped per salt, which spreads a trade sent over and over across many tasks, and
+    then among the few that are left.
+    """
+    return (
+        trades.dropDuplicatesWithinWatermark([*TRADE_KEY, "salt"])
+        .drop("salt")
+        .dropDuplicatesWithinWatermark(TRADE_KEY)
+    )
+
+
 def ingest_realtime(
     messages: DataFrame,
     table: str,
     checkpoint: str,
     every: str | None = None,
     replays_within: str | None = LATE_BY,
+    salts: int = SALTS,
 ) -> StreamingQuery:
     """Continuous projection of bus records into the real-time table.
 
     Copies of a trade that come within ``replays_within`` of each other are dropped on the
     way; a reader that needs the last version of every trade applies ``dedup_trades``.
     """
-    trades = realtime_trades(accepted(check_trades(parse_trades(messages))))
+    parsed = parse_trades(_salted(messages, salts), keep=("salt",))
+    trades = realtime_trades(accepted(check_trades(parsed)))
     if replays_within:
-        trades = trades.withWatermark("trade_time", replays_within)
-        trades = trades.dropDuplicatesWithinWatermark(TRADE_KEY)
+        trades = _drop_replays(trades.withWatermark("trade_time", replays_within))
+    else:
+        trades = trades.drop("salt")
 
     def write(batch: DataFrame, batch_id: int) -> None:
         write_batch(with_batch(batch, batch_id), table, ["insert_date", "batch"])
@@ -98,6 +122,7 @@ def live_candles(
     bucket: str | int = "minute",
     late_by: str = LATE_BY,
     drop_replays: bool = True,
+    salts: int = SALTS,
     files: int = 8,
 ) -> StreamingQuery:
     """Keep candles up to date while trades arrive.
@@ -105,10 +130,10 @@ def live_candles(
     Every batch adds the new state of the candles it changed; :func:`read_live_candles`
     shows the last state of each. Trades more than ``late_by`` behind are not counted.
     """
-    trades = conform_raw(accepted(check_trades(parse_trades(messages))))
-    trades = trades.withWatermark("trade_time", late_by)
+    parsed = parse_trades(_salted(messages, salts), keep=("salt",))
+    trades = conform_raw(accepted(check_trades(parsed))).withWatermark("trade_time", late_by)
     if drop_replays:
-        trades = trades.dropDuplicatesWithinWatermark(TRADE_KEY)
+        trades = _drop_replays(trades)
     candles = ohlcv_stream(trades, bucket, late_by=None)
 
     def write(batch: DataFrame, batch_id: int) -> None:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickloom.functions.times import (
@@ -13,7 +13,7 @@ from tickloom.functions.times import (
     epoch_ms_to_timestamp_seconds,
 )
 from tickloom.operators import analytics, candles, dedup, ingest, placement
-from tickloom.operators.retention import retain
+from tickloom.operators.retention import KEEP_DAYS, retain
 from tickloom.plans import publish
 from tickloom.plans.mart import read_mart, refresh_mart
 from tickloom.plans.upkeep import compact_days
@@ -66,6 +66,12 @@ def _raw(spark: SparkSession, folder: str) -> DataFrame:
     return ev.raw_trades_of(_events(spark, folder))
 
 
+def _recent_raw(spark: SparkSession, folder: str, seconds: int) -> tuple[DataFrame, Column]:
+    """Trades of about the last ``seconds``, and the newest trade's time."""
+    events = _events(spark, folder)
+    return ev.raw_trades_of(ev.recent(events, seconds)), ev.newest_trade_time(events)
+
+
 def _candles(spark: SparkSession, folder: str, bucket: str = "minute") -> DataFrame:
     return candles.ohlcv(_raw(spark, folder), bucket)
 
@@ -167,7 +173,10 @@ def rt_trades(spark, folder):
 
 @query
 def retain_3d(spark, folder):
-    return retain(ingest.realtime_trades(_trades(spark, folder)))
+    events = _events(spark, folder)
+    recent = ev.recent(events, KEEP_DAYS * analytics.DAY)
+    trades = ingest.realtime_trades(ev.trades_of(recent))
+    return retain(trades, ev.newest_trade_time(events))
 
 
 # One row per key
@@ -308,7 +317,8 @@ def current_price(spark, folder):
 
 @query
 def volume_last_hour(spark, folder):
-    return analytics.volume_by_bucket(_raw(spark, folder))
+    recent, newest = _recent_raw(spark, folder, 3600)
+    return analytics.volume_by_bucket(recent, as_of=newest)
 
 
 @query
@@ -323,7 +333,8 @@ def market_pressure(spark, folder):
 
 @query
 def market_pressure_24h(spark, folder):
-    pressure = analytics.market_pressure(_raw(spark, folder), seconds=analytics.DAY)
+    recent, newest = _recent_raw(spark, folder, analytics.DAY)
+    pressure = analytics.market_pressure(recent, analytics.DAY, newest)
     return _rounded(pressure, "imbalance")
 
 
@@ -333,10 +344,9 @@ def candle_spread(spark, folder):
 
 
 def _stats(spark, folder, seconds):
-    raw = _raw(spark, folder)
-    # The newest candle's start, without building candles for it.
-    newest = raw.agg(bucket_start(F.max("trade_time"), "minute")).scalar()
-    recent = analytics.candle_stats(candles.ohlcv(raw), seconds, newest)
+    # A minute more than asked for, as the window ends with the newest candle's start.
+    raw, newest = _recent_raw(spark, folder, seconds + 60)
+    recent = analytics.candle_stats(candles.ohlcv(raw), seconds, bucket_start(newest, "minute"))
     return _rounded(recent, "change_pct")
 
 

@@ -21,6 +21,23 @@ def _number() -> Column:
     return F.get_json_object("props", "$.k").cast("bigint")
 
 
+def newest_trade_time(events: DataFrame) -> Column:
+    """The newest trade time as a scalar subquery that reads one column."""
+    newest = F.unix_millis(F.max("ts").cast("timestamp"))
+    return events.agg(F.timestamp_millis(newest)).scalar()
+
+
+def recent(events: DataFrame, seconds: int) -> DataFrame:
+    """Events of the last ``seconds`` and a little more, by the stored column.
+
+    The time a trade shows is computed from ``ts``, so a filter on it cannot reach the scan;
+    this one can. It is meant to go before the exact filter: the spare second covers the
+    cut to milliseconds and the retention's whole seconds.
+    """
+    start = events.agg(F.max("ts") - F.make_dt_interval(secs=F.lit(seconds + 1))).scalar()
+    return events.where(F.col("ts") >= start)
+
+
 def trades_of(events: DataFrame) -> DataFrame:
     """Events as lake trades (doubles, Unix milliseconds)."""
     quantity = F.col("k").cast("double") / 100

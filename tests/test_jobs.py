@@ -8,13 +8,13 @@ from conftest import DATA
 from pyspark.sql import functions as F
 
 from tickloom import jobs, session
-from tickloom.operators import analytics, candles
+from tickloom.operators import analytics, candles, ingest
 from tickloom.plans.mart import read_mart
 from tickloom.plans.publish import read_serving
 from tickloom.schema import CANDLE_COLUMNS
 from tickloom.session import fit_shuffles
 from tickloom.sources import events as ev
-from tickloom.streaming.ingest import read_live_candles
+from tickloom.streaming.ingest import read_live_candles, read_realtime
 
 
 def same(a, b):
@@ -46,12 +46,14 @@ def pipeline(spark, tmp_path_factory):
     load = ("load", "--lake", at("lake"), "--raw", at("raw"), "--checkpoint", at("c4"), "--archive", at("cold"))
     run(*load)
     run(*load)
+    run("load", "--lake", at("nowhere"), "--raw", at("raw"), "--checkpoint", at("c5"))
     refresh = ("refresh", "--raw", at("raw"), "--mart", at("mart"), "--staging", at("stage"))
     run(*refresh, "--serving", at("serving"))
     run("compact", "--table", at("raw"), "--staging", at("stage"))
     run(*refresh, "--serving", at("serving"))
     run("compact", "--kind", "live-candles", "--table", at("live"), "--staging", at("stage"),
         "--before", "2024-01-15")
+    run("compact", "--kind", "realtime", "--table", at("rt"), "--staging", at("stage"))
     run("expire", "--table", at("rt"), "--days", 3, "--as-of", "2024-01-30")
     return root
 
@@ -63,6 +65,8 @@ def test_tables_agree(spark, pipeline):
     same(read_serving(spark, str(pipeline / "serving")).select(*CANDLE_COLUMNS), want)
     same(read_live_candles(spark, str(pipeline / "live")), want)
     same(spark.read.parquet(str(pipeline / "raw")).select(*raw.columns), raw)  # compacted: no copies
+    recent = ingest.realtime_trades(ev.trades_of(ev.read_events(spark, DATA)))
+    same(read_realtime(spark, str(pipeline / "rt")), recent.where("insert_date >= '2024-01-27'"))
     days = {p.name for p in (pipeline / "rt").glob("insert_date=*")}
     assert min(days) == "insert_date=2024-01-27"
 
@@ -86,6 +90,7 @@ def test_time_window_is_pushed_to_the_scan(spark, pipeline):
     assert recent.count() > 0
     recent.collect()
     plan = recent._jdf.queryExecution().executedPlan().finalPhysicalPlan()
+    assert "GreaterThan(trade_time,ScalarSubquery" in plan.toString()
 
     def scans(node):
         if "Scan parquet" in node.nodeName():

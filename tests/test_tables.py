@@ -86,6 +86,10 @@ def test_retention_counts_whole_seconds(spark):
     for frame in (rows, dated):
         assert retain(frame, F.lit(as_of)).count() == 2
     assert retain(rows, F.lit(START), days=1).count() == 6
+    # without a time of its own it counts from the newest row
+    assert retain(dated, days=1).count() == retain(rows, days=1).count() == 6
+    next_day = rows.selectExpr("trade_time + interval 1 day AS trade_time")
+    assert retain(rows.unionByName(next_day), days=1).count() == 6
 
 
 def test_retention_prunes_partitions(spark, raw, tmp_path):

@@ -9,14 +9,19 @@ from tickloom.operators.ingest import conform_raw, normalize_raw_trades
 from tickloom.plans.mart import read_mart, refresh_mart
 from tickloom.plans.publish import publish_candles
 from tickloom.plans.upkeep import compact_days, expire_days
-from tickloom.schema import CANDLE_COLUMNS, LAKE_TRADE, RAW_TRADE
+from tickloom.schema import CANDLE_COLUMNS, LAKE_TRADE, RAW_TRADE, REALTIME_TRADE
 from tickloom.session import build_session
 from tickloom.sinks.jdbc import append_jdbc
 from tickloom.sources.bus import MAX_OFFSETS, file_stream, kafka_stream
 from tickloom.sources.lake import read_table
 from tickloom.streaming.archive import load_and_archive
-from tickloom.streaming.ingest import LIVE_CANDLE, ingest_realtime, ingest_to_lake, live_candles
-from tickloom.streaming.ingest import merge_live_candles
+from tickloom.streaming.ingest import (
+    LIVE_CANDLE,
+    ingest_realtime,
+    ingest_to_lake,
+    live_candles,
+    merge_live_candles,
+)
 
 
 def _bus(spark, args):
@@ -40,9 +45,13 @@ def _live(spark, args):
 
 
 def _load(spark, args):
-    load_and_archive(
+    query = load_and_archive(
         spark, args.lake, args.raw, args.checkpoint, args.archive, args.max_files
-    ).awaitTermination()
+    )
+    if query is None:
+        print("no lake yet, nothing to load")
+    else:
+        query.awaitTermination()
 
 
 def _refresh(spark, args):
@@ -69,7 +78,8 @@ def _export(spark, args):
 
 def _compact(spark, args):
     kinds = {
-        "trades": {"schema": RAW_TRADE, "sort": ["symbol", "trade_id"]},
+        "raw": {"schema": RAW_TRADE, "sort": ["symbol", "trade_id"]},
+        "realtime": {"schema": REALTIME_TRADE, "sort": ["symbol", "trade_id"]},
         "live-candles": {
             "schema": LIVE_CANDLE, "by": "period_date", "merge": merge_live_candles,
             "sort": ["symbol", "period_start"],
@@ -125,7 +135,7 @@ def parser() -> argparse.ArgumentParser:
     export.add_argument("--load-id", type=int)
     export.add_argument("--option", action="append", default=[], help="key=value for the connector")
     compact = job("compact", _compact, "table", "staging", help="merge small files and versions")
-    compact.add_argument("--kind", choices=["trades", "live-candles"], default="trades")
+    compact.add_argument("--kind", choices=["raw", "realtime", "live-candles"], default="raw")
     compact.add_argument("--before", type=date.fromisoformat)
     expire = job("expire", _expire, "table", help="drop expired days", days=3)
     expire.add_argument("--as-of", type=datetime.fromisoformat)

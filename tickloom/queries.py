@@ -69,7 +69,8 @@ def _raw(spark: SparkSession, folder: str) -> DataFrame:
 def _recent_raw(spark: SparkSession, folder: str, seconds: int) -> tuple[DataFrame, Column]:
     """Trades of about the last ``seconds``, and the newest trade's time."""
     events = _events(spark, folder)
-    return ev.raw_trades_of(ev.recent(events, seconds)), ev.newest_trade_time(events)
+    newest = ev.newest_trade_time(events)
+    return ev.raw_trades_of(ev.recent(events, newest, seconds)), newest
 
 
 def _candles(spark: SparkSession, folder: str, bucket: str = "minute") -> DataFrame:
@@ -174,9 +175,9 @@ def rt_trades(spark, folder):
 @query
 def retain_3d(spark, folder):
     events = _events(spark, folder)
-    recent = ev.recent(events, KEEP_DAYS * analytics.DAY)
-    trades = ingest.realtime_trades(ev.trades_of(recent))
-    return retain(trades, ev.newest_trade_time(events))
+    newest = ev.newest_trade_time(events)
+    recent = ev.recent(events, newest, KEEP_DAYS * analytics.DAY)
+    return retain(ingest.realtime_trades(ev.trades_of(recent)), newest)
 
 
 # One row per key

@@ -36,7 +36,7 @@ RAW_TRADE = T.StructType(
     ]
 )
 
-# The real-time table keeps doubles and millisecond timestamps, and adds its partition day.
+# The real-time table keeps doubles and millisecond timestamps; insert_date partitions it.
 REALTIME_TRADE = T.StructType(
     [
         T.StructField("trade_id", T.LongType()),
@@ -47,7 +47,6 @@ REALTIME_TRADE = T.StructType(
         T.StructField("trade_time", T.TimestampType()),
         T.StructField("event_time", T.TimestampType()),
         T.StructField("is_buyer_maker", T.BooleanType()),
-        T.StructField("insert_date", T.DateType()),
     ]
 )
 

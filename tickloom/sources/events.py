@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tickloom.functions.times import seconds_interval
 from tickloom.operators.ingest import conform_raw, encode_trades
 from tickloom.schema import TRADE_COLUMNS
 
@@ -22,20 +23,20 @@ def _number() -> Column:
 
 
 def newest_trade_time(events: DataFrame) -> Column:
-    """The newest trade time as a scalar subquery that reads one column."""
+    """The newest trade time, fetched from one column, as a literal."""
     newest = F.unix_millis(F.max("ts").cast("timestamp"))
-    return events.agg(F.timestamp_millis(newest)).scalar()
+    return F.timestamp_millis(F.lit(events.agg(newest).first()[0]))
 
 
-def recent(events: DataFrame, seconds: int) -> DataFrame:
-    """Events of the last ``seconds`` and a little more, by the stored column.
+def recent(events: DataFrame, newest: Column, seconds: int) -> DataFrame:
+    """Events of the last ``seconds`` before ``newest`` and one second more, by the stored column.
 
     The time a trade shows is computed from ``ts``, so a filter on it cannot reach the scan;
     this one can. It is meant to go before the exact filter: the spare second covers the
     cut to milliseconds and the retention's whole seconds.
     """
-    start = events.agg(F.max("ts") - F.make_dt_interval(secs=F.lit(seconds + 1))).scalar()
-    return events.where(F.col("ts") >= start)
+    start = newest - seconds_interval(seconds + 1)
+    return events.where(F.col("ts") >= start.cast("timestamp_ntz"))
 
 
 def trades_of(events: DataFrame) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -19,8 +20,8 @@ def load_and_archive(
     archive: str | None = None,
     max_files: int | None = None,
     keep_millis: bool = True,
-) -> StreamingQuery:
-    """Load every lake file once, then stop.
+) -> StreamingQuery | None:
+    """Load every lake file once, then stop. None where there is no lake yet.
 
     The checkpoint remembers which files were loaded, so load and move need not be one
     step: a file that was loaded but not yet moved is not loaded again, and one that
@@ -33,9 +34,13 @@ def load_and_archive(
         reader = reader.option("maxFilesPerTrigger", max_files)
     if archive:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
-    trades = conform_raw(reader.parquet(lake), keep_millis).withColumn(
-        "insert_date", F.to_date("trade_time")
-    )
+    try:
+        found = reader.parquet(lake)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+    trades = conform_raw(found, keep_millis).withColumn("insert_date", F.to_date("trade_time"))
 
     def write(batch: DataFrame, batch_id: int) -> None:
         write_batch(with_batch(batch, batch_id), raw, ["insert_date", "batch"])

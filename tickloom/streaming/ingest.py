@@ -10,7 +10,13 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from tickloom.operators.candles import ohlcv_stream
-from tickloom.operators.dedup import CANDLE_KEY, TRADE_KEY, dedup_candles, latest_per_key
+from tickloom.operators.dedup import (
+    CANDLE_KEY,
+    TRADE_KEY,
+    dedup_candles,
+    dedup_trades,
+    latest_per_key,
+)
 from tickloom.operators.ingest import (
     accepted,
     check_trades,
@@ -20,9 +26,9 @@ from tickloom.operators.ingest import (
     realtime_trades,
 )
 from tickloom.operators.placement import with_period_date
-from tickloom.schema import CANDLE, CANDLE_COLUMNS
+from tickloom.schema import CANDLE, CANDLE_COLUMNS, REALTIME_TRADE
 from tickloom.sinks.tables import with_batch, write_batch
-from tickloom.sources.lake import read_table
+from tickloom.sources.lake import partitioned, read_table
 
 LATE_BY = "1 hour"
 SALTS = 16
@@ -114,6 +120,11 @@ def ingest_realtime(
     return _start(trades, write, checkpoint, every, "append")
 
 
+def read_realtime(spark: SparkSession, table: str) -> DataFrame:
+    """The real-time trades, with only the last version of each."""
+    return dedup_trades(read_table(spark, table, partitioned(REALTIME_TRADE, "insert_date")))
+
+
 def live_candles(
     messages: DataFrame,
     table: str,

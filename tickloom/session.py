@@ -23,8 +23,6 @@ BUILD_SETTINGS = {
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
     ),
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
-    # Size written files by the advised size, not by the number of idle cores.
-    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     "spark.ui.enabled": "false",
 }
 

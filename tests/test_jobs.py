@@ -9,10 +9,10 @@ from pyspark.sql import functions as F
 
 from tickloom import jobs, session
 from tickloom.operators import analytics, candles, ingest
-from tickloom.plans.mart import read_mart
+from tickloom.plans.mart import read_mart, read_raw
 from tickloom.plans.publish import read_serving
-from tickloom.schema import CANDLE_COLUMNS
-from tickloom.session import fit_shuffles
+from tickloom.schema import CANDLE, CANDLE_COLUMNS
+from tickloom.session import fitted_shuffles, shuffle_partitions_for
 from tickloom.sources import events as ev
 from tickloom.streaming.ingest import read_live_candles, read_realtime
 
@@ -105,17 +105,22 @@ def test_time_window_is_pushed_to_the_scan(spark, pipeline):
 
 
 def test_shuffles_grow_with_the_input(spark, pipeline, monkeypatch):
+    def setting():
+        return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
     rows = spark.read.parquet(str(pipeline / "raw"))
-    before = spark.conf.get("spark.sql.shuffle.partitions")
-    assert fit_shuffles(rows) == int(before)
-    try:
-        monkeypatch.setattr(session, "SHUFFLE_BYTES", 1024)
-        assert int(before) < fit_shuffles(rows) < session.MAX_SHUFFLE_PARTITIONS
-        assert fit_shuffles(rows.where("false")) > int(before)  # never lowered
-        monkeypatch.setattr(session, "SHUFFLE_BYTES", 1)
-        assert fit_shuffles(rows) == session.MAX_SHUFFLE_PARTITIONS
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", before)
+    before = setting()
+    assert shuffle_partitions_for(rows) == before  # never lowered
+    monkeypatch.setattr(session, "SHUFFLE_BYTES", 1024)
+    assert before < shuffle_partitions_for(rows) < session.MAX_SHUFFLE_PARTITIONS
+    with fitted_shuffles(rows) as wanted:
+        assert setting() == wanted > before
+    assert setting() == before
+    monkeypatch.setattr(session, "SHUFFLE_BYTES", 1)
+    assert shuffle_partitions_for(rows) == session.MAX_SHUFFLE_PARTITIONS
+    # a table not written yet, and rows of unknown size, change nothing
+    for unknown in (read_raw(spark, "/nowhere/at/all"), spark.createDataFrame([], CANDLE)):
+        assert shuffle_partitions_for(unknown) == before
 
 
 def test_every_job_has_a_parser():

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tickloom.operators.candles import REBUILD_TAIL_SECONDS, candles_from
 from tickloom.operators.placement import with_period_date
 from tickloom.schema import CANDLE, CANDLE_COLUMNS, RAW_TRADE
-from tickloom.session import fit_shuffles
+from tickloom.session import fitted_shuffles
 from tickloom.sinks.tables import apply_staged, partition_values, stage
 from tickloom.sources.lake import partitioned, read_table
 
@@ -76,13 +76,13 @@ def refresh_mart(
     cutoff = mart_cutoff(spark, mart_path)
     start = F.lit(cutoff)
     raw = read_raw(spark, raw_path)
-    fit_shuffles(raw.where(F.col("insert_date") >= F.lit(cutoff.date())))
     fresh = candles_from(raw, start, bucket, dedup)
     if cutoff > EPOCH:
         same_day = read_mart(spark, mart_path).where(
             (F.col("period_date") == F.lit(cutoff.date())) & (F.col("period_start") < start)
         )
         fresh = fresh.unionByName(same_day.select(*CANDLE_COLUMNS))
-    stage(with_period_date(fresh), staging_path, MART_BY)
+    with fitted_shuffles(raw.where(F.col("insert_date") >= F.lit(cutoff.date()))):
+        stage(with_period_date(fresh), staging_path, MART_BY)
     apply_staged(spark, staging_path, mart_path, MART_BY, MART_SORT)
     return cutoff

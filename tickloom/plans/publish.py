@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tickloom.operators.placement import with_month
 from tickloom.plans.mart import read_mart
 from tickloom.schema import CANDLE, CANDLE_COLUMNS
-from tickloom.session import fit_shuffles
+from tickloom.session import fitted_shuffles
 from tickloom.sinks.tables import write_partitions
 from tickloom.sources.lake import partitioned, read_table
 
@@ -35,7 +35,6 @@ def publish_candles(
     if since is not None:
         first_day = since.date().replace(day=1)
         candles = candles.where(F.col("period_date") >= F.lit(first_day))
-    fit_shuffles(candles)
-    write_partitions(
-        with_month(candles.select(*CANDLE_COLUMNS)), serving_path, SERVING_BY, SERVING_SORT
-    )
+    monthly = with_month(candles.select(*CANDLE_COLUMNS))
+    with fitted_shuffles(candles):
+        write_partitions(monthly, serving_path, SERVING_BY, SERVING_SORT)

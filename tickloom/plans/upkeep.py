@@ -11,7 +11,7 @@ from pyspark.sql.types import StructType
 
 from tickloom.operators.dedup import dedup_trades
 from tickloom.operators.retention import KEEP_DAYS
-from tickloom.session import fit_shuffles
+from tickloom.session import fitted_shuffles
 from tickloom.sinks.tables import apply_staged, delete, partition_values, stage
 
 MERGED = "merged"
@@ -52,10 +52,12 @@ def compact_days(
     folders = [f"{path}/{by}={day}/batch={b}" for day, batches in found.items() for b in batches]
     table = StructType(list(schema.fields)).add(by, "date")
     rows = spark.read.schema(table).option("basePath", path).parquet(*folders)
-    fit_shuffles(rows)
-    stage(merge(rows).withColumn("batch", F.lit(MERGED)), staging, layout, drop=[
+    merged = merge(rows).withColumn("batch", F.lit(MERGED))
+    drop = [
         f"{by}={day}/batch={b}" for day, batches in found.items() for b in batches if b != MERGED
-    ])
+    ]
+    with fitted_shuffles(rows):
+        stage(merged, staging, layout, drop)
     apply_staged(spark, staging, path, layout, sort)
     return list(found)
 

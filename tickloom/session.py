@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -49,20 +51,31 @@ SHUFFLE_BYTES = 256 * 1024 * 1024
 MAX_SHUFFLE_PARTITIONS = 20_000
 
 
-def fit_shuffles(rows: DataFrame) -> int:
-    """Raise the session's shuffle partitions to suit the estimated size of ``rows``.
+def shuffle_partitions_for(rows: DataFrame) -> int:
+    """Shuffle partitions that suit the estimated size of ``rows``; never below the setting."""
+    conf = rows.sparkSession.conf
+    current = int(conf.get("spark.sql.shuffle.partitions"))
+    size = int(str(rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    if size >= int(conf.get("spark.sql.defaultSizeInBytes", str(2**63 - 1))):
+        return current  # not an estimate, but Spark's word for "unknown"
+    return max(current, min(MAX_SHUFFLE_PARTITIONS, size // SHUFFLE_BYTES))
+
+
+@contextmanager
+def fitted_shuffles(rows: DataFrame) -> Iterator[int]:
+    """Run batch work on ``rows`` with as many shuffle partitions as their size calls for.
 
     The fixed default is far too small for a table of many terabytes. Adaptive execution
-    merges what turns out too fine, but it does not add partitions. Never lowers the
-    setting. Batch jobs only: a stream's state keeps the number it started with.
+    merges what turns out too fine, but it does not add partitions.
     """
-    spark = rows.sparkSession
-    size = int(str(rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    current = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    wanted = max(current, min(MAX_SHUFFLE_PARTITIONS, size // SHUFFLE_BYTES))
-    if wanted != current:
-        spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
-    return wanted
+    conf = rows.sparkSession.conf
+    before = conf.get("spark.sql.shuffle.partitions")
+    wanted = shuffle_partitions_for(rows)
+    conf.set("spark.sql.shuffle.partitions", str(wanted))
+    try:
+        yield wanted
+    finally:
+        conf.set("spark.sql.shuffle.partitions", before)
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

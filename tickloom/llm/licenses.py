@@ -66,7 +66,6 @@ class Scanner:
     def __init__(self, templates: dict[str, str], cues: str):
         self.cue = re.compile(cues, re.IGNORECASE)
         self.words = {k: [_plain(w) for w in _WORD.findall(v)] for k, v in templates.items()}
-        self.reach = max(map(len, self.words.values()))
         self.alone = zstandard.ZstdCompressor(level=19)
         self.given = {
             k: zstandard.ZstdCompressor(
@@ -78,24 +77,30 @@ class Scanner:
             for k, v in self.words.items()
         }
 
-    def reductions(self, block: list[str]) -> list[tuple[float, str]]:
-        """How much smaller each template makes the block, largest first."""
-        data = " ".join(block).encode()
-        size = len(self.alone.compress(data))
-        return sorted(((1 - len(c.compress(data)) / size, k) for k, c in self.given.items()), key=lambda x: (-x[0], x[1]))
+    def reductions(self, words: list[str], at: int) -> list[tuple[float, str]]:
+        """How much smaller each template makes the block around word ``at``, largest first. The
+        block reaches as far as the template is long, so that a short notice fills its part."""
+        alone: dict[int, tuple[bytes, int]] = {}
+        found = []
+        for name, template in self.words.items():
+            reach = len(template)
+            if reach not in alone:
+                data = " ".join(words[max(0, at - reach) : at + reach]).encode()
+                alone[reach] = data, len(self.alone.compress(data))
+            data, size = alone[reach]
+            found.append((1 - len(self.given[name].compress(data)) / size, name))
+        return sorted(found, key=lambda x: (-x[0], x[1]))
 
     def _best(self, words: list[str], at: int):
-        a = max(0, at - self.reach)
-        block = words[a : at + self.reach + 1]
         found = []
-        for gain, name in self.reductions(block)[:RANKED]:
+        for gain, name in self.reductions(words, at)[:RANKED]:
             if gain < LEAST_REDUCTION:
                 break
             template = self.words[name]
-            near = max(0, at - a - len(template))
-            span = differences(template, block[near : at - a + len(template)])
+            start = max(0, at - len(template))
+            span = differences(template, words[start : at + len(template)])
             if span:
-                first, last, missing, extra = span[0] + a + near, span[1] + a + near, *span[2:]
+                first, last, missing, extra = span[0] + start, span[1] + start, *span[2:]
                 if len(missing) + len(extra) <= MOST_CHANGED * len(template) and first <= at <= last:
                     found.append((len(missing) + len(extra), -gain, name, first, last, gain, missing, extra))
         return min(found, default=None, key=lambda x: x[:3])

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.llm import words
-from tickloom.llm.text import shuffles, stored
+from tickloom.llm.text import even_keys, shuffles, stored
 
 FREQUENT = 32_768
 BUCKETS = 4_096
@@ -247,14 +247,14 @@ def _to_shards(shards):
                 batch = whole.slice(a, b - a)
                 hashes, bounds = _joined(batch.column(1), np.uint64)
                 row = np.repeat(np.arange(batch.num_rows), np.diff(bounds)).astype(np.uint16)
-                shard = (_bucket(hashes) % shards).astype(np.uint16)
-                order = np.argsort(shard, kind="stable")
+                shard = ((hashes >> np.uint64(36)) % np.uint64(len(shards))).astype(np.uint32)
+                order = np.argsort(shard.astype(np.uint16) if len(shards) <= 65536 else shard, kind="stable")
                 hashes, row, shard = hashes[order], row[order], shard[order]
                 uid, held = batch.column(0).to_numpy(), np.asarray(batch.column(2))
                 cuts = np.append(np.flatnonzero(np.diff(shard.astype(int), prepend=-1)), len(shard))
                 for a, b in itertools.pairwise(cuts):
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array([int(shard[a])], pa.int64()), pa.array([int(uid[0])], pa.int64()),
+                        [pa.array([shards[shard[a]]], pa.int64()), pa.array([int(uid[0])], pa.int64()),
                          pa.array([np.packbits(held).tobytes()], pa.binary()),
                          pa.array([row[a:b].tobytes()], pa.binary()), pa.array([hashes[a:b].tobytes()], pa.binary())],
                         ["shard", "uid", "held", "row", "hash"],
@@ -280,6 +280,16 @@ def _counted(table: pa.Table) -> pa.Table:
     return pa.table({k: pa.array(x, t) for (k, t), x in zip(kinds, zip(*out, strict=True), strict=True)})
 
 
+def _distinct(batches):
+    """(bucket, n): a task's sums of the shards' distinct words."""
+    total = np.zeros(BUCKETS, np.int64)
+    for batch in batches:
+        for bucket, n in zip(batch.column(0), batch.column(1), strict=True):
+            total[np.frombuffer(bucket.as_buffer(), np.uint16)] += np.frombuffer(n.as_buffer(), np.uint32)
+    used = np.flatnonzero(total)
+    yield pa.RecordBatch.from_pydict({"bucket": used, "n": total[used]})
+
+
 def _word_sums(table: pa.Table) -> pa.Table:
     """(uid, known, logs): known rare words and the sum of log10(c + 1) per text."""
     uid, n = [], []
@@ -353,14 +363,15 @@ def score_texts(
     for _ in range(rounds if total else 0):
         model = _trained(training, model, unigram)
 
-    shards = min(BUCKETS, 8 * shuffles(docs.sparkSession))
+    shards = even_keys(docs.sparkSession, shuffles(docs.sparkSession))
     packed = coded.select("uid", "rare", "held_out").mapInArrow(
         _to_shards(shards), "shard long, uid long, held binary, row binary, hash binary"
     )
     back = stored(packed.groupBy("shard").applyInArrow(_counted, "home long, uid long, row binary, n binary"), "counted")
     distinct = np.zeros(BUCKETS, np.int64)
-    for r in back.where("home < 0").select("row", "n").collect():  # each bucket once
-        distinct[np.frombuffer(r["row"], np.uint16)] = np.frombuffer(r["n"], np.uint32)
+    found = back.where("home < 0").select("row", "n").mapInArrow(_distinct, "bucket long, n long")
+    for r in found.groupBy("bucket").agg(F.sum("n").alias("n")).collect():  # at most BUCKETS rows
+        distinct[r["bucket"]] = r["n"]
     vocabulary = int((counts[: len(known)] > 0).sum() + distinct.sum())
     inside = np.concatenate((np.zeros(len(known)), -np.log10(counts[len(known) :] + distinct + 1.0)))
     sums = back.where("home >= 0").groupBy("home").applyInArrow(_word_sums, "uid long, known long, logs double")

@@ -25,13 +25,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.llm import words
-from tickloom.llm.text import shuffles
+from tickloom.llm.text import even_keys, shuffles
 from tickloom.session import scratch_path
 
 WINDOW = 35
-HOMES = 8  # per shuffle partition; so are shards
+HOMES = 8  # per shuffle partition
 
-_PACKED = "shard int, runs array<long>, hash binary, row binary, low binary, high binary"
+_PACKED = "shard long, runs array<long>, hash binary, row binary, low binary, high binary"
 _FOUND = "home long, place binary, word binary"
 
 
@@ -84,18 +84,18 @@ def _runs(home: np.ndarray, place: np.ndarray) -> np.ndarray:
 
 
 def _packed(runs, hashes, row, word, shards, kind):
-    """Rows of _PACKED: what goes to each shard, in the order of the texts. The shard comes from
-    the hash's high bits, the fingerprint from its low ones."""
-    shard = ((hashes >> np.uint64(40)) % np.uint64(shards)).astype(np.uint32)
-    order = np.argsort(shard.astype(np.uint16) if shards <= 65536 else shard, kind="stable")
+    """Rows of _PACKED: what goes to each shard (their keys), in the order of the texts. The shard
+    comes from the hash's high bits, the fingerprint from its low ones."""
+    shard = ((hashes >> np.uint64(40)) % np.uint64(len(shards))).astype(np.uint32)
+    order = np.argsort(shard.astype(np.uint16) if len(shards) <= 65536 else shard, kind="stable")
     shard, hashes, row, word = shard[order], hashes[order].astype(kind), row[order].astype(np.uint16), word[order]
     low, high = word.astype(np.uint16), (word >> 16).astype(np.uint16)
-    bounds = np.append(np.flatnonzero(np.diff(shard, prepend=shards + 1)), len(shard))
+    bounds = np.append(np.flatnonzero(np.diff(shard, prepend=len(shards) + 1)), len(shard))
     runs = runs.ravel().tolist()
     for a, b in itertools.pairwise(bounds):
         parts = [[x[a:b].tobytes()] for x in (hashes, row, low, high)]
         yield pa.RecordBatch.from_arrays(
-            [pa.array([int(shard[a])], pa.int32()), pa.array([runs], pa.list_(pa.int64())), *(pa.array(x, pa.binary()) for x in parts)],
+            [pa.array([shards[shard[a]]], pa.int64()), pa.array([runs], pa.list_(pa.int64())), *(pa.array(x, pa.binary()) for x in parts)],
             ["shard", "runs", "hash", "row", "low", "high"],
         )
 
@@ -235,7 +235,7 @@ def _candidates(window, shards):
                             at.append(use)
                 if hashes:
                     out += _packed(runs, *map(np.concatenate, (hashes, rows, at)), shards, np.uint64)
-        schema = pa.schema([("shard", pa.int32()), ("runs", pa.list_(pa.int64())), *((x, pa.binary()) for x in ("hash", "row", "low", "high"))])
+        schema = pa.schema([("shard", pa.int64()), ("runs", pa.list_(pa.int64())), *((x, pa.binary()) for x in ("hash", "row", "low", "high"))])
         return pa.Table.from_batches(out, schema)
 
     return run
@@ -288,7 +288,7 @@ def repeated_passages(docs: DataFrame, window: int = WINDOW, texts: bool = True)
     if window < 2:
         raise ValueError("a window has two words or more")
     parts = shuffles(docs.sparkSession)
-    shards = HOMES * parts
+    shards = even_keys(docs.sparkSession, parts)
     docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     once = _distinct_texts(docs, parts)
     packed = once.mapInArrow(_probes(window, shards), _PACKED)

@@ -35,3 +35,15 @@ def stored(rows: DataFrame, label: str) -> DataFrame:
 
 def shuffles(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def even_keys(spark: SparkSession, parts: int) -> list[int]:
+    """One key for each of ``parts`` shuffle partitions, in their order, so that data dealt out by
+    these keys is spread evenly, one key to a partition."""
+    tries = 32 * parts
+    while True:
+        place = F.pmod(F.hash("id"), F.lit(parts))
+        rows = spark.range(tries).groupBy(place.alias("place")).agg(F.min("id").alias("key")).collect()
+        if len(rows) == parts:
+            return [r["key"] for r in sorted(rows, key=lambda r: r["place"])]
+        tries *= 2

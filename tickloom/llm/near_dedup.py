@@ -5,8 +5,11 @@ pairs. Two texts are candidates if at least ``MATCHES`` of ``COORDINATES`` value
 they share a pair among the ``COORDINATES - MATCHES + 1`` rarest of either: frequent values
 (boilerplate) are skipped, and a text whose values are mostly its own is not posted at all.
 A list is not expanded into pairs: each member meets the list's hub, another one in each
-list, which is enough to join a group of any size. Members of a list that are still in
-different components afterwards are all compared. Every link is confirmed on full sets.
+list, which is enough to join nearly all of a group of any size. Lists whose members are
+still in different components are then looked at on full sets: a text with more than a
+quarter of its shingles in no other text of such lists can have no link and goes; those
+left are compared with the other components of their lists, all of them. Every link is
+confirmed on full sets.
 
 A pair of similarity 0.75 agrees in 48 of 64 values on average and falls below 34 once in
 20,000 times; more similar pairs less often still.
@@ -77,8 +80,8 @@ def _sign(size):
 def _sets(size):
     def run(batches):
         for batch in batches:
-            found = [x.view(np.int64).tobytes() for x in shingle_sets(batch.column(1), size)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], ["id", "shingles"])
+            found = [x.view(np.int64) for x in shingle_sets(batch.column(1), size)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, _LISTS)], ["id", "shingles"])
 
     return run
 
@@ -88,11 +91,11 @@ def _confirm(percent):
         for batch in batches:
             good = []
             for x, y in zip(batch.column(2), batch.column(3), strict=True):
-                x, y = (np.frombuffer(z.as_buffer(), np.int64) for z in (x, y))
-                both = np.concatenate((x, y))
+                both = np.concatenate((x.values.to_numpy(), y.values.to_numpy()))
+                total = len(both)
                 both.sort()
                 shared = int((both[1:] == both[:-1]).sum())
-                good.append(100 * shared >= percent * (len(x) + len(y) - shared))
+                good.append(100 * shared >= percent * (total - shared))
             kept = batch.filter(pa.array(good, pa.bool_()))
             yield pa.RecordBatch.from_arrays([kept.column(0), kept.column(1)], ["a", "b"])
 
@@ -113,9 +116,9 @@ def _posted(reps: DataFrame, matches: int) -> DataFrame:
 
 
 def _hub_pairs(posted: DataFrame) -> DataFrame:
-    hubs = posted.groupBy("key").agg(
-        F.min(F.struct(F.xxhash64("id", "key").alias("order"), "id")).alias("h"), F.count("*").alias("n")
-    ).where("n > 1").select("key", F.col("h.id").alias("hub"))
+    hubs = posted.groupBy("key").agg(F.min(F.struct(F.xxhash64("id", "key").alias("order"), "id")).alias("h")).select(
+        "key", F.col("h.id").alias("hub")
+    )
     return _pairs(posted.join(hubs, "key").select(F.col("id").alias("x"), F.col("hub").alias("y")))
 
 
@@ -131,24 +134,39 @@ def _collided(pairs: DataFrame, reps: DataFrame, matches: int) -> DataFrame:
     return pairs.join(one, "a").join(two, "b").select("a", "b", hits.alias("hits")).where(F.col("hits") >= matches)
 
 
-def _confirmed(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
-    """The pairs (stored) whose full shingle sets are similar enough."""
-    wanted = pairs.select(F.col("a").alias("id")).unionAll(pairs.select(F.col("b").alias("id"))).distinct()
-    texts = docs.join(wanted, docs["doc_id"] == wanted["id"], "left_semi")
-    sets = stored(texts.mapInArrow(_sets(size), "id long, shingles binary").dropDuplicates(["id"]), "sets")
+def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose full shingle sets are similar enough, written."""
     one = sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa"))
     two = sets.select(F.col("id").alias("b"), F.col("shingles").alias("sb"))
-    both = pairs.select("a", "b").join(one, "a").join(two, "b").select("a", "b", "sa", "sb")
-    return both.mapInArrow(_confirm(percent), "a long, b long")
+    both = stored(pairs.select("a", "b"), "pairs").join(one, "a").join(two, "b").select("a", "b", "sa", "sb")
+    return stored(both.mapInArrow(_confirm(percent), "a long, b long"), "links")
+
+
+def _apart(pairs: DataFrame, found: DataFrame) -> DataFrame:
+    """The pairs (a, b) that are not in one component yet."""
+    comp = lambda name: found.select(F.col("id").alias(name), F.col("component").alias("c" + name))
+    both = pairs.join(comp("a"), "a", "left").join(comp("b"), "b", "left")
+    return both.where("coalesce(ca, a) != coalesce(cb, b)").select("a", "b")
 
 
-def _still_apart(posted: DataFrame, found: DataFrame) -> DataFrame:
-    """All pairs of members of one list that are in different components."""
+def _still_apart(posted: DataFrame, found: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """All pairs of members of one list that are in different components, but for texts that
+    cannot have a link: too many of their shingles are in no other text that shares a list."""
     at = posted.join(found.withColumnRenamed("component", "c"), "id", "left").withColumn("c", F.coalesce("c", "id"))
     mixed = at.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("key")
-    left = at.join(mixed, "key").select("key", F.col("id").alias("x"), F.col("c").alias("cx"))
-    right = left.select("key", F.col("x").alias("y"), F.col("cx").alias("cy"))
-    return _pairs(left.join(right, "key").where("cx < cy").select("x", "y"))
+    at = stored(at.join(mixed, "key"), "apart")
+    some = sets.join(at.select("id").distinct(), "id", "left_semi")
+    alone = (
+        some.select("id", F.explode("shingles").alias("shingle"))
+        .groupBy("shingle").agg(F.count("*").alias("n"), F.min("id").alias("id")).where("n = 1")
+        .groupBy("id").agg(F.count("*").alias("alone"))
+    )
+    size = F.size("shingles")
+    able = some.join(alone, "id", "left").where(100 * (size - F.coalesce("alone", F.lit(0))) >= percent * size)
+    left = at.join(able.select("id", size.alias("n")), "id").select("key", F.col("id").alias("x"), F.col("c").alias("cx"), F.col("n").alias("nx"))
+    right = left.select("key", F.col("x").alias("y"), F.col("cx").alias("cy"), F.col("nx").alias("ny"))
+    near = (100 * F.least("nx", "ny") >= percent * F.greatest("nx", "ny")) & (F.col("cx") < F.col("cy"))
+    return _pairs(left.join(right, "key").where(near).select("x", "y"))
 
 
 def near_duplicates(
@@ -175,20 +193,21 @@ def near_duplicates(
         "classes",
     )
     reps = classes.select("id", "keys")
-    posted = stored(_posted(reps, matches), "posted")
+    posted = _posted(reps, matches)
+    lists = posted.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
+    posted = stored(posted.join(lists, "key"), "posted")
     tried = stored(_collided(_hub_pairs(posted), reps, matches), "tried")
-    # each text first meets the hub it agrees with most
+    listed = posted.select("id").distinct()
+    texts = docs.join(listed, docs["doc_id"] == listed["id"], "left_semi").mapInArrow(_sets(size), "id long, shingles array<long>")
+    sets = stored(texts.dropDuplicates(["id"]), "sets")
+    # each text first meets the hub it agrees with most, then the others where that was not enough
     ends = tried.select(F.col("a").alias("x"), "a", "b", "hits").unionAll(tried.select(F.col("b").alias("x"), "a", "b", "hits"))
     best = ends.groupBy("x").agg(F.max(F.struct("hits", "a", "b")).alias("t")).select("t.a", "t.b").distinct()
-    links = stored(_confirmed(stored(best, "best"), docs, size, percent), "links")
+    links = _confirmed(best, sets, percent)
+    links = links.unionAll(_confirmed(_apart(tried.select("a", "b"), components(links)), sets, percent))
     found = components(links)
-    comp = lambda name: found.select(F.col("id").alias(name), F.col("component").alias("c" + name))
-    rest = _collided(_still_apart(posted, found).join(best, ["a", "b"], "left_anti"), reps, matches)
-    rest = rest.select("a", "b").unionAll(
-        tried.join(best, ["a", "b"], "left_anti").join(comp("a"), "a", "left").join(comp("b"), "b", "left")
-        .where("coalesce(ca, a) != coalesce(cb, b)").select("a", "b")
-    ).distinct()
-    more = stored(_confirmed(stored(rest, "rest"), docs, size, percent), "links")
+    rest = _still_apart(posted, found, sets, percent).join(tried, ["a", "b"], "left_anti")
+    more = _confirmed(_collided(rest, reps, matches), sets, percent)
     found = components(links.unionAll(more)).withColumnRenamed("id", "rep")
     # one row per class carries its component to all copies
     named = classes.withColumnRenamed("id", "rep").drop("keys").join(found, "rep", "left")

@@ -1,0 +1,24 @@
+import pyarrow.parquet as pq
+import pytest
+from cases import SHAPE, hard_rows
+
+
+@pytest.fixture(scope="module")
+def hard(spark):
+    return spark.createDataFrame(hard_rows(), SHAPE)
+
+
+@pytest.fixture(scope="module")
+def empty(spark):
+    return spark.createDataFrame([], SHAPE)
+
+
+@pytest.fixture(scope="session")
+def small():
+    """The texts of the smallest data set, as rows of a dict."""
+    return pq.read_table("/root/testdata/sf0.001/documents.parquet").to_pylist()
+
+
+@pytest.fixture(scope="session")
+def folder():
+    return "/root/testdata/sf0.001"

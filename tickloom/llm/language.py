@@ -57,7 +57,8 @@ def _count(batches):
             np.add.at(count, triples, 1)
     for lang, count in totals.items():
         used = np.flatnonzero(count)
-        yield pa.RecordBatch.from_pydict({"lang": [lang] * len(used), "code": used, "n": count[used]})
+        if len(used):
+            yield pa.RecordBatch.from_pydict({"lang": [lang] * len(used), "code": used, "n": count[used]})
 
 
 def bit_weights(counts: np.ndarray, code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

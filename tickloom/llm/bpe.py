@@ -30,9 +30,10 @@ PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?
 SUFFIXES = ("s", "t", "re", "ve", "m", "ll", "d")
 
 BLOCK_BYTES = 1 << 21
-REMEMBERED = 400_000
-AT_ONCE = 50_000
-DECODED_AT_ONCE = 500_000
+REMEMBERED = 300_000
+AT_ONCE = 20_000
+ROWS = 1_000
+DECODED_AT_ONCE = 300_000
 _BASE = np.uint64(0xC2B2AE3D27D4EB4F)
 _SPACE, _LETTER, _NUMBER, _OTHER = range(4)
 
@@ -113,7 +114,7 @@ class Coder:
         self.rank = {base64.b64decode(token): int(rank) for token, rank in pairs}
         self.byte = np.array([self.rank[bytes([b])] for b in range(256)], np.int64)
         self.kinds, self.memory = _kinds(), {}
-        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "500MB"})
+        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "250MB"})
         rows = []
         for token, rank in self.rank.items():
             for cut in range(1, len(token)):
@@ -227,9 +228,11 @@ class Coder:
 def _encode(ranks):
     def run(batches):
         coder = Coder.of(ranks)
-        for batch in batches:
-            ids = list(coder.encode(batch.column(batch.schema.get_field_index("text"))))
-            yield batch.append_column("token_ids", pa.array(ids, pa.binary()))
+        for whole in batches:
+            for at in range(0, whole.num_rows, ROWS):
+                batch = whole.slice(at, ROWS)
+                ids = list(coder.encode(batch.column(batch.schema.get_field_index("text"))))
+                yield batch.append_column("token_ids", pa.array(ids, pa.binary()))
 
     return run
 
@@ -270,8 +273,8 @@ def _round_trip(ranks):
     def run(batches):
         coder = Coder.of(ranks)
         for batch in batches:
-            for at in range(0, batch.num_rows, 1000):
-                part = batch.slice(at, 1000)
+            for at in range(0, batch.num_rows, ROWS):
+                part = batch.slice(at, ROWS)
                 ids = list(coder.encode(part.column(1)))
                 sha = [[hashlib.sha256(x).hexdigest() for x in xs] for xs in (ids, coder.decode(ids))]
                 yield pa.RecordBatch.from_arrays(

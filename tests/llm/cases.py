@@ -1,7 +1,10 @@
-"""Rows and word rules that the tests share."""
+"""Rows, word rules and fixtures that the tests share."""
 
 import re
 
+import pyarrow.parquet as pq
+import pytest
+
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 SHAPE = "doc_id long, text string, lang string, source string, slot int, copies string, key string"
@@ -41,3 +44,24 @@ def hard_rows():
     rows += [rows[0], rows[4], (None, BASE, None, None, None, None, None), (None, None, "en", "s1", 1, "c", "k")]
     rows.append((20, None, None, None, None, None, None))
     return rows
+
+
+@pytest.fixture(scope="module")
+def hard(spark):
+    return spark.createDataFrame(hard_rows(), SHAPE)
+
+
+@pytest.fixture(scope="module")
+def empty(spark):
+    return spark.createDataFrame([], SHAPE)
+
+
+@pytest.fixture(scope="session")
+def small():
+    """The texts of the smallest data set, as rows of a dict."""
+    return pq.read_table("/root/testdata/sf0.001/documents.parquet").to_pylist()
+
+
+@pytest.fixture(scope="session")
+def folder():
+    return "/root/testdata/sf0.001"

@@ -5,7 +5,7 @@ import math
 from collections import Counter, defaultdict
 
 import pytest
-from cases import LOWER, hard_rows, words
+from cases import LOWER, empty, folder, hard, hard_rows, small, words  # noqa: F401
 
 from tickloom.llm.components import components
 from tickloom.llm.exact_dedup import exact_duplicates, without_duplicates

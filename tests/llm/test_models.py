@@ -12,7 +12,7 @@ import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 import tiktoken
-from cases import hard_rows, words
+from cases import empty, hard, hard_rows, words  # noqa: F401
 from pyspark.sql import functions as F
 
 from tickloom.llm import bpe, hmm, language, quality

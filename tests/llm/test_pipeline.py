@@ -6,7 +6,7 @@ import corpus_pipeline
 import duckdb
 import pandas as pd
 import pytest
-from cases import words
+from cases import folder, words  # noqa: F401
 
 from tickloom.llm.oracle import ORACLE
 from tickloom.llm.queries import QUERIES, table

@@ -112,12 +112,12 @@ def test_shuffles_grow_with_the_input(spark, pipeline, monkeypatch):
     before = setting()
     assert shuffle_partitions_for(rows) == before  # never lowered
     monkeypatch.setattr(session, "SHUFFLE_BYTES", 1024)
-    assert before < shuffle_partitions_for(rows) < session.MAX_SHUFFLE_PARTITIONS
+    assert before < shuffle_partitions_for(rows)
     with fitted_shuffles(rows) as wanted:
         assert setting() == wanted > before
     assert setting() == before
     monkeypatch.setattr(session, "SHUFFLE_BYTES", 1)
-    assert shuffle_partitions_for(rows) == session.MAX_SHUFFLE_PARTITIONS
+    assert shuffle_partitions_for(rows) > 20_000  # no upper bound
     # a table not written yet, and rows of unknown size, change nothing
     for unknown in (read_raw(spark, "/nowhere/at/all"), spark.createDataFrame([], CANDLE)):
         assert shuffle_partitions_for(unknown) == before

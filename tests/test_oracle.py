@@ -11,6 +11,8 @@ from conftest import DATA
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
 from __spark_entry__ import entry, oracle_sql, queries  # noqa: E402
+from tickloom.oracle import ORACLE  # noqa: E402
+from tickloom.queries import QUERIES  # noqa: E402
 
 
 def _canonical(frame: pd.DataFrame) -> list[tuple]:
@@ -34,7 +36,7 @@ def duck():
     connection.close()
 
 
-@pytest.mark.parametrize("name", sorted(oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLE))
 def test_equals_sql(spark, duck, name):
     ours = queries()[name](spark, DATA).toArrow()
     theirs = duck.execute(oracle_sql()[name]).to_arrow_table()
@@ -48,15 +50,9 @@ def test_equals_sql(spark, duck, name):
         ).replace("large_", "").replace("timestamp[us, tz=UTC]", "timestamp[us]"), field.name
 
 
-def test_only_queries_have_sql():
-    assert set(oracle_sql()) <= set(queries())
-    assert set(queries()) - set(oracle_sql()) == {"placement_hash"}
-
-
-def test_placement_is_complete_and_in_range(spark):
-    placed = queries()["placement_hash"](spark, DATA)
-    assert placed.count() == queries()["ohlcv_1m"](spark, DATA).count()
-    assert {r.shard for r in placed.select("shard").distinct().collect()} == set(range(16))
+def test_all_queries_have_sql():
+    assert QUERIES.keys() == ORACLE.keys()
+    assert QUERIES.keys() <= queries().keys() and ORACLE.keys() <= oracle_sql().keys()
 
 
 def test_entry(spark):

@@ -23,6 +23,7 @@ from tickloom.streaming.ingest import (
     live_candles,
     merge_live_candles,
     read_live_candles,
+    read_realtime,
 )
 
 START = datetime(2024, 1, 1)
@@ -92,18 +93,25 @@ def test_replayed_batch_replaces_itself(spark, bus, tmp_path):
     assert read_table(spark, lake, LAKE_TRADE).count() == 2
 
 
-def test_realtime_drops_replays_within_and_across_files(spark, bus, tmp_path):
-    table, state = str(tmp_path / "rt"), str(tmp_path / "state")
-    bus(message(1, 0), message(1, 0), message(2, 1))
-    drain(ingest_realtime(file_stream(spark, bus.path, 1), table, state))
-    bus(message(2, 1), message(3, 2))
+def test_realtime_shows_each_trade_once_however_late(spark, bus, tmp_path):
+    table, state, bad = (str(tmp_path / n) for n in ("rt", "state", "bad"))
+
+    def run():
+        return drain(ingest_realtime(file_stream(spark, bus.path, 1), table, state, quarantine=bad))
+
+    far = 6000 * 365 * 24 * 60
+    bus(message(1, 0), message(1, 0), message(2, 1), message(9, far), message(None, 0), "nope")
+    run()
+    bus(message(2, 1), message(3, 2), message(4, -3 * 24 * 60), message(5, 3, 1e15, "s" * 30))
     bus(message(1, 0), message(1, 0, symbol="b"))
-    drain(ingest_realtime(file_stream(spark, bus.path, 1), table, state))
-    rows = spark.read.parquet(table)
-    assert sorted((r.symbol, r.trade_id) for r in rows.collect()) == [
-        ("a", 1), ("a", 2), ("a", 3), ("b", 1),
+    run()
+    rows = read_realtime(spark, table).collect()
+    assert sorted((r.symbol, r.trade_id) for r in rows) == [
+        ("a", 1), ("a", 2), ("a", 3), ("a", 4), ("b", 1), ("s" * 30, 5),
     ]
-    assert {str(r.insert_date) for r in rows.collect()} == {"2024-01-01"}
+    assert {str(r.insert_date) for r in rows} == {"2024-01-01", "2023-12-29"}
+    reasons = sorted(r.reject_reason for r in spark.read.parquet(bad).collect())
+    assert reasons == ["no_trade_id", "no_trade_id", "time_in_future"]
 
 
 def test_live_candles_follow_trades_and_drop_late_ones(spark, bus, tmp_path):

@@ -36,7 +36,8 @@ def _lake(spark, args):
 
 
 def _realtime(spark, args):
-    ingest_realtime(_bus(spark, args), args.table, args.checkpoint, args.every).awaitTermination()
+    messages = _bus(spark, args)
+    ingest_realtime(messages, args.table, args.checkpoint, args.every, args.quarantine).awaitTermination()
 
 
 def _live(spark, args):
@@ -121,7 +122,7 @@ def parser() -> argparse.ArgumentParser:
         sub.add_argument("--every", help="pause between batches; without it the job drains and stops")
 
     from_bus(job("ingest", _lake, "lake", "quarantine", "checkpoint", help="bus to lake"))
-    from_bus(job("realtime", _realtime, "table", "checkpoint", help="bus to real-time trades"))
+    from_bus(job("realtime", _realtime, "table", "checkpoint", help="bus to real-time trades", quarantine=None))
     from_bus(
         job("live-candles", _live, "table", "checkpoint", help="bus to live candles", bucket="minute")
     )

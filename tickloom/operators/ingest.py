@@ -51,10 +51,11 @@ def normalize_raw_trades(messages: DataFrame, value: str = "value") -> DataFrame
 
 
 def encode_trades(trades: DataFrame, topic: str = "trades") -> DataFrame:
-    """Trades to bus records: JSON in UTF-8 as ``value``, the symbol as ``key``."""
+    """Trades to bus records: JSON in UTF-8 as ``value``. No key, so that the bus spreads one busy
+    symbol over all its partitions."""
     body = F.to_json(F.struct(*TRADE_COLUMNS), {"ignoreNullFields": "false"})
     return trades.select(
-        F.col("symbol").cast("binary").alias("key"),
+        F.lit(None).cast("binary").alias("key"),
         body.cast("binary").alias("value"),
         F.lit(topic).alias("topic"),
     )
@@ -118,6 +119,22 @@ def reject_reason() -> Column:
     )
 
 
+def realtime_reject_reason(arrived: Column, ahead_seconds: int) -> Column:
+    """Why the real-time table cannot show a parsed trade; NULL for a good one.
+
+    That table holds doubles and text of any length, so only an id and a possible time are asked
+    for. A time more than ``ahead_seconds`` after the message's arrival comes from a wrong clock.
+    """
+    latest = F.unix_millis(arrived) + ahead_seconds * 1000
+    return (
+        F.when(F.col("trade_id").isNull(), "no_trade_id")
+        .when(F.col("trade_time").isNull(), "no_trade_time")
+        .when(~is_calendar_ms(F.col("trade_time")), "time_out_of_range")
+        .when(~is_calendar_ms(F.col("event_time")), "time_out_of_range")
+        .when(F.col("trade_time") > latest, "time_in_future")
+    )
+
+
 def check_trades(trades: DataFrame) -> DataFrame:
     """Add ``reject_reason``, NULL for rows that may go on."""
     return trades.withColumn("reject_reason", reject_reason())

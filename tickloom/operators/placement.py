@@ -1,4 +1,4 @@
-"""Where rows go: shard numbers, spreading over tasks, partition columns."""
+"""Partition columns of the tables."""
 
 from __future__ import annotations
 
@@ -8,21 +8,6 @@ from pyspark.sql import functions as F
 from tickloom.functions.times import month_number
 
 
-def with_shard(rows: DataFrame, keys: list[str], shards: int, name: str = "shard") -> DataFrame:
-    """Number the shard (0 .. shards-1) a key belongs to, by a stable hash."""
-    return rows.withColumn(name, F.pmod(F.xxhash64(*keys), F.lit(shards)).cast("int"))
-
-
-def place_by_key(rows: DataFrame, keys: list[str], parts: int | None = None) -> DataFrame:
-    """Rows of one key together. Meant for keys of bounded size, such as a candle's or a trade's."""
-    return rows.repartition(parts, *keys) if parts else rows.repartition(*keys)
-
-
-def place_evenly(rows: DataFrame, parts: int) -> DataFrame:
-    """Spread rows without regard to any key."""
-    return rows.repartition(parts)
-
-
 def with_month(candles: DataFrame, name: str = "period_month") -> DataFrame:
     return candles.withColumn(name, month_number(F.col("period_start")))
 

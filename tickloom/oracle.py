@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tickloom.queries import WHALE_USDT
+from tickloom.queries import FAR_AHEAD_MS, WHALE_USDT
 
 # t: events as lake trades; r: as warehouse trades.
 _TRADES = """
@@ -139,7 +139,7 @@ FROM t"""
 
 ORACLE: dict[str, str] = {
     "normalize_raw_trades": _LAKE_ROWS,
-    "encode_trades": _with(f"SELECT symbol AS key, 'trades' AS topic, {_LAKE} FROM t"),
+    "encode_trades": _with(f"SELECT CAST(NULL AS VARCHAR) AS key, 'trades' AS topic, {_LAKE} FROM t"),
     "parse_trades": _LAKE_ROWS,
     "parse_trades_struct": _LAKE_ROWS,
     "parse_faulty_trades": _with(f"SELECT source_id, {_LAKE} FROM f", _FAULTY),
@@ -220,8 +220,6 @@ UNION ALL {_candles('(SELECT * FROM r WHERE trade_time >= (SELECT cutoff FROM cu
     "publish_candles": _with(
         "SELECT *, CAST(strftime(period_start, '%Y%m') AS INTEGER) AS period_month FROM c", _C
     ),
-    "placement_by_key": """SELECT l_orderkey, count(*) AS lines, 1 AS shards, true AS in_range
-FROM lineitem GROUP BY l_orderkey""",
     "current_price": _with(
         """SELECT symbol, CAST(arg_max(price, (trade_time, trade_id)) AS DOUBLE) AS price,
        max(trade_time) AS trade_time FROM r GROUP BY symbol"""
@@ -264,6 +262,15 @@ FROM c WINDOW w AS (PARTITION BY symbol ORDER BY period_start
         f"SELECT {_LAKE}, reject_reason FROM f WHERE reject_reason IS NOT NULL", _FAULTY
     ),
     "stream_rt_trades": _RT_ROWS,
+    "stream_rt_hard": _with(
+        f"""SELECT trade_id, symbol, price, make_timestamp(trade_time * 1000) AS trade_time,
+       CAST(NULL AS VARCHAR) AS reason FROM t
+UNION ALL SELECT trade_id + 10000000, symbol, price,
+       make_timestamp((trade_time + {FAR_AHEAD_MS}) * 1000), 'time_in_future'
+FROM t WHERE trade_id % 100 = 1
+UNION ALL SELECT trade_id + 20000000, repeat(symbol, 10), 1e15, make_timestamp(trade_time * 1000), NULL
+FROM t WHERE trade_id % 100 = 2"""
+    ),
     "stream_live_candles": _with(_candles("r")),
     "stream_archive_load": _RAW_ROWS,
     "compact_raw": _with("SELECT *, 'merged' AS batch FROM r"),

@@ -29,14 +29,15 @@ from tickloom.streaming.ingest import (
     ingest_to_lake,
     live_candles,
     read_live_candles,
+    read_realtime,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 WHALE_USDT = 100
-SHARDS = 16
 SLICES = 3
+FAR_AHEAD_MS = 200_000_000_000_000
 
 
 def query(f: Query) -> Query:
@@ -286,28 +287,6 @@ def publish_candles(spark, folder):
     return publish.read_serving(spark, serving)
 
 
-@query
-def placement_hash(spark, folder):
-    keyed = _candles(spark, folder).select("symbol", "period_start")
-    return placement.with_shard(keyed, ["symbol", "period_start"], SHARDS)
-
-
-@query
-def placement_by_key(spark, folder):
-    """Every row of a key is on one shard, and every shard number is in range."""
-    keys = ["l_orderkey"]
-    lines = spark.read.parquet(f"{folder}/lineitem.parquet").select(*keys)
-    return (
-        placement.with_shard(lines, keys, SHARDS)
-        .groupBy(*keys)
-        .agg(
-            F.count("*").alias("lines"),
-            (F.max("shard") - F.min("shard") + 1).alias("shards"),
-            ((F.min("shard") >= 0) & (F.max("shard") < SHARDS)).alias("in_range"),
-        )
-    )
-
-
 # Dashboards
 
 
@@ -424,7 +403,34 @@ def stream_quarantine(spark, folder):
 def stream_rt_trades(spark, folder):
     table, state = scratch_path(spark, "rt"), scratch_path(spark, "checkpoint")
     _drained(spark, folder, lambda m: ingest_realtime(m, table, state), copies=2)
-    return spark.read.parquet(table).drop("batch")
+    return read_realtime(spark, table)
+
+
+def _hard_messages(events: DataFrame) -> DataFrame:
+    """Trades as messages, some with a clock far ahead, some with numbers and names that a
+    warehouse could not hold."""
+    trades = ev.trades_of(events)
+    ahead = trades.where("trade_id % 100 = 1").withColumns(
+        {"trade_id": F.col("trade_id") + 10_000_000, "trade_time": F.col("trade_time") + FAR_AHEAD_MS}
+    )
+    large = trades.where("trade_id % 100 = 2").withColumns(
+        {"trade_id": F.col("trade_id") + 20_000_000, "symbol": F.repeat("symbol", F.lit(10)), "price": F.lit(1e15)}
+    )
+    return ingest.encode_trades(trades.unionByName(ahead).unionByName(large))
+
+
+@query
+def stream_rt_hard(spark, folder):
+    """The newest days are sent first, every message twice; those far ahead are in quarantine."""
+    table, bad, state = (scratch_path(spark, n) for n in ("rt", "quarantine", "checkpoint"))
+    bus = scratch_path(spark, "bus")
+    for part in reversed(list(_slices(spark, folder))):
+        for _ in range(2):
+            _send(_hard_messages(part), bus)
+        ingest_realtime(file_stream(spark, bus), table, state, quarantine=bad).awaitTermination()
+    good = read_realtime(spark, table).select("trade_id", "symbol", "price", "trade_time").withColumn("reason", F.lit(None).cast("string"))
+    rejected = spark.read.parquet(bad).select("trade_id", "symbol", "price", F.timestamp_millis("trade_time").alias("trade_time"), F.col("reject_reason").alias("reason"))
+    return good.unionByName(rejected.distinct())
 
 
 @query

@@ -46,9 +46,8 @@ def build_session(app: str, master: str | None = None, **settings: str) -> Spark
     return configure(builder.getOrCreate())
 
 
-# One shuffle partition per this much input, between the session's setting and the cap.
+# One shuffle partition per this much input, but never fewer than the session's setting.
 SHUFFLE_BYTES = 256 * 1024 * 1024
-MAX_SHUFFLE_PARTITIONS = 20_000
 
 
 def shuffle_partitions_for(rows: DataFrame) -> int:
@@ -58,7 +57,7 @@ def shuffle_partitions_for(rows: DataFrame) -> int:
     size = int(str(rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     if size >= int(conf.get("spark.sql.defaultSizeInBytes", str(2**63 - 1))):
         return current  # not an estimate, but Spark's word for "unknown"
-    return max(current, min(MAX_SHUFFLE_PARTITIONS, size // SHUFFLE_BYTES))
+    return max(current, size // SHUFFLE_BYTES)
 
 
 @contextmanager

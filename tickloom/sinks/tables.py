@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 MARKER = "_COMPLETE"
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
 
 def write_partitions(
@@ -69,12 +70,14 @@ def delete(spark: SparkSession, path: str) -> None:
 
 
 def partition_values(spark: SparkSession, path: str, name: str) -> list[str]:
-    """Values of a table's topmost partition column, in order, from one directory listing."""
+    """Values of a table's topmost partition column, in order, from one directory listing. Rows
+    without a value are in a folder of their own, which is left out."""
     where, files = _hadoop_path(spark, path)
     if not files.exists(where):
         return []
     names = [status.getPath().getName() for status in files.listStatus(where)]
-    return sorted(n.split("=", 1)[1] for n in names if n.startswith(f"{name}="))
+    values = (n.split("=", 1)[1] for n in names if n.startswith(f"{name}="))
+    return sorted(v for v in values if v != NULL_PARTITION)
 
 
 def stage(rows: DataFrame, staging: str, by: list[str], drop: list[str] | None = None) -> None:

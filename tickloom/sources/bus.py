@@ -7,6 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from tickloom.schema import BUS_MESSAGE
 
 MAX_OFFSETS = 50_000
+# By default the file source skips files a week older than the newest it has seen.
+ANY_AGE = "36500d"
 
 
 def kafka_stream(
@@ -37,7 +39,7 @@ def file_stream(
     spark: SparkSession, path: str, max_files: int | None = None, **options: str
 ) -> DataFrame:
     """Parquet files with the columns of a Kafka record, in the order they were written."""
-    reader = spark.readStream.schema(BUS_MESSAGE)
+    reader = spark.readStream.schema(BUS_MESSAGE).option("maxFileAge", ANY_AGE)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     return reader.options(**options).parquet(path)

@@ -10,6 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tickloom.operators.ingest import conform_raw
 from tickloom.schema import LAKE_TRADE
 from tickloom.sinks.tables import with_batch, write_batch
+from tickloom.sources.bus import ANY_AGE
 
 
 def load_and_archive(
@@ -30,6 +31,7 @@ def load_and_archive(
     run. ``lake`` may be a glob and must not lie above ``archive``.
     """
     reader = spark.readStream.schema(LAKE_TRADE).option("recursiveFileLookup", "true")
+    reader = reader.option("maxFileAge", ANY_AGE)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     if archive:

@@ -23,6 +23,7 @@ from tickloom.operators.ingest import (
     conform_raw,
     parse_trades,
     quarantined,
+    realtime_reject_reason,
     realtime_trades,
 )
 from tickloom.operators.placement import with_period_date
@@ -31,6 +32,7 @@ from tickloom.sinks.tables import with_batch, write_batch
 from tickloom.sources.lake import partitioned, read_table
 
 LATE_BY = "1 hour"
+AHEAD_SECONDS = 86_400
 SALTS = 16
 
 LIVE_CANDLE = StructType(list(CANDLE.fields)).add("loaded_at", "long")
@@ -99,25 +101,32 @@ def ingest_realtime(
     table: str,
     checkpoint: str,
     every: str | None = None,
-    replays_within: str | None = LATE_BY,
-    salts: int = SALTS,
+    quarantine: str | None = None,
+    ahead_seconds: int = AHEAD_SECONDS,
 ) -> StreamingQuery:
-    """Continuous projection of bus records into the real-time table.
+    """Continuous projection of bus records into the real-time table, without state.
 
-    Copies of a trade that come within ``replays_within`` of each other are dropped on the
-    way; a reader that needs the last version of every trade applies ``dedup_trades``.
+    Every trade with an id and a possible time is appended, however late it is; copies and older
+    versions are resolved by :func:`read_realtime` and by compaction. All others go to
+    ``quarantine`` (by default a folder beside the table) with their message and the reason, so
+    a wrong clock harms no other trade.
     """
-    parsed = parse_trades(_salted(messages, salts), keep=("salt",))
-    trades = realtime_trades(accepted(check_trades(parsed)))
-    if replays_within:
-        trades = _drop_replays(trades.withWatermark("trade_time", replays_within))
-    else:
-        trades = trades.drop("salt")
+    quarantine = quarantine or table.rstrip("/") + "_quarantine"
+    arrived = F.coalesce("timestamp", F.current_timestamp())
+    parsed = parse_trades(messages.withColumn("arrived", arrived), keep=("value", "arrived"))
+    reason = realtime_reject_reason(F.col("arrived"), ahead_seconds)
+    checked = parsed.withColumn("reject_reason", reason).drop("arrived")
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        write_batch(with_batch(batch, batch_id), table, ["insert_date", "batch"])
+        batch = with_batch(batch, batch_id).persist()
+        try:
+            good = realtime_trades(accepted(batch).drop("value"))
+            write_batch(good, table, ["insert_date", "batch"])
+            write_batch(quarantined(batch), quarantine, ["batch"])
+        finally:
+            batch.unpersist()
 
-    return _start(trades, write, checkpoint, every, "append")
+    return _start(checked, write, checkpoint, every, "append")
 
 
 def read_realtime(spark: SparkSession, table: str) -> DataFrame:
@@ -134,7 +143,6 @@ def live_candles(
     late_by: str = LATE_BY,
     drop_replays: bool = True,
     salts: int = SALTS,
-    files: int = 8,
 ) -> StreamingQuery:
     """Keep candles up to date while trades arrive.
 
@@ -150,9 +158,8 @@ def live_candles(
     def write(batch: DataFrame, batch_id: int) -> None:
         loaded = F.lit(time.time_ns() // 1_000_000)
         rows = with_batch(with_period_date(batch), batch_id).withColumn("loaded_at", loaded)
-        # Changed candles only, so a small shuffle; it spares one file per state partition.
-        rows = rows.repartition(files, "symbol", "period_start")
-        write_batch(rows, table, ["period_date", "batch"])
+        # As many tasks as the changed candles fill; it spares one file per state partition.
+        write_batch(rows.hint("rebalance", "period_date"), table, ["period_date", "batch"])
 
     return _start(candles, write, checkpoint, every, "update")
 

@@ -29,7 +29,7 @@ from tickloom.llm.text import even_keys, shuffles
 from tickloom.session import scratch_path
 
 WINDOW = 35
-HOMES = 8  # per shuffle partition
+HOMES = 4  # per shuffle partition
 
 _PACKED = "shard long, runs array<long>, hash binary, row binary, low binary, high binary"
 _FOUND = "home long, place binary, word binary"

@@ -46,3 +46,17 @@ def components(edges: DataFrame) -> DataFrame:
         before = after
     nodes = edges.select(F.col("a").alias("id"), F.col("b").alias("component"))
     return nodes.unionAll(edges.select(F.col("b").alias("id"), F.col("b").alias("component"))).distinct()
+
+
+def extended(found: DataFrame, links: DataFrame) -> DataFrame:
+    """``found`` (id, component) after more links (a, b): only the components that they join are
+    rewritten, so the rounds are over new links and not over all of them."""
+    comp = lambda name: found.select(F.col("id").alias(name), F.col("component").alias("c" + name))
+    both = links.join(comp("a"), "a", "left").join(comp("b"), "b", "left")
+    both = stored(both.select("a", "b", F.coalesce("ca", "a").alias("ca"), F.coalesce("cb", "b").alias("cb")), "mapped")
+    joined = components(both.select(F.col("ca").alias("a"), F.col("cb").alias("b")).where("a != b"))
+    nodes = found.unionAll(both.select("a", "ca")).unionAll(both.select("b", "cb")).distinct()
+    joined = joined.select(F.col("id").alias("component"), F.col("component").alias("least"))
+    return stored(
+        nodes.join(joined, "component", "left").select("id", F.coalesce("least", "component").alias("component")), "found"
+    )

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.llm import words
-from tickloom.llm.components import components
+from tickloom.llm.components import components, extended
 from tickloom.llm.text import stored
 
 SHINGLE_WORDS = 5
@@ -219,19 +219,17 @@ def near_duplicates(
     # each text first meets the hub it agrees with most, then the others where that was not enough
     ends = tried.select(F.col("a").alias("x"), "a", "b", "hits").unionAll(tried.select(F.col("b").alias("x"), "a", "b", "hits"))
     best = ends.groupBy("x").agg(F.max(F.struct("hits", "a", "b")).alias("t")).select("t.a", "t.b").distinct()
-    links = _confirmed(best, sets, percent)
+    found = components(_confirmed(best, sets, percent))
     tried = tried.select("a", "b")
-    links = links.unionAll(_confirmed(_apart(tried, components(links)), sets, percent))
-    found = components(links)
+    found = extended(found, _confirmed(_apart(tried, found), sets, percent))
     for turn in range(1, TURNS):  # other hubs, for members of lists that are still mixed
         hubs = _apart(_hub_pairs(_mixed(posted, found), turn), found).join(tried, ["a", "b"], "left_anti")
         new = stored(_collided(hubs, reps, matches).select("a", "b"), "tried")
         tried = tried.unionAll(new)
-        links = links.unionAll(_confirmed(new, sets, percent))
-        found = components(links)
+        found = extended(found, _confirmed(new, sets, percent))
     rest = _still_apart(posted.where("last"), found, sets, percent).join(tried, ["a", "b"], "left_anti")
     more = _confirmed(_collided(rest, reps, last_matches), sets, percent)
-    found = components(links.unionAll(more)).withColumnRenamed("id", "rep")
+    found = extended(found, more).withColumnRenamed("id", "rep")
     # one row per class carries its component to all copies
     named = classes.withColumnRenamed("id", "rep").drop("keys").join(found, "rep", "left")
     named = named.select("h1", "h2", "n_shingles", F.coalesce("component", "rep").alias("component"))

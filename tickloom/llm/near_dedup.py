@@ -33,6 +33,7 @@ MATCHES = 34
 LAST_MATCHES = 38
 TURNS = 3  # hubs that the members of a list meet before all of them are compared
 PERCENT = 75
+BROADCAST_IDS = 2_000_000  # so many ids (about 100 MB as a hash table) go to every executor; more are joined by a shuffle
 
 _FACTORS = words.mix64(np.arange(1, COORDINATES + 1, dtype=np.uint64) * np.uint64(0x8CB92BA72F3D8DD7)) | np.uint64(1)
 _LISTS = pa.list_(pa.int64())
@@ -133,6 +134,12 @@ def _pairs(found: DataFrame) -> DataFrame:
     return found.where("x != y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 
+def _among(rows: DataFrame, ids: DataFrame) -> DataFrame:
+    """The ``rows`` whose id is in ``ids``: without a shuffle of the rows where the ids are few."""
+    ids = stored(ids.select("id").distinct(), "ids")
+    return rows.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, "id", "left_semi")
+
+
 def _collided(pairs: DataFrame, reps: DataFrame, matches: int) -> DataFrame:
     """(a, b, hits) of the pairs that agree in at least ``matches`` coordinates."""
     one = reps.select(F.col("id").alias("a"), F.col("keys").alias("ka"))
@@ -143,9 +150,11 @@ def _collided(pairs: DataFrame, reps: DataFrame, matches: int) -> DataFrame:
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs whose full shingle sets are similar enough, written."""
+    pairs = stored(pairs.select("a", "b"), "pairs")
+    sets = _among(sets, pairs.select(F.col("a").alias("id")).unionAll(pairs.select("b")))
     one = sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa"))
     two = sets.select(F.col("id").alias("b"), F.col("shingles").alias("sb"))
-    both = stored(pairs.select("a", "b"), "pairs").join(one, "a").join(two, "b").select("a", "b", "sa", "sb")
+    both = pairs.join(one, "a").join(two, "b").select("a", "b", "sa", "sb")
     return stored(both.mapInArrow(_confirm(percent), "a long, b long"), "links")
 
 
@@ -168,7 +177,7 @@ def _still_apart(posted: DataFrame, found: DataFrame, sets: DataFrame, percent:
     """All pairs of members of one list that are in different components, but for those that cannot
     be links because too many of their shingles are in no other text that shares a list."""
     at = stored(_mixed(posted, found), "apart")
-    some = sets.join(at.select("id").distinct(), "id", "left_semi")
+    some = _among(sets, at)
     alone = (
         some.select("id", F.explode("shingles").alias("shingle"))
         .groupBy("shingle").agg(F.count("*").alias("n"), F.min("id").alias("id")).where("n = 1")
@@ -212,9 +221,9 @@ def near_duplicates(
     posted = _posted(reps, matches, last_matches)
     lists = posted.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
     posted = stored(posted.join(lists, "key"), "posted")
+    reps = stored(_among(reps, posted), "reps")
     tried = stored(_collided(_hub_pairs(posted, 0), reps, matches), "tried")
-    listed = posted.select("id").distinct()
-    texts = docs.join(listed, docs["doc_id"] == listed["id"], "left_semi").mapInArrow(_sets(size), "id long, shingles array<long>")
+    texts = _among(docs.withColumnRenamed("doc_id", "id"), posted).mapInArrow(_sets(size), "id long, shingles array<long>")
     sets = stored(texts.dropDuplicates(["id"]), "sets")
     # each text first meets the hub it agrees with most, then the others where that was not enough
     ends = tried.select(F.col("a").alias("x"), "a", "b", "hits").unionAll(tried.select(F.col("b").alias("x"), "a", "b", "hits"))

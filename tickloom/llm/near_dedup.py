@@ -4,8 +4,8 @@ Each class of equal shingle sets posts one representative under its (coordinate,
 pairs. Two texts are candidates if at least ``MATCHES`` of ``COORDINATES`` values agree, so
 they share a pair among the ``COORDINATES - MATCHES + 1`` rarest of either: frequent values
 (boilerplate) are skipped, and a text whose values are mostly its own is not posted at all.
-A list is not expanded into pairs: each member meets the list's hub, another one in each
-list, which is enough to join nearly all of a group of any size. Lists whose members are
+A list is not expanded into pairs: each member meets the list's hub, first the most central
+member, then any other, which is enough to join nearly all of a group of any size. Lists whose members are
 still in different components are then looked at on full sets: shingles that no other text
 of such lists has bound what two texts can share, and all pairs of different components
 within the bound are compared. Every link is confirmed on full sets.
@@ -31,7 +31,7 @@ SHINGLE_WORDS = 5
 COORDINATES = 64
 MATCHES = 34
 LAST_MATCHES = 38
-TURNS = 3  # hubs that the members of a list meet before all of them are compared
+TURNS = 2  # hubs that the members of a list meet before all of them are compared
 PERCENT = 75
 BROADCAST_IDS = 2_000_000  # so many ids (about 100 MB as a hash table) go to every executor; more are joined by a shuffle
 
@@ -112,18 +112,21 @@ def _posted(reps: DataFrame, matches: int, last_matches: int) -> DataFrame:
     postings = reps.select("id", F.explode("keys").alias("key"))
     shared = postings.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
     own = postings.join(shared, "key").groupBy("id").agg(
-        F.array_sort(F.collect_list(F.struct("n", "key"))).alias("found")
+        F.array_sort(F.collect_list(F.struct("n", "key"))).alias("found"), F.sum("n").alias("weight")
     )
     # the keys that are in no other text come first in a text's order and use up its prefix
     prefix = F.slice("found", F.lit(1), F.size("found") - (matches - 1))
     last = F.col("place") < F.col("size") - (last_matches - 1)
     return own.where(F.size("found") >= matches).select(
-        "id", F.size("found").alias("size"), F.posexplode(prefix).alias("place", "x")
-    ).select(F.col("x.key").alias("key"), "id", last.alias("last"))
+        "id", "weight", F.size("found").alias("size"), F.posexplode(prefix).alias("place", "x")
+    ).select(F.col("x.key").alias("key"), "id", "weight", last.alias("last"))
 
 
 def _hub_pairs(posted: DataFrame, turn: int) -> DataFrame:
-    order = F.xxhash64("id", "key", F.lit(turn))
+    """Each member of a list with the list's hub. The first hub is the member whose values most
+    other texts have too: that is one text for nearly all lists of a group, and the one that is
+    closest to the others. Later ones are any member, another one in each list."""
+    order = F.struct(*([-F.col("weight")] if not turn else []), F.xxhash64("id", *(["key"] if turn else []), F.lit(turn)))
     hubs = posted.groupBy("key").agg(F.min(F.struct(order.alias("order"), "id")).alias("h")).select(
         "key", F.col("h.id").alias("hub")
     )
@@ -225,12 +228,8 @@ def near_duplicates(
     tried = stored(_collided(_hub_pairs(posted, 0), reps, matches), "tried")
     texts = _among(docs.withColumnRenamed("doc_id", "id"), posted).mapInArrow(_sets(size), "id long, shingles array<long>")
     sets = stored(texts.dropDuplicates(["id"]), "sets")
-    # each text first meets the hub it agrees with most, then the others where that was not enough
-    ends = tried.select(F.col("a").alias("x"), "a", "b", "hits").unionAll(tried.select(F.col("b").alias("x"), "a", "b", "hits"))
-    best = ends.groupBy("x").agg(F.max(F.struct("hits", "a", "b")).alias("t")).select("t.a", "t.b").distinct()
-    found = components(_confirmed(best, sets, percent))
     tried = tried.select("a", "b")
-    found = extended(found, _confirmed(_apart(tried, found), sets, percent))
+    found = components(_confirmed(tried, sets, percent))
     for turn in range(1, TURNS):  # other hubs, for members of lists that are still mixed
         hubs = _apart(_hub_pairs(_mixed(posted, found), turn), found).join(tried, ["a", "b"], "left_anti")
         new = stored(_collided(hubs, reps, matches).select("a", "b"), "tried")

@@ -93,15 +93,18 @@ def _sets(size):
 def _confirm(percent):
     def run(batches):
         for batch in batches:
-            good = []
+            common, good = [], []
             for x, y in zip(batch.column(2), batch.column(3), strict=True):
                 both = np.concatenate((x.values.to_numpy(), y.values.to_numpy()))
                 total = len(both)
                 both.sort()
                 shared = int((both[1:] == both[:-1]).sum())
+                common.append(shared)
                 good.append(100 * shared >= percent * (total - shared))
-            kept = batch.filter(pa.array(good, pa.bool_()))
-            yield pa.RecordBatch.from_arrays([kept.column(0), kept.column(1)], ["a", "b"])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array(common, pa.int64()), pa.array(good, pa.bool_())],
+                ["a", "b", "shared", "linked"],
+            )
 
     return run
 
@@ -122,14 +125,17 @@ def _posted(reps: DataFrame, matches: int, last_matches: int) -> DataFrame:
     ).select(F.col("x.key").alias("key"), "id", "weight", last.alias("last"))
 
 
-def _hub_pairs(posted: DataFrame, turn: int) -> DataFrame:
-    """Each member of a list with the list's hub. The first hub is the member whose values most
-    other texts have too: that is one text for nearly all lists of a group, and the one that is
-    closest to the others. Later ones are any member, another one in each list."""
+def _hubs(posted: DataFrame, turn: int) -> DataFrame:
+    """(key, hub): a member of each list. The first hub is the member whose values most other texts
+    have too: that is one text for nearly all lists of a group, and the one that is closest to
+    the others. Later ones are any member, another one in each list."""
     order = F.struct(*([-F.col("weight")] if not turn else []), F.xxhash64("id", *(["key"] if turn else []), F.lit(turn)))
-    hubs = posted.groupBy("key").agg(F.min(F.struct(order.alias("order"), "id")).alias("h")).select(
+    return posted.groupBy("key").agg(F.min(F.struct(order.alias("order"), "id")).alias("h")).select(
         "key", F.col("h.id").alias("hub")
     )
+
+
+def _hub_pairs(posted: DataFrame, hubs: DataFrame) -> DataFrame:
     return _pairs(posted.join(hubs, "key").select(F.col("id").alias("x"), F.col("hub").alias("y")))
 
 
@@ -152,13 +158,13 @@ def _collided(pairs: DataFrame, reps: DataFrame, matches: int) -> DataFrame:
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs whose full shingle sets are similar enough, written."""
+    """(a, b, shared, linked): the shingles that both full sets hold, and whether these are enough; written."""
     pairs = stored(pairs.select("a", "b"), "pairs")
     sets = _among(sets, pairs.select(F.col("a").alias("id")).unionAll(pairs.select("b")))
     one = sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa"))
     two = sets.select(F.col("id").alias("b"), F.col("shingles").alias("sb"))
     both = pairs.join(one, "a").join(two, "b").select("a", "b", "sa", "sb")
-    return stored(both.mapInArrow(_confirm(percent), "a long, b long"), "links")
+    return stored(both.mapInArrow(_confirm(percent), "a long, b long, shared long, linked boolean"), "links")
 
 
 def _apart(pairs: DataFrame, found: DataFrame) -> DataFrame:
@@ -176,9 +182,14 @@ def _mixed(posted: DataFrame, found: DataFrame) -> DataFrame:
     return at.join(mixed, "key")
 
 
-def _still_apart(posted: DataFrame, found: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """All pairs of members of one list that are in different components, but for those that cannot
-    be links because too many of their shingles are in no other text that shares a list."""
+def _still_apart(
+    posted: DataFrame, hubs: DataFrame, met: DataFrame, found: DataFrame, sets: DataFrame, percent: int
+) -> DataFrame:
+    """All pairs of members of one list that are in different components, but for those that cannot be
+    links by two bounds on what they share: shingles that no other text of such lists has count for
+    nothing, and the smaller number counts of the shingles within the list's hub and of those
+    outside it. ``met`` has what texts share with hubs; a text that did not meet the hub has
+    the first bound only."""
     at = stored(_mixed(posted, found), "apart")
     some = _among(sets, at)
     alone = (
@@ -189,12 +200,21 @@ def _still_apart(posted: DataFrame, found: DataFrame, sets: DataFrame, percent:
     size = F.size("shingles").cast("long")
     common = size - F.coalesce("alone", F.lit(0))
     able = some.join(alone, "id", "left").where(100 * common >= percent * size).select("id", size.alias("n"), common.alias("m"))
-    left = at.join(able, "id").select("key", *(F.col(c).alias(n) for c, n in zip(("id", "c", "n", "m"), ("x", "cx", "nx", "mx"), strict=True)))
-    right = left.select("key", *(F.col(f"{c}x" if c else "x").alias(f"{c}y" if c else "y") for c in ("", "c", "n", "m")))
-    # no more can be shared than the smaller number of shingles that are not alone
+    ends = [met.select(F.col(x).alias("id"), F.col(y).alias("hub"), "shared") for x, y in ("ab", "ba")]
+    within = F.when(F.col("id") == F.col("hub"), F.col("n")).otherwise(F.col("shared"))
+    own = at.groupBy("id").agg(F.min("c").alias("c"), F.collect_list("key").alias("keys"))  # no more than the prefix
+    members = own.join(able, "id").select("*", F.explode("keys").alias("key")).join(hubs, "key")
+    members = members.join(ends[0].unionAll(ends[1]), ["id", "hub"], "left")
+    members = stored(members.select("key", "id", "c", "n", "m", within.alias("h"), "keys"), "members")
+    left, right = (
+        members.select("key", *(F.col(c).alias(c + side) for c in ("id", "c", "n", "m", "h", "keys"))) for side in "xy"
+    )
     most = F.least("mx", "my")
+    by_hub = F.least("hx", "hy") + F.least(F.col("mx") - F.col("hx"), F.col("my") - F.col("hy"))
+    most = F.when(F.col("hx").isNotNull() & F.col("hy").isNotNull(), by_hub).otherwise(most)
     near = (F.col("cx") < F.col("cy")) & (100 * most >= percent * (F.col("nx") + F.col("ny") - most))
-    return _pairs(left.join(right, "key").where(near).select("x", "y"))
+    once = F.col("key") == F.array_min(F.array_intersect("keysx", "keysy"))  # in one of the lists that both are in
+    return left.join(right, "key").where(near & once).select(F.least("idx", "idy").alias("a"), F.greatest("idx", "idy").alias("b"))
 
 
 def near_duplicates(
@@ -225,18 +245,21 @@ def near_duplicates(
     lists = posted.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
     posted = stored(posted.join(lists, "key"), "posted")
     reps = stored(_among(reps, posted), "reps")
-    tried = stored(_collided(_hub_pairs(posted, 0), reps, matches), "tried")
+    hubs = _hubs(posted, 0)
+    tried = stored(_collided(_hub_pairs(posted, hubs), reps, matches), "tried")
     texts = _among(docs.withColumnRenamed("doc_id", "id"), posted).mapInArrow(_sets(size), "id long, shingles array<long>")
     sets = stored(texts.dropDuplicates(["id"]), "sets")
+    met = _confirmed(tried, sets, percent)
     tried = tried.select("a", "b")
-    found = components(_confirmed(tried, sets, percent))
+    found = components(met.where("linked"))
     for turn in range(1, TURNS):  # other hubs, for members of lists that are still mixed
-        hubs = _apart(_hub_pairs(_mixed(posted, found), turn), found).join(tried, ["a", "b"], "left_anti")
-        new = stored(_collided(hubs, reps, matches).select("a", "b"), "tried")
+        mixed = _mixed(posted, found)
+        pairs = _apart(_hub_pairs(mixed, _hubs(mixed, turn)), found).join(tried, ["a", "b"], "left_anti")
+        new = stored(_collided(pairs, reps, matches).select("a", "b"), "tried")
         tried = tried.unionAll(new)
-        found = extended(found, _confirmed(new, sets, percent))
-    rest = _still_apart(posted.where("last"), found, sets, percent).join(tried, ["a", "b"], "left_anti")
-    more = _confirmed(_collided(rest, reps, last_matches), sets, percent)
+        found = extended(found, _confirmed(new, sets, percent).where("linked"))
+    rest = _still_apart(posted.where("last"), hubs, met, found, sets, percent).join(tried, ["a", "b"], "left_anti")
+    more = _confirmed(_collided(rest, reps, last_matches), sets, percent).where("linked")
     found = extended(found, more).withColumnRenamed("id", "rep")
     # one row per class carries its component to all copies
     named = classes.withColumnRenamed("id", "rep").drop("keys").join(found, "rep", "left")

@@ -4,16 +4,13 @@ Each class of equal shingle sets posts one representative under its (coordinate,
 pairs. Two texts are candidates if at least ``MATCHES`` of ``COORDINATES`` values agree, so
 they share a pair among the ``COORDINATES - MATCHES + 1`` rarest of either: frequent values
 (boilerplate) are skipped, and a text whose values are mostly its own is not posted at all.
-A list is not expanded into pairs: each member meets the list's hub, first the most central
-member, then any other, which is enough to join nearly all of a group of any size. Lists whose members are
-still in different components are then looked at on full sets: shingles that no other text
-of such lists has bound what two texts can share, and all pairs of different components
-within the bound are compared. Every link is confirmed on full sets.
-
-A pair of similarity 0.75 agrees in 48 of 64 values on average and falls below 34 once in
-20,000 times. The last comparison, of texts that no hub has linked, asks for 38, which such a
-pair misses once in 400 times and one of 0.78 once in 5,000; it counts only for a text
-whose every other link was missed too.
+A list is not expanded into pairs: each member meets the list's hub, its most central member,
+which is enough to join nearly all of a group of any size. Lists whose members are still in
+different components are then looked at on full sets: shingles that no other text of such
+lists has, and what each text shares with the hub, bound what two texts can share, and all
+pairs of different components within the bounds are compared. Every link is confirmed on
+full sets. A pair of similarity 0.75 agrees in 48 of 64 values on average and falls below 34
+once in 20,000 times.
 """
 
 from __future__ import annotations
@@ -30,8 +27,6 @@ from tickloom.llm.text import stored
 SHINGLE_WORDS = 5
 COORDINATES = 64
 MATCHES = 34
-LAST_MATCHES = 38
-TURNS = 2  # hubs that the members of a list meet before all of them are compared
 PERCENT = 75
 BROADCAST_IDS = 2_000_000  # so many ids (about 100 MB as a hash table) go to every executor; more are joined by a shuffle
 
@@ -109,9 +104,9 @@ def _confirm(percent):
     return run
 
 
-def _posted(reps: DataFrame, matches: int, last_matches: int) -> DataFrame:
-    """(key, id, last): the shared keys among the rarest ones of each text that can have a partner;
-    ``last`` marks those that do for the higher number of matches."""
+def _posted(reps: DataFrame, matches: int) -> DataFrame:
+    """(key, id, weight): the shared keys among the rarest ones of each text that can have a partner,
+    and how many texts have its keys, all counted."""
     postings = reps.select("id", F.explode("keys").alias("key"))
     shared = postings.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
     own = postings.join(shared, "key").groupBy("id").agg(
@@ -119,17 +114,15 @@ def _posted(reps: DataFrame, matches: int, last_matches: int) -> DataFrame:
     )
     # the keys that are in no other text come first in a text's order and use up its prefix
     prefix = F.slice("found", F.lit(1), F.size("found") - (matches - 1))
-    last = F.col("place") < F.col("size") - (last_matches - 1)
-    return own.where(F.size("found") >= matches).select(
-        "id", "weight", F.size("found").alias("size"), F.posexplode(prefix).alias("place", "x")
-    ).select(F.col("x.key").alias("key"), "id", "weight", last.alias("last"))
+    return own.where(F.size("found") >= matches).select("id", "weight", F.explode(prefix).alias("x")).select(
+        F.col("x.key").alias("key"), "id", "weight"
+    )
 
 
-def _hubs(posted: DataFrame, turn: int) -> DataFrame:
-    """(key, hub): a member of each list. The first hub is the member whose values most other texts
-    have too: that is one text for nearly all lists of a group, and the one that is closest to
-    the others. Later ones are any member, another one in each list."""
-    order = F.struct(*([-F.col("weight")] if not turn else []), F.xxhash64("id", *(["key"] if turn else []), F.lit(turn)))
+def _hubs(posted: DataFrame) -> DataFrame:
+    """(key, hub): the member of each list whose values most other texts have too. That is one text for
+    nearly all lists of a group, and the one that is closest to the others."""
+    order = F.struct(-F.col("weight"), F.xxhash64("id"))
     return posted.groupBy("key").agg(F.min(F.struct(order.alias("order"), "id")).alias("h")).select(
         "key", F.col("h.id").alias("hub")
     )
@@ -167,13 +160,6 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return stored(both.mapInArrow(_confirm(percent), "a long, b long, shared long, linked boolean"), "links")
 
 
-def _apart(pairs: DataFrame, found: DataFrame) -> DataFrame:
-    """The pairs (a, b) that are not in one component yet."""
-    comp = lambda name: found.select(F.col("id").alias(name), F.col("component").alias("c" + name))
-    both = pairs.join(comp("a"), "a", "left").join(comp("b"), "b", "left")
-    return both.where("coalesce(ca, a) != coalesce(cb, b)").select("a", "b")
-
-
 def _mixed(posted: DataFrame, found: DataFrame) -> DataFrame:
     """(key, id, c): the members, with their components, of lists that have several."""
     at = posted.select("key", "id").join(found.withColumnRenamed("component", "c"), "id", "left")
@@ -218,7 +204,7 @@ def _still_apart(
 
 
 def near_duplicates(
-    docs: DataFrame, size: int = SHINGLE_WORDS, percent: int = PERCENT, matches: int = MATCHES, last_matches: int = LAST_MATCHES
+    docs: DataFrame, size: int = SHINGLE_WORDS, percent: int = PERCENT, matches: int = MATCHES
 ) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every row of (doc_id, text).
 
@@ -241,26 +227,20 @@ def near_duplicates(
         "classes",
     )
     reps = classes.select("id", "keys")
-    posted = _posted(reps, matches, last_matches)
+    posted = _posted(reps, matches)
     lists = posted.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
     posted = stored(posted.join(lists, "key"), "posted")
     reps = stored(_among(reps, posted), "reps")
-    hubs = _hubs(posted, 0)
+    hubs = _hubs(posted)
     tried = stored(_collided(_hub_pairs(posted, hubs), reps, matches), "tried")
     texts = _among(docs.withColumnRenamed("doc_id", "id"), posted).mapInArrow(_sets(size), "id long, shingles array<long>")
     sets = stored(texts.dropDuplicates(["id"]), "sets")
     met = _confirmed(tried, sets, percent)
-    tried = tried.select("a", "b")
     found = components(met.where("linked"))
-    for turn in range(1, TURNS):  # other hubs, for members of lists that are still mixed
-        mixed = _mixed(posted, found)
-        pairs = _apart(_hub_pairs(mixed, _hubs(mixed, turn)), found).join(tried, ["a", "b"], "left_anti")
-        new = stored(_collided(pairs, reps, matches).select("a", "b"), "tried")
-        tried = tried.unionAll(new)
-        found = extended(found, _confirmed(new, sets, percent).where("linked"))
-    rest = _still_apart(posted.where("last"), hubs, met, found, sets, percent).join(tried, ["a", "b"], "left_anti")
-    more = _confirmed(_collided(rest, reps, last_matches), sets, percent).where("linked")
-    found = extended(found, more).withColumnRenamed("id", "rep")
+    # within the bounds nearly all pairs agree in enough coordinates, so full sets decide at once
+    rest = _still_apart(posted, hubs, met, found, sets, percent)
+    rest = rest.join(tried.select("a", "b"), ["a", "b"], "left_anti")
+    found = extended(found, _confirmed(rest, sets, percent).where("linked")).withColumnRenamed("id", "rep")
     # one row per class carries its component to all copies
     named = classes.withColumnRenamed("id", "rep").drop("keys").join(found, "rep", "left")
     named = named.select("h1", "h2", "n_shingles", F.coalesce("component", "rep").alias("component"))

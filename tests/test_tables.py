@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 from tickloom.operators import analytics, candles, dedup
 from tickloom.operators.placement import with_period_date
 from tickloom.operators.retention import retain
-from tickloom.plans.publish import publish_candles, read_serving
+from tickloom.plans.mart import read_mart, refresh_mart
+from tickloom.plans.publish import publish_candles, read_serving, refresh_and_publish
 from tickloom.schema import CANDLE, LAKE_TRADE
 from tickloom.session import scratch_path
 from tickloom.sinks.jdbc import append_jdbc
@@ -68,6 +69,30 @@ def test_publish_replaces_only_the_months_sent(spark, tmp_path):
     assert before <= set(read_serving(spark, serving).inputFiles())
 
 
+def test_publishing_catches_up(spark, raw, tmp_path):
+    at = lambda name: str(tmp_path / name)
+    early = raw.where(F.col("trade_time") < F.lit(START + timedelta(days=20)))
+    later = raw.withColumn("trade_time", F.col("trade_time") + F.expr("interval 60 days"))
+
+    def load(rows):
+        dated = rows.withColumn("insert_date", F.to_date("trade_time"))
+        dated.withColumn("batch", F.lit("b")).write.partitionBy("insert_date", "batch").mode("append").parquet(at("raw"))
+
+    def whole():
+        same(read_serving(spark, at("serving")).select(*CANDLE.names), read_mart(spark, at("mart")).select(*CANDLE.names))
+
+    load(early)
+    refresh_mart(spark, at("raw"), at("mart"), at("stage"))  # its publish is lost
+    load(later)
+    refresh_and_publish(spark, at("raw"), at("mart"), at("stage"), at("serving"))
+    whole()
+    assert len(partition_values(spark, at("serving"), "period_month")) > 1
+    before = {f for f in read_serving(spark, at("serving")).inputFiles() if "202401" in f}
+    refresh_and_publish(spark, at("raw"), at("mart"), at("stage"), at("serving"))
+    whole()
+    assert before and before <= set(read_serving(spark, at("serving")).inputFiles())
+
+
 def test_failed_publish_raises(spark, tmp_path):
     (tmp_path / "serving").write_text("in the way")
     mart = str(tmp_path / "mart")

@@ -7,7 +7,7 @@ from datetime import date, datetime, timezone
 
 from tickloom.operators.ingest import conform_raw, normalize_raw_trades
 from tickloom.plans.mart import read_mart, refresh_mart
-from tickloom.plans.publish import publish_candles
+from tickloom.plans.publish import publish_candles, refresh_and_publish
 from tickloom.plans.upkeep import compact_days, expire_days
 from tickloom.schema import CANDLE_COLUMNS, LAKE_TRADE, RAW_TRADE, REALTIME_TRADE
 from tickloom.session import build_session
@@ -56,9 +56,10 @@ def _load(spark, args):
 
 
 def _refresh(spark, args):
-    cutoff = refresh_mart(spark, args.raw, args.mart, args.staging, args.bucket)
     if args.serving:
-        publish_candles(spark, args.mart, args.serving, cutoff)
+        cutoff = refresh_and_publish(spark, args.raw, args.mart, args.staging, args.serving, args.bucket)
+    else:
+        cutoff = refresh_mart(spark, args.raw, args.mart, args.staging, args.bucket)
     print(f"rebuilt from {cutoff.isoformat()}")
 
 

@@ -11,11 +11,12 @@ from tickloom.operators.candles import REBUILD_TAIL_SECONDS, candles_from
 from tickloom.operators.placement import with_period_date
 from tickloom.schema import CANDLE, CANDLE_COLUMNS, RAW_TRADE
 from tickloom.session import fitted_shuffles
-from tickloom.sinks.tables import apply_staged, partition_values, stage
+from tickloom.sinks.tables import apply_staged, delete, partition_values, stage
 from tickloom.sources.lake import partitioned, read_table
 
 MART_BY = ["period_date"]
 MART_SORT = ["symbol", "period_start"]
+PUBLISHED = "_PUBLISHED"  # names the serving table that has the whole mart; a refresh removes it
 EPOCH = datetime(1970, 1, 1, tzinfo=timezone.utc)
 
 
@@ -72,6 +73,7 @@ def refresh_mart(
     The cutoff travels as a literal: it prunes raw partitions and reaches the scan. Only
     the days from the cutoff on are written.
     """
+    delete(spark, f"{mart_path}/{PUBLISHED}")
     apply_staged(spark, staging_path, mart_path, MART_BY, MART_SORT)
     cutoff = mart_cutoff(spark, mart_path)
     start = F.lit(cutoff)

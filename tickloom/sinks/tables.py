@@ -69,6 +69,23 @@ def delete(spark: SparkSession, path: str) -> None:
         raise OSError(f"could not delete {path}")
 
 
+def write_note(spark: SparkSession, path: str, text: str) -> None:
+    where, files = _hadoop_path(spark, path)
+    out = files.create(where)
+    out.writeUTF(text)
+    out.close()
+
+
+def read_note(spark: SparkSession, path: str) -> str | None:
+    where, files = _hadoop_path(spark, path)
+    if not files.exists(where):
+        return None
+    note = files.open(where)
+    text = note.readUTF()
+    note.close()
+    return text
+
+
 def partition_values(spark: SparkSession, path: str, name: str) -> list[str]:
     """Values of a table's topmost partition column, in order, from one directory listing. Rows
     without a value are in a folder of their own, which is left out."""

@@ -197,13 +197,13 @@ def test_mart_job_finishes_what_a_dead_run_staged(spark, raw, tmp_path):
     days = [r[0] for r in full.select("period_date").distinct().orderBy("period_date").collect()]
     write_partitions(full.where(F.col("period_date") != F.lit(days[3])), mart, ["period_date"])
     # a complete stage is applied by the next run, although its own cutoff lies days later
-    stage(full.where(F.col("period_date") == F.lit(days[3])), staging, ["period_date"])
+    stage(full.where(F.col("period_date") == F.lit(days[3])), staging, mart, ["period_date"])
     table = str(tmp_path / "raw")
     raw.withColumn("insert_date", F.to_date("trade_time")).write.partitionBy("insert_date").parquet(table)
     refresh_mart(spark, table, mart, staging)
     same(read_mart(spark, mart).select(*CANDLE.fieldNames()), full.drop("period_date"))
     # an incomplete one is thrown away
-    stage(full.where("symbol = 'view'"), staging, ["period_date"])
+    stage(full.where("symbol = 'view'"), staging, mart, ["period_date"])
     (tmp_path / "staging" / MARKER).unlink()
     refresh_mart(spark, table, mart, staging)
     same(read_mart(spark, mart).select(*CANDLE.fieldNames()), full.drop("period_date"))

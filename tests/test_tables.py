@@ -18,7 +18,7 @@ from tickloom.plans.publish import publish_candles, read_serving, refresh_and_pu
 from tickloom.schema import CANDLE, LAKE_TRADE
 from tickloom.session import scratch_path
 from tickloom.sinks.jdbc import append_jdbc
-from tickloom.sinks.tables import partition_values, write_partitions
+from tickloom.sinks.tables import apply_staged, partition_values, stage, write_partitions
 from tickloom.sources import events as ev
 from tickloom.sources.bus import kafka_stream
 from tickloom.sources.jdbc import read_jdbc
@@ -93,6 +93,16 @@ def test_publishing_catches_up(spark, raw, tmp_path):
     assert before and before <= set(read_serving(spark, at("serving")).inputFiles())
 
 
+def test_rows_staged_for_another_table_are_refused(spark, tmp_path):
+    rows = with_period_date(spark.createDataFrame([(START, "a", *[1.0] * 6, 1)], CANDLE))
+    staging, mart, other = (str(tmp_path / name) for name in ("staging", "mart", "other"))
+    stage(rows, staging, mart, ["period_date"])
+    with pytest.raises(ValueError):
+        apply_staged(spark, staging, other, ["period_date"])
+    assert apply_staged(spark, staging, mart, ["period_date"])
+    assert partition_values(spark, mart, "period_date") == ["2024-01-01"]
+
+
 def test_failed_publish_raises(spark, tmp_path):
     (tmp_path / "serving").write_text("in the way")
     mart = str(tmp_path / "mart")

@@ -85,6 +85,6 @@ def refresh_mart(
         )
         fresh = fresh.unionByName(same_day.select(*CANDLE_COLUMNS))
     with fitted_shuffles(raw.where(F.col("insert_date") >= F.lit(cutoff.date()))):
-        stage(with_period_date(fresh), staging_path, MART_BY)
+        stage(with_period_date(fresh), staging_path, mart_path, MART_BY)
     apply_staged(spark, staging_path, mart_path, MART_BY, MART_SORT)
     return cutoff

@@ -57,7 +57,7 @@ def compact_days(
         f"{by}={day}/batch={b}" for day, batches in found.items() for b in batches if b != MERGED
     ]
     with fitted_shuffles(rows):
-        stage(merged, staging, layout, drop)
+        stage(merged, staging, path, layout, drop)
     apply_staged(spark, staging, path, layout, sort)
     return list(found)
 

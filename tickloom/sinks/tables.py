@@ -97,8 +97,8 @@ def partition_values(spark: SparkSession, path: str, name: str) -> list[str]:
     return sorted(v for v in values if v != NULL_PARTITION)
 
 
-def stage(rows: DataFrame, staging: str, by: list[str], drop: list[str] | None = None) -> None:
-    """Write rows whole to ``staging``, then a marker that says so.
+def stage(rows: DataFrame, staging: str, target: str, by: list[str], drop: list[str] | None = None) -> None:
+    """Write rows for the table ``target`` whole to ``staging``, then a marker that says so.
 
     The rows may be computed from the table they are to change. The marker also lists
     directories of that table that the rows replace beyond their own partitions.
@@ -108,6 +108,7 @@ def stage(rows: DataFrame, staging: str, by: list[str], drop: list[str] | None =
     rows.hint("rebalance", *by).write.partitionBy(*by).parquet(staging)
     where, files = _hadoop_path(spark, f"{staging}/{MARKER}")
     out = files.create(where)
+    out.writeUTF(target)
     out.writeInt(len(drop or []))
     for name in drop or []:
         out.writeUTF(name)
@@ -120,14 +121,19 @@ def apply_staged(
     """Copy completely staged rows over their partitions of ``target``; true if there were any.
 
     Call it before reading ``target`` as well as after staging: a run that died while
-    copying is then finished first. Copying the same partitions twice changes nothing.
+    copying is then finished first. Copying the same partitions twice changes nothing. Rows staged for
+    another table are refused and stay where they are.
     """
     complete = exists(spark, f"{staging}/{MARKER}")
     if complete:
+        staged_for = read_note(spark, f"{staging}/{MARKER}")
+        if staged_for != target:
+            raise ValueError(f"{staging} holds rows for {staged_for}, not for {target}")
         if partition_values(spark, staging, by[0]):
             write_partitions(spark.read.parquet(staging), target, by, sort, rebalance=False)
         where, files = _hadoop_path(spark, f"{staging}/{MARKER}")
         marker = files.open(where)
+        marker.readUTF()
         for _ in range(marker.readInt()):
             delete(spark, f"{target}/{marker.readUTF()}")
         marker.close()

@@ -264,6 +264,19 @@ def test_licenses_found_with_their_differences(spark, empty):
     assert license_scan(empty).count() == 0
 
 
+def test_neighbouring_licenses_do_not_hide_each_other(spark):
+    joins = [" ", " and some prose then "]
+    pairs = [(a, b, j) for a in TEMPLATES for b in TEMPLATES for j in joins]
+    rows = [
+        (i, f"Some prose first. {TEMPLATES[a]}{j}{TEMPLATES[b]} Then more prose follows the notices here and there.")
+        for i, (a, b, j) in enumerate(pairs)
+    ]
+    found = {}
+    for r in license_scan(spark.createDataFrame(rows, "doc_id long, text string")).collect():
+        found.setdefault(r.doc_id, []).append((r.block, r.license, r.exact))
+    assert [sorted(found[i]) for i in range(len(pairs))] == [[(0, a, True), (1, b, True)] for a, b, _ in pairs]
+
+
 def test_all_license_lines_of_the_small_table(spark):
     folder = "/root/testdata/sf0.01"
     texts = [r["text"] for r in pq.read_table(f"{folder}/documents.parquet").to_pylist()]

@@ -1,9 +1,9 @@
 """License scans by conditional compression.
 
 Around every cue word a text's words are taken as a block. A block is compressed alone and
-with each template as a raw zstandard dictionary; the templates that shrink it most are
-compared with it word by word, and one is reported if few of its words are missing or
-changed. The wording differences are part of the result.
+with each template as a raw zstandard dictionary; all templates that shrink it are compared
+with it word by word, and the one with the fewest words missing or changed is reported if
+they are few. The wording differences are part of the result.
 """
 
 from __future__ import annotations
@@ -34,7 +34,6 @@ TEMPLATES = {
     "Proprietary": "All rights reserved.",
 }
 CUES = r"licen[sc]|copyright|permission|permitted|redistribut|reserved|spdx"
-RANKED = 3
 LEAST_REDUCTION = 0.1
 MOST_CHANGED = 0.2
 
@@ -62,6 +61,18 @@ def differences(template: list[str], block: list[str]):
     return first, last, missing, extra
 
 
+def _around(template: list[str], words: list[str], at: int):
+    """The differences from the part of the text around word ``at``, as places in the text; a part
+    beside it, such as an equal notice before, is left out and the rest compared again."""
+    start, stop = max(0, at - len(template)), min(len(words), at + len(template))
+    while span := differences(template, words[start:stop]):
+        first, last = span[0] + start, span[1] + start
+        if first <= at <= last:
+            return first, last, *span[2:]
+        start, stop = (last + 1, stop) if last < at else (start, first)
+    return None
+
+
 class Scanner:
     def __init__(self, templates: dict[str, str], cues: str):
         self.cue = re.compile(cues, re.IGNORECASE)
@@ -93,15 +104,14 @@ class Scanner:
 
     def _best(self, words: list[str], at: int):
         found = []
-        for gain, name in self.reductions(words, at)[:RANKED]:
+        for gain, name in self.reductions(words, at):
             if gain < LEAST_REDUCTION:
                 break
             template = self.words[name]
-            start = max(0, at - len(template))
-            span = differences(template, words[start : at + len(template)])
+            span = _around(template, words, at)
             if span:
-                first, last, missing, extra = span[0] + start, span[1] + start, *span[2:]
-                if len(missing) + len(extra) <= MOST_CHANGED * len(template) and first <= at <= last:
+                first, last, missing, extra = span
+                if len(missing) + len(extra) <= MOST_CHANGED * len(template):
                     found.append((len(missing) + len(extra), -gain, name, first, last, gain, missing, extra))
         return min(found, default=None, key=lambda x: x[:3])
 

@@ -20,6 +20,7 @@ from tickloom.llm.licenses import TEMPLATES, license_scan
 from tickloom.llm.queries import QUERIES, quality_left_out
 from tickloom.llm.text import held_out
 from tickloom.llm.topk import scores, top_k
+from tickloom.llm.words import blocks as block_words
 
 
 def brute_top(rows, k, scale=1024):
@@ -235,6 +236,37 @@ def test_baum_welch_raises_the_likelihood():
     assert before / len(symbols) > math.log10(0.08)  # two kinds of text, ten symbols each
 
 
+def test_frequent_words_come_from_all_texts(spark):
+    """One long text and a few of 3,000 hold what is frequent: no bounded choice of texts finds both."""
+    rows = [("long " * 9_000,)] + [(f"w{i}" + " few" * (i % 100 == 0),) for i in range(3_000)]
+    found = hmm._frequent(spark.createDataFrame(rows, "text string"), 3)
+    want = np.concatenate([b.hashes for b in block_words(pa.array(["long few"]), lower=True)])
+    assert set(found.tolist()) == {*want.view(np.int64).tolist(), int(hmm.END.view(np.int64))}
+
+
+def test_expected_counts_are_those_of_whole_texts():
+    draw = np.random.RandomState(1)
+    share = lambda *s: (lambda x: x / x.sum(-1, keepdims=True))(draw.rand(*s))
+    start, chain, emit = share(3), share(3, 3), share(3, 5).T
+    symbols, bounds = draw.randint(5, size=300).astype(np.uint16), np.array([0, 4, 4, 9, 109, 300])
+    got, want = hmm._empty(3, 5), hmm._empty(3, 5)
+    hmm.expected((start, chain, emit), symbols, bounds, got)
+    for part in np.split(symbols, bounds[1:-1]):
+        ahead, behind = [start * emit[part[:1]].prod(0)], [np.ones(3)]
+        for s in part[1:]:
+            ahead.append((ahead[-1] @ chain) * emit[s])
+        for s in part[:0:-1]:
+            behind.insert(0, chain @ (emit[s] * behind[0]))
+        total = ahead[-1].sum()
+        for t, s in enumerate(part):
+            now = ahead[t] * behind[t] / total
+            want[2][s] += now
+            want[0] += now if t == 0 else 0
+            if t + 1 < len(part):
+                want[1] += np.outer(ahead[t], emit[part[t + 1]] * behind[t + 1]) * chain / total
+    assert all(np.allclose(g, w) for g, w in zip(got, want, strict=True))
+
+
 def test_model_beats_the_base_on_held_out_rows(spark):
     rows = QUERIES["op9_hidden_markov_lm"](spark, "/root/testdata/sf0.01").where("held_out").toPandas()
     assert rows.score.sum() > rows.base_score.sum()

@@ -1,6 +1,6 @@
 """A hidden Markov language model trained by Baum-Welch, with exact sequence likelihoods.
 
-The states emit symbols: the words most frequent in a bounded sample have one each, all
+The states emit symbols: the words most frequent in all training texts have one each, all
 others share ``BUCKETS`` symbols by hash, and within its bucket a word has the probability
 (c + 1) / (N_b + V_b + 1), c being its count in all training texts, N_b and V_b the words
 and distinct words of the bucket. So the state tables stay small however large the
@@ -10,17 +10,19 @@ recursion over the whole text) times that of its words within their buckets.
 The texts are turned into symbols once. Rare words go to shards by hash, packed with the
 text they come from; a shard has all occurrences of its words, counts those of training
 texts and sends the counts back. No word that has a shard is frequent, so no shard is hot.
-Expected counts of Baum-Welch are summed within tasks, then by symbol; only the tables
-come to the driver. In training, long texts are cut into segments of ``SEGMENT`` tokens.
+Every round of Baum-Welch goes over all training texts, whole ones, from a start that no text
+decides. Expected counts are summed within tasks, then by symbol; only the tables come to
+the driver.
 """
 
 from __future__ import annotations
 
+import contextlib
 import itertools
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickloom.llm import words
@@ -29,10 +31,8 @@ from tickloom.llm.text import even_keys, shuffles, stored
 FREQUENT = 32_768
 BUCKETS = 4_096
 STATES = 8
-SAMPLE = 2_048  # texts that choose the frequent words; a quarter of them starts the model
-START_ROUNDS = 20
-ROUNDS = 2
-SEGMENT = 64
+ROUNDS = 22
+WINDOW = 32
 END = np.uint64(0x51ED270B9F0C3A7D)  # the hash that stands for the end of a text
 
 _CODED = "doc_id {id}, held_out boolean, n_tokens long, symbols binary, rare binary, uid long"
@@ -65,6 +65,18 @@ def _count(batches):
             yield pa.RecordBatch.from_pydict({"word": words.as_longs(word), "n": n})
 
 
+def _frequent(texts: DataFrame, most: int) -> np.ndarray:
+    """The words that occur more often than the one of rank ``most`` + 1, counted over all texts."""
+    counts = texts.mapInArrow(_count, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    counts = stored(counts, "words")
+    sizes = counts.groupBy("n").agg(F.count("*").alias("words")).toArrow()  # few: one row per count that occurs
+    n = sizes.column("n").to_numpy()
+    down = np.argsort(-n)
+    over = np.flatnonzero(np.cumsum(sizes.column("words").to_numpy()[down]) > most)
+    least = int(n[down[over[0]]]) if len(over) else 0
+    return counts.where(F.col("n") > least).select("word").toArrow().column("word").to_numpy().astype(np.int64)
+
+
 def _encode(frequent):
     def run(batches):
         for batch in batches:
@@ -95,73 +107,93 @@ def _joined(column: pa.Array, kind) -> tuple[np.ndarray, np.ndarray]:
 
 
 def expected(model, symbols: np.ndarray, bounds: np.ndarray, totals) -> None:
-    """Adds the expected counts of the texts' segments to totals (start, middle, chain, emit)."""
-    start, middle, chain, emit = model
-    length = np.diff(bounds)
-    cuts = -(-length // SEGMENT)
-    text = np.repeat(np.arange(len(length)), cuts)
-    order = np.arange(len(text)) - (np.cumsum(cuts) - cuts)[text]
-    first = bounds[:-1][text] + order * SEGMENT
-    size = np.minimum(bounds[1:][text] - first, SEGMENT)
-    by_size = np.argsort(-size, kind="stable")
-    first, size, order = first[by_size], size[by_size], order[by_size]
-    for at in range(0, len(first), 2048):
-        f, s, head = first[at : at + 2048], size[at : at + 2048], order[at : at + 2048] == 0
-        steps, live = int(s[0]), [int(np.searchsorted(-s, -t, side="left")) for t in range(int(s[0]))]
-        alpha, scale, seen = [], [], []
-        now = np.where(head[:, None], start, middle)
+    """Adds the expected counts of whole texts to totals (start, chain, emit).
+
+    The state is carried forward over a whole text, keeping its probabilities at the head of each
+    window of ``WINDOW`` tokens; then the windows are gone through from the last to the first.
+    Scaling is needed between windows only, as emissions are taken relative to the largest of
+    their symbol, which cancels out.
+    """
+    start, chain, emit = model
+    likely, back = emit / emit.max(1, keepdims=True), np.ascontiguousarray(chain.T)
+    length, moves = np.diff(bounds), np.zeros_like(chain)
+    order = np.argsort(-length, kind="stable")
+    order = order[: np.count_nonzero(length)]
+    every, weight = [], []
+
+    def flush():
+        seen, share = np.concatenate(every).astype(np.int64), np.concatenate(weight)
+        for k in range(len(start)):
+            totals[2][:, k] += np.bincount(seen, share[:, k], len(emit))
+        every.clear()
+        weight.clear()
+
+    for at in range(0, len(order), 2048):
+        first, size = bounds[order[at : at + 2048]], length[order[at : at + 2048]]
+        steps = int(size[0])
+        live = np.searchsorted(-size, -np.arange(steps), side="left").tolist() + [0]
+        heads = []
         for t in range(steps):
             n = live[t]
-            seen.append(symbols[f[:n] + t])
-            now = (now if t == 0 else now[:n] @ chain) * emit[seen[t]]
-            total = now.sum(1, keepdims=True)
-            now = now / total
-            alpha.append(now)
-            scale.append(total)
-        beta = np.ones((live[-1], len(start)))
-        for t in range(steps - 1, -1, -1):
-            n = live[t]
-            if t < steps - 1:
-                after = beta * emit[seen[t + 1]] / scale[t + 1]
-                m = len(after)
-                totals[2] += (alpha[t][:m].T @ after) * chain
-                beta = np.ones((n, len(start)))
-                beta[:m] = after @ chain.T
-            gamma = alpha[t] * beta
-            alpha[t] = gamma
-            if t == 0:
-                totals[0] += gamma[head].sum(0)
-                totals[1] += gamma[~head].sum(0)
-        every, weight = np.concatenate(seen), np.concatenate(alpha)
-        for k in range(len(start)):
-            totals[3][:, k] += np.bincount(every, weight[:, k], len(emit))
+            seen = likely.take(symbols.take(first[:n] + t), 0)
+            now = start * seen if t == 0 else (now[:n] @ chain) * seen
+            if t % WINDOW == 0:
+                now = now / now.sum(1, keepdims=True)
+                heads.append(now)
+        after = None  # what follows a token: its emission times the rest of the text, per state
+        for w in range(len(heads) - 1, -1, -1):
+            low, high = w * WINDOW, min(steps, (w + 1) * WINDOW)
+            found = [symbols.take(first[: live[t]] + t) for t in range(low, high)]
+            seen = [likely.take(x, 0) for x in found]
+            alpha = [heads[w]]
+            for t in range(low + 1, high):
+                alpha.append((alpha[-1][: live[t]] @ chain) * seen[t - low])
+            for t in range(high - 1, low - 1, -1):
+                n, m, here = live[t], live[t + 1], alpha[t - low]
+                beta = np.empty((n, len(start)))
+                if m:
+                    np.matmul(after, back, out=beta[:m])
+                    if t == high - 1:
+                        scale = (here[:m] * beta[:m]).sum(1, keepdims=True)
+                        beta[:m] /= scale
+                        after = after / scale
+                    moves += here[:m].T @ after
+                if n > m:
+                    beta[m:] = 1 / here[m:].sum(1, keepdims=True)
+                after = seen[t - low] * beta
+                here *= beta
+            every += found
+            weight += alpha
+            if len(every) * len(found[0]) >= 1 << 17 or len(every) >= 1 << 12:
+                flush()
+        totals[0] += alpha[0].sum(0)
+    totals[1] += moves * chain
+    if every:
+        flush()
 
 
 def _empty(states: int, symbols: int):
-    return [np.zeros(states), np.zeros(states), np.zeros((states, states)), np.zeros((symbols, states))]
+    return [np.zeros(states), np.zeros((states, states)), np.zeros((symbols, states))]
 
 
 def normalised(totals, unigram: np.ndarray):
     """Probabilities from expected counts, a little of the unigram mixed into each state."""
-    start, middle, chain, emit = totals
+    start, chain, emit = totals
     emit = emit + unigram[:, None] * (1.0 + 0.01 * emit.sum(0))
     chain = chain + 0.1
-    return (
-        (start + 0.1) / (start + 0.1).sum(),
-        (middle + 0.1) / (middle + 0.1).sum(),
-        chain / chain.sum(1, keepdims=True),
-        emit / emit.sum(0),
-    )
+    return (start + 0.1) / (start + 0.1).sum(), chain / chain.sum(1, keepdims=True), emit / emit.sum(0)
+
+
+def start_model(unigram: np.ndarray, states: int):
+    """States that seldom change and each lean to other symbols, by fixed random weights."""
+    emit = unigram[:, None] * np.random.RandomState(7).uniform(0.5, 1.5, (len(unigram), states))
+    chain = 0.9 * np.eye(states) + 0.1 / states
+    return np.full(states, 1 / states), chain, emit / emit.sum(0)
 
 
 def first_model(symbols, bounds, unigram, states, rounds):
-    """Baum-Welch on a small sample, from states that each lean to some of its texts."""
-    draw = np.random.RandomState(7)
-    totals = _empty(states, len(unigram))
-    lean = draw.randint(states, size=len(bounds) - 1)
-    np.add.at(totals[3], (symbols, np.repeat(lean, np.diff(bounds))), 1.0)
-    totals[2] += np.eye(states) * len(symbols)
-    model = normalised(totals, unigram)
+    """The training of :func:`score_texts` over texts in memory."""
+    model = start_model(unigram, states)
     for _ in range(rounds):
         totals = _empty(states, len(unigram))
         expected(model, symbols, bounds, totals)
@@ -171,7 +203,7 @@ def first_model(symbols, bounds, unigram, states, rounds):
 
 def likelihoods(model, symbols: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     """log10 probability of each whole sequence, by the scaled forward recursion."""
-    start, _, chain, emit = model
+    start, *_, chain, emit = model
     length = np.diff(bounds)
     order = np.argsort(-length, kind="stable")
     first, size = bounds[:-1][order], length[order]
@@ -189,12 +221,12 @@ def likelihoods(model, symbols: np.ndarray, bounds: np.ndarray) -> np.ndarray:
 
 def _expect(model):
     def run(batches):
-        totals = _empty(len(model[0]), len(model[3]))
+        totals = _empty(len(model[0]), len(model[2]))
         for batch in batches:
             expected(model, *_joined(batch.column(0), np.uint16), totals)
-        used = np.flatnonzero(totals[3].any(1))
-        place = np.concatenate((used, -1 - np.arange(len(model[0]) + 2)))
-        table = np.concatenate((totals[3][used], totals[2], totals[:2]))
+        used = np.flatnonzero(totals[2].any(1))
+        place = np.concatenate((used, -1 - np.arange(len(model[0]) + 1)))
+        table = np.concatenate((totals[2][used], totals[1], totals[:1]))
         yield pa.RecordBatch.from_arrays(
             [pa.array(place), *(pa.array(x) for x in table.T)], ["place", *(f"k{k}" for k in range(table.shape[1]))]
         )
@@ -210,15 +242,27 @@ def _trained(coded: DataFrame, model, unigram):
     place = found.column("place").to_numpy()
     table = np.stack([found.column(k).to_numpy() for k in states], 1)
     totals = _empty(len(states), len(unigram))
-    totals[3][place[place >= 0]] = table[place >= 0]
+    totals[2][place[place >= 0]] = table[place >= 0]
     rest = {int(-1 - p): row for p, row in zip(place, table, strict=True) if p < 0}
     if not rest:
         return model
-    totals[2] = np.stack([rest[k] for k in range(len(states))])
-    totals[0], totals[1] = rest[len(states)], rest[len(states) + 1]
+    totals[1] = np.stack([rest[k] for k in range(len(states))])
+    totals[0] = rest[len(states)]
     return normalised(totals, unigram)
 
 
+@contextlib.contextmanager
+def _shuffles_removed(spark: SparkSession):
+    """While it lasts, a query's shuffle files go when it ends, so that rounds do not fill the disks."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, "false")
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def _symbol_counts(size):
     def run(batches):
         total = np.zeros(size, np.int64)
@@ -336,12 +380,8 @@ def score_texts(
     kind = docs.schema["doc_id"].dataType.simpleString()
     rows = docs.select("doc_id", held_out.alias("held_out"), F.coalesce("text", F.lit("")).alias("text"))
     train = rows.where(~F.col("held_out"))
-    order = [F.xxhash64(F.col("doc_id").cast("string")), "doc_id"]
-    few = train.select("doc_id").distinct().orderBy(*order).limit(SAMPLE)
-    sample = train.join(F.broadcast(few), "doc_id", "left_semi").select("text")
-    top = sample.mapInArrow(_count, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    top = top.orderBy(F.desc("n"), "word").limit(frequent).select("word").toArrow().column("word").to_numpy()
-    known = np.sort(np.union1d(top.astype(np.int64).view(np.uint64), [END]))
+    top = _frequent(train.select("text"), frequent)
+    known = np.sort(np.union1d(top.view(np.uint64), [END]))
     size = len(known) + BUCKETS
     shape = _CODED.format(id=kind)
     coded = rows.mapInArrow(_encode(known), shape.rsplit(",", 1)[0])
@@ -354,14 +394,10 @@ def score_texts(
     total = int(counts.sum())
     unigram = (counts + 1.0) / (total + size)
 
-    picked = few.orderBy(*order).limit(SAMPLE // 4)
-    begin = coded.where(~F.col("held_out")).join(F.broadcast(picked), "doc_id", "left_semi").select("symbols").limit(SAMPLE // 4).toArrow()
-    if begin.num_rows:
-        model = first_model(*_joined(begin.column("symbols").combine_chunks(), np.uint16), unigram, states, START_ROUNDS)
-    else:
-        model = normalised(_empty(states, size), unigram)
-    for _ in range(rounds if total else 0):
-        model = _trained(training, model, unigram)
+    model = start_model(unigram, states)
+    with _shuffles_removed(docs.sparkSession):
+        for _ in range(rounds if total else 0):
+            model = _trained(training, model, unigram)
 
     shards = even_keys(docs.sparkSession, shuffles(docs.sparkSession))
     packed = coded.select("uid", "rare", "held_out").mapInArrow(

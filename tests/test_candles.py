@@ -191,6 +191,24 @@ def test_mart_job(spark, raw, tmp_path):
     assert not exists(spark, staging)
 
 
+def test_late_trades_and_superseded_versions_reach_the_mart(spark, tmp_path):
+    table, mart, staging = (str(tmp_path / n) for n in ("raw", "mart", "staging"))
+    day, loaded = 86_400, []
+    loads = (
+        [(1, "a", 1, 10), (2, "a", 2, 3 * day), (3, "b", 3, 20), (4, "c", 4, day)],
+        [(5, "a", 5, 11), (6, "d", 6, 2 * day)],  # days behind the newest candle
+        [(3, "b", 7, 3 * day + 5), (4, "c", 8, 2 * day)],  # take trades from older days; one is left empty
+        [],
+    )
+    for rows in loads:
+        loaded += rows
+        new = trades(spark, rows).withColumn("insert_date", F.to_date("trade_time"))
+        new.write.mode("append").partitionBy("insert_date").parquet(table)
+        refresh_mart(spark, table, mart, staging, late=True)
+        full = candles.ohlcv(dedup.dedup_trades(trades(spark, loaded)))
+        same(read_mart(spark, mart).select(*full.columns), full)
+
+
 def test_mart_job_finishes_what_a_dead_run_staged(spark, raw, tmp_path):
     mart, staging = str(tmp_path / "mart"), str(tmp_path / "staging")
     full = with_period_date(candles.ohlcv(raw))

@@ -57,9 +57,9 @@ def _load(spark, args):
 
 def _refresh(spark, args):
     if args.serving:
-        cutoff = refresh_and_publish(spark, args.raw, args.mart, args.staging, args.serving, args.bucket)
+        cutoff = refresh_and_publish(spark, args.raw, args.mart, args.staging, args.serving, args.bucket, late=True)
     else:
-        cutoff = refresh_mart(spark, args.raw, args.mart, args.staging, args.bucket)
+        cutoff = refresh_mart(spark, args.raw, args.mart, args.staging, args.bucket, late=True)
     print(f"rebuilt from {cutoff.isoformat()}")
 
 

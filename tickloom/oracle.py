@@ -217,6 +217,7 @@ FROM c GROUP BY date_trunc('hour', c.period_start), symbol""",
 UNION ALL {_candles('(SELECT * FROM r WHERE trade_time >= (SELECT cutoff FROM cut))')}""",
         _FIRST_LOAD,
     ),
+    "refresh_candles_late": _with(_candles("r")),
     "publish_candles": _with(
         "SELECT *, CAST(strftime(period_start, '%Y%m') AS INTEGER) AS period_month FROM c", _C
     ),

@@ -2,20 +2,24 @@
 
 from __future__ import annotations
 
-from datetime import date, datetime, timedelta, timezone
+import hashlib
+import re
+from datetime import date, datetime, time, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickloom.operators.candles import REBUILD_TAIL_SECONDS, candles_from
+from tickloom.operators.dedup import TRADE_KEY
 from tickloom.operators.placement import with_period_date
 from tickloom.schema import CANDLE, CANDLE_COLUMNS, RAW_TRADE
 from tickloom.session import fitted_shuffles
-from tickloom.sinks.tables import apply_staged, delete, partition_values, stage
+from tickloom.sinks.tables import apply_staged, delete, exists, partition_values, stage
 from tickloom.sources.lake import partitioned, read_table
 
 MART_BY = ["period_date"]
 MART_SORT = ["symbol", "period_start"]
+FOLDED = "_FOLDED"  # the raw files of each day that the mart's candles were made of
 PUBLISHED = "_PUBLISHED"  # names the serving table that has the whole mart; a refresh removes it
 EPOCH = datetime(1970, 1, 1, tzinfo=timezone.utc)
 
@@ -60,6 +64,50 @@ def mart_cutoff(
     return _newest_before(mart, days, tail) or EPOCH
 
 
+def _raw_days(raw: DataFrame) -> dict[str, str]:
+    """A digest of the names of each raw day's files, as this frame has listed them."""
+    names: dict[str, list[str]] = {}
+    for path in raw.inputFiles():
+        day = re.search(r"/insert_date=(\d{4}-\d\d-\d\d)/(.*)", path)
+        if day:
+            names.setdefault(day[1], []).append(day[2])
+    return {d: hashlib.sha256("\n".join(sorted(n)).encode()).hexdigest() for d, n in names.items()}
+
+
+def _touched_days(raw: DataFrame, changed: list[str]) -> list[str]:
+    """The changed days and the earlier ones with versions of their trades, which may have lost."""
+    keys = _on_days(raw, "insert_date", changed).select(*TRADE_KEY).where("trade_id IS NOT NULL").distinct()
+    earlier = raw.where(F.col("insert_date") < F.lit(max(changed)).cast("date"))
+    others = earlier.join(keys, TRADE_KEY, "left_semi").select(F.col("insert_date").cast("string")).distinct()
+    return sorted({*changed, *(r[0] for r in others.collect())})
+
+
+def _on_days(rows: DataFrame, column: str, days: list[str]) -> DataFrame:
+    return rows.where(F.col(column).isin([date.fromisoformat(d) for d in days]))
+
+
+def _refresh_days(spark: SparkSession, raw_path: str, mart_path: str, staging_path: str, bucket: str | int, dedup: bool):
+    """Rebuild every day whose raw files are not those of the last refresh, however old it is."""
+    raw = read_raw(spark, raw_path)
+    now, note = _raw_days(raw), f"{mart_path}/{FOLDED}"
+    before = {r["day"]: r["files"] for r in spark.read.parquet(note).collect()} if exists(spark, note) else {}
+    changed = sorted(d for d in now if now[d] != before.get(d))
+    if not changed:
+        return mart_cutoff(spark, mart_path)
+    touched = _touched_days(raw, changed) if dedup else changed
+    cutoff = datetime.combine(date.fromisoformat(touched[0]), time.min, timezone.utc)
+    fresh = with_period_date(candles_from(raw, F.lit(cutoff), bucket, dedup))
+    fresh = _on_days(fresh, "period_date", touched)
+    with fitted_shuffles(raw.where(F.col("insert_date") >= F.lit(cutoff.date()))):
+        left = {str(r[0]) for r in fresh.select("period_date").distinct().collect()}
+        emptied = [f"period_date={d}" for d in touched if d not in left]
+        stage(fresh, staging_path, mart_path, MART_BY, emptied)
+    apply_staged(spark, staging_path, mart_path, MART_BY, MART_SORT)
+    # Without this table, or if writing it fails, the next refresh rebuilds more than it has to.
+    spark.createDataFrame(sorted(now.items()), "day string, files string").coalesce(1).write.mode("overwrite").parquet(note)
+    return cutoff
+
+
 def refresh_mart(
     spark: SparkSession,
     raw_path: str,
@@ -67,14 +115,19 @@ def refresh_mart(
     staging_path: str,
     bucket: str | int = "minute",
     dedup: bool = True,
+    late: bool = False,
 ) -> datetime:
     """Rebuild the tail of the mart from the raw trades and return the cutoff.
 
     The cutoff travels as a literal: it prunes raw partitions and reaches the scan. Only
-    the days from the cutoff on are written.
+    the days from the cutoff on are written. Trades before the cutoff are not looked at, so late
+    ones are lost; with ``late``, all days are rebuilt that got trades since the last refresh
+    or whose trades were superseded, and the mart has the candles of all raw trades.
     """
     delete(spark, f"{mart_path}/{PUBLISHED}")
     apply_staged(spark, staging_path, mart_path, MART_BY, MART_SORT)
+    if late:
+        return _refresh_days(spark, raw_path, mart_path, staging_path, bucket, dedup)
     cutoff = mart_cutoff(spark, mart_path)
     start = F.lit(cutoff)
     raw = read_raw(spark, raw_path)

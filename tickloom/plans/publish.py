@@ -41,7 +41,8 @@ def publish_candles(
 
 
 def refresh_and_publish(
-    spark: SparkSession, raw_path: str, mart_path: str, staging_path: str, serving_path: str, bucket: str | int = "minute"
+    spark: SparkSession, raw_path: str, mart_path: str, staging_path: str, serving_path: str,
+    bucket: str | int = "minute", late: bool = False,
 ) -> datetime:
     """Refresh the mart and send what changed; return the refresh's cutoff.
 
@@ -49,7 +50,7 @@ def refresh_and_publish(
     first, so after a run that died, failed to publish or did not publish, all months go out.
     """
     current = read_note(spark, f"{mart_path}/{PUBLISHED}") == serving_path
-    cutoff = refresh_mart(spark, raw_path, mart_path, staging_path, bucket)
+    cutoff = refresh_mart(spark, raw_path, mart_path, staging_path, bucket, late=late)
     publish_candles(spark, mart_path, serving_path, cutoff if current else None)
     write_note(spark, f"{mart_path}/{PUBLISHED}", serving_path)
     return cutoff

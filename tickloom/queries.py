@@ -277,6 +277,19 @@ def refresh_candles(spark, folder):
     return read_mart(spark, mart).drop("period_date")
 
 
+@query
+def refresh_candles_late(spark, folder):
+    """The same loads, with nothing lost of the symbol that is a day behind."""
+    raw = _raw(spark, folder).withColumn("insert_date", F.to_date("trade_time"))
+    table, mart, staging = (scratch_path(spark, n) for n in ("raw", "mart", "staging"))
+    early = F.coalesce(_first_load(raw), F.lit(False))
+    for part in (early, ~early):
+        raw.where(part).write.mode("append").partitionBy("insert_date").parquet(table)
+        refresh_mart(spark, table, mart, staging, late=True)
+    refresh_mart(spark, table, mart, staging, late=True)
+    return read_mart(spark, mart).drop("period_date")
+
+
 @query
 def publish_candles(spark, folder):
     mart, serving = scratch_path(spark, "mart"), scratch_path(spark, "serving")

@@ -1,9 +1,11 @@
-"""Exact duplicates by a tree merge of sorted digest runs.
+"""Exact duplicates by a tree of aggregates over digest runs.
 
 Every document becomes a digest of its normalised text. Slots hold runs: a digest once,
 with the id to keep, the number of copies and a check value. In each round a slot trades
 with the slots that differ from it in one digit of the slot number, sending each the
-digests that have this digit, and merges the sorted runs it gets. A round only ever
+digests that have this digit, and aggregates the runs it gets by slot and digest: a hash
+aggregate takes the place of sorting the runs and merging them, with the same result. The
+check value is a second hash with the length; texts are not compared. A round only ever
 combines ``FAN_IN`` runs, so a text with a billion copies is one row per run from the
 first merge on, and after the last round each slot holds a range of digests, not all.
 """
@@ -33,7 +35,8 @@ def digests(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> Data
 
 
 def merge_runs(runs: DataFrame, keep: str) -> DataFrame:
-    """One row per slot and digest. Rows of one digest merge only where the check agrees."""
+    """One row per slot and digest, by a hash aggregate. Rows of one digest count as equal only
+    where the check agrees."""
     winner = F.max("keep_id") if keep == "largest" else F.min("keep_id")
     return runs.groupBy("slot", "text_sha256", "check").agg(
         winner.alias("keep_id"), F.sum("copies").alias("copies")

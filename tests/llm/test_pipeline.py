@@ -47,7 +47,7 @@ def test_run_equals_the_stages(spark, folder):
 def test_query_equals_its_sql(spark, name):
     folder = "/root/testdata/sf0.01"
     db = duckdb.connect()
-    for view in ("documents", "embeddings"):
+    for view in ("documents", "embeddings", "benchmark"):
         db.execute(f"CREATE VIEW {view} AS SELECT * FROM read_parquet('{folder}/{view}.parquet')")
     got, expected = QUERIES[name](spark, folder).toPandas(), db.sql(ORACLE[name]).df()
     columns = sorted(got.columns)
@@ -57,4 +57,4 @@ def test_query_equals_its_sql(spark, name):
 
 
 def test_every_operator_has_a_query():
-    assert {int(name[2:].split("_")[0]) for name in QUERIES} == set(range(1, 11))
+    assert {int(name[2:].split("_")[0]) for name in QUERIES} == set(range(1, 14))

@@ -14,9 +14,12 @@ from tickloom.llm.exact_dedup import exact_duplicates
 from tickloom.llm.hmm import score_texts
 from tickloom.llm.language import identified
 from tickloom.llm.licenses import license_scan
+from tickloom.llm.line_rules import line_report
+from tickloom.llm.merkle import lower_case_tampering
 from tickloom.llm.mixing import mix_plan
 from tickloom.llm.near_dedup import near_duplicates
 from tickloom.llm.quality import quality_scores
+from tickloom.llm.search import ranked_search
 from tickloom.llm.substring_dedup import repeated_passages
 from tickloom.llm.text import held_out
 from tickloom.llm.topk import top_k
@@ -82,6 +85,19 @@ def op10_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_ranked_search(spark: SparkSession, folder: str) -> DataFrame:
+    return ranked_search(table(spark, folder, "documents"), table(spark, folder, "benchmark"), k=20)
+
+
+def op12_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    proved = lower_case_tampering(table(spark, folder, "documents"))
+    return proved.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
+def op13_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return line_report(table(spark, folder, "documents")).drop("clean_text")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -95,5 +111,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_exact_dedup,
         op9_hidden_markov_lm,
         op10_quality_classifier,
+        op11_ranked_search,
+        op12_merkle_manifest,
+        op13_quality_rules,
     )
 }

@@ -1,6 +1,7 @@
 """Candles, their order rules, roll-up, refresh and rolling windows."""
 
 import random
+import shutil
 from datetime import datetime, timedelta
 from decimal import Decimal
 
@@ -11,10 +12,12 @@ from pyspark.sql import Window
 
 from tickloom.operators import analytics, candles, dedup
 from tickloom.operators.placement import with_period_date
-from tickloom.plans.mart import EPOCH, mart_cutoff, read_mart, refresh_mart
+from tickloom.plans.mart import EPOCH, FOLDED, mart_cutoff, plan_refresh, read_mart, read_raw, refresh_mart
+from tickloom.plans.upkeep import compact_days, expire_days
 from tickloom.schema import CANDLE, RAW_TRADE
 from tickloom.sinks.tables import MARKER, exists, stage, write_partitions
 from tickloom.sources import events as ev
+from tickloom.sources.lake import partitioned, read_days
 
 START = datetime(2024, 1, 1)
 
@@ -124,30 +127,32 @@ def mart_of(spark, minutes, symbol="a"):
     return spark.createDataFrame(rows, CANDLE)
 
 
-def test_cutoff(spark):
-    def cutoff(minutes):
-        got = candles.refresh_cutoff(mart_of(spark, minutes)).select(
-            F.col("cutoff").cast("timestamp_ntz")
-        )
-        return got.first()[0]
-
-    assert cutoff([]) == datetime(1970, 1, 1)
-    assert cutoff([0, 30, 60]) == datetime(1970, 1, 1)  # span of one hour: nothing is left
-    assert cutoff([0, 30, 61]) == START
-    assert cutoff([0, 50, 200, 259, 260]) == START + timedelta(minutes=50)
-
-
-def test_refresh_without_news_changes_nothing_and_keeps_keys_unique(raw):
-    full = candles.ohlcv(raw).persist()
-    once = candles.refresh_candles(full, raw).persist()
-    same(once, full)
-    twice = candles.refresh_candles(once, raw)
-    assert twice.count() == twice.select("symbol", "period_start").distinct().count()
-    same(twice, full)
-
-
-def test_refresh_from_nothing_is_a_full_build(spark, raw):
-    same(candles.refresh_candles(spark.createDataFrame([], CANDLE), raw), candles.ohlcv(raw))
+def test_cutoff(spark, tmp_path):
+    for n, (minutes, want) in enumerate(
+        [
+            ([], None),
+            ([0, 30, 60], None),  # span of one hour: nothing is left
+            ([0, 30, 61], 0),
+            ([0, 50, 200, 259, 260], 50),
+            ([0, 5 * 24 * 60], 0),  # days apart: found partition by partition
+        ]
+    ):
+        mart = str(tmp_path / f"mart{n}")
+        write_partitions(with_period_date(mart_of(spark, minutes)), mart, ["period_date"])
+        expected = EPOCH if want is None else (START + timedelta(minutes=want)).replace(tzinfo=EPOCH.tzinfo)
+        assert mart_cutoff(spark, mart) == expected
+
+
+@pytest.mark.parametrize("late", [True, False])
+def test_refresh_without_news_changes_nothing_and_keeps_keys_unique(spark, raw, tmp_path, late):
+    table, mart, staging = (str(tmp_path / n) for n in ("raw", "mart", "staging"))
+    raw.withColumn("insert_date", F.to_date("trade_time")).write.partitionBy("insert_date").parquet(table)
+    full = candles.ohlcv(raw)
+    for _ in range(2):
+        refresh_mart(spark, table, mart, staging, late=late)
+        got = read_mart(spark, mart)
+        assert got.count() == got.select("symbol", "period_start").distinct().count()
+        same(got.select(*full.columns), full)
 
 
 def test_filter_before_dedup_keeps_the_winner(spark):
@@ -178,15 +183,13 @@ def test_mart_job(spark, raw, tmp_path):
     newest = raw.agg(F.max("trade_time")).first()[0]
     early = F.col("trade_time") < newest - timedelta(hours=30)
     dated.where(early).write.partitionBy("insert_date").parquet(table)
-    refresh_mart(spark, table, mart, staging)
+    refresh_mart(spark, table, mart, staging, late=False)
     dated.where(~early).write.mode("append").partitionBy("insert_date").parquet(table)
-    expected = candles.refresh_cutoff(read_mart(spark, mart)).select(F.unix_micros("cutoff")).first()[0]
     cutoff = mart_cutoff(spark, mart)
-    assert (cutoff - EPOCH) // timedelta(microseconds=1) == expected
-    assert refresh_mart(spark, table, mart, staging) == cutoff
+    assert refresh_mart(spark, table, mart, staging, late=False) == cutoff
     full = candles.ohlcv(raw)
     same(read_mart(spark, mart).select(*full.columns), full)
-    refresh_mart(spark, table, mart, staging)
+    refresh_mart(spark, table, mart, staging, late=False)
     same(read_mart(spark, mart).select(*full.columns), full)
     assert not exists(spark, staging)
 
@@ -204,11 +207,109 @@ def test_late_trades_and_superseded_versions_reach_the_mart(spark, tmp_path):
         loaded += rows
         new = trades(spark, rows).withColumn("insert_date", F.to_date("trade_time"))
         new.write.mode("append").partitionBy("insert_date").parquet(table)
-        refresh_mart(spark, table, mart, staging, late=True)
+        refresh_mart(spark, table, mart, staging)
         full = candles.ohlcv(dedup.dedup_trades(trades(spark, loaded)))
         same(read_mart(spark, mart).select(*full.columns), full)
 
 
+def loaded(spark, table, rows, batch="b"):
+    dated = trades(spark, rows).withColumns({"insert_date": F.to_date("trade_time"), "batch": F.lit(batch)})
+    dated.write.mode("append").partitionBy("insert_date", "batch").parquet(table)
+
+
+def test_a_late_trade_reads_its_own_days_only(spark, tmp_path):
+    table, mart, staging = (str(tmp_path / n) for n in ("raw", "mart", "staging"))
+    day = 86_400
+    loaded(spark, table, [(d * 40_000 + i, "a", 1, d * day + i) for d in range(9) for i in range(5)])
+    refresh_mart(spark, table, mart, staging)
+    assert plan_refresh(spark, table, mart).changed == []
+    loaded(spark, table, [(4 * 40_000 + 7, "a", 1, 4 * day + 7)])
+    work = plan_refresh(spark, table, mart)
+    assert work.changed == work.rebuild == work.read == ["2024-01-05"]
+    read = read_days(spark, table, partitioned(RAW_TRADE, "insert_date"), work.read).inputFiles()
+    assert read and all("insert_date=2024-01-05" in f for f in read)
+    refresh_mart(spark, table, mart, staging)
+    # a version of a trade of the third day arrives for the seventh; an old one of the eighth for the first
+    loaded(spark, table, [(2 * 40_000 + 1, "a", 9, 6 * day), (7 * 40_000 + 1, "a", 9, 0)])
+    work = plan_refresh(spark, table, mart)
+    assert work.changed == ["2024-01-01", "2024-01-07"]
+    assert work.rebuild == ["2024-01-01", "2024-01-03", "2024-01-07"]
+    assert work.read == ["2024-01-01", "2024-01-03", "2024-01-07", "2024-01-08"]
+    refresh_mart(spark, table, mart, staging)
+    full = candles.ohlcv(dedup.dedup_trades(read_raw(spark, table)))
+    same(read_mart(spark, mart).select(*full.columns), full)
+
+
+def test_a_trade_that_is_taken_back_gives_its_older_version_the_place(spark, tmp_path):
+    table, mart, staging = (str(tmp_path / n) for n in ("raw", "mart", "staging"))
+    loaded(spark, table, [(1, "a", 5, 10), (2, "a", 6, 20)])
+    loaded(spark, table, [(1, "a", 7, 86_410), (3, "a", 8, 86_420)], "wrong")
+    refresh_mart(spark, table, mart, staging)
+    shutil.rmtree(tmp_path / "raw" / "insert_date=2024-01-02")
+    loaded(spark, table, [(3, "a", 8, 86_420)], "right")
+    refresh_mart(spark, table, mart, staging)
+    full = candles.ohlcv(read_raw(spark, table))
+    same(read_mart(spark, mart).select(*full.columns), full)
+
+
+def test_candles_of_expired_days_stay(spark, tmp_path):
+    table, mart, staging = (str(tmp_path / n) for n in ("raw", "mart", "staging"))
+    day = 86_400
+    loaded(spark, table, [(i, "a", i + 1, 60 * i) for i in range(30)] + [(90 + d, "a", 1, d * day) for d in range(1, 6)])
+    refresh_mart(spark, table, mart, staging)
+    assert expire_days(spark, table, datetime(2024, 1, 6)) == ["2024-01-01", "2024-01-02"]
+    before = read_mart(spark, mart).collect()
+    refresh_mart(spark, table, mart, staging)
+    assert sorted(read_mart(spark, mart).collect()) == sorted(before)
+    # late trades that got into closed days, one of them a newer version of nothing that is left
+    loaded(spark, table, [(500, "a", 1, 30), (501, "a", 1, day + 30), (502, "a", 1, 4 * day + 120)], "late")
+    refresh_mart(spark, table, mart, staging)
+    after = {(r.period_start, r.symbol): r for r in read_mart(spark, mart).collect()}
+    assert len(after) == len(before) + 1
+    assert all(after[r.period_start, r.symbol] == r for r in before)
+    # the next expiry keeps them aside
+    assert expire_days(spark, table, datetime(2024, 1, 6)) == ["2024-01-01", "2024-01-02"]
+    kept = spark.read.parquet(f"{table}_quarantine").collect()
+    assert sorted((r.trade_id, r.reject_reason) for r in kept) == [(500, "day_closed"), (501, "day_closed")]
+
+
+def test_a_note_that_was_not_finished_locks_nothing_out(spark, tmp_path):
+    table, mart, staging = (str(tmp_path / n) for n in ("raw", "mart", "staging"))
+    loaded(spark, table, [(1, "a", 5, 10)])
+    (tmp_path / "mart" / FOLDED).mkdir(parents=True)  # emptied, then died
+    refresh_mart(spark, table, mart, staging)
+    assert plan_refresh(spark, table, mart).changed == []
+    (tmp_path / "mart" / FOLDED / "000000000009").mkdir()  # begun, not finished: the older one counts
+    assert plan_refresh(spark, table, mart).changed == []
+    loaded(spark, table, [(2, "a", 6, 90_000)])
+    refresh_mart(spark, table, mart, staging)
+    assert plan_refresh(spark, table, mart).changed == []
+    assert read_mart(spark, mart).count() == 2
+    assert len(list((tmp_path / "mart" / FOLDED).glob("0*"))) == 1
+
+
+def test_compaction_is_no_news(spark, tmp_path):
+    table, mart, staging = (str(tmp_path / n) for n in ("raw", "mart", "staging"))
+    for n in range(3):
+        loaded(spark, table, [(n, "a", 5, 10 + n), (50 + n, "a", 5, 86_400 + n)], f"b{n}")
+    refresh_mart(spark, table, mart, staging)
+    assert compact_days(spark, table, staging, RAW_TRADE) == ["2024-01-01", "2024-01-02"]
+    assert plan_refresh(spark, table, mart).changed == []
+    # merged again with more rows: only the day that got them is news
+    loaded(spark, table, [(7, "a", 5, 17)], "b7")
+    assert compact_days(spark, table, staging, RAW_TRADE) == ["2024-01-01"]
+    assert plan_refresh(spark, table, mart).changed == ["2024-01-01"]
+    refresh_mart(spark, table, mart, staging)
+    assert compact_days(spark, table, staging, RAW_TRADE) == []
+    full = candles.ohlcv(read_raw(spark, table))
+    same(read_mart(spark, mart).select(*full.columns), full)
+
+
+def test_buckets_must_not_cross_midnight(spark, tmp_path):
+    with pytest.raises(ValueError):
+        refresh_mart(spark, *(str(tmp_path / n) for n in ("raw", "mart", "staging")), bucket=7 * 3600)
+
+
 def test_mart_job_finishes_what_a_dead_run_staged(spark, raw, tmp_path):
     mart, staging = str(tmp_path / "mart"), str(tmp_path / "staging")
     full = with_period_date(candles.ohlcv(raw))
@@ -230,8 +331,6 @@ def test_mart_job_finishes_what_a_dead_run_staged(spark, raw, tmp_path):
 def test_mart_reads_only_the_tail(spark, raw, tmp_path):
     table = str(tmp_path / "raw")
     raw.withColumn("insert_date", F.to_date("trade_time")).write.partitionBy("insert_date").parquet(table)
-    from tickloom.plans.mart import read_raw
-
     cutoff = F.lit(datetime(2024, 1, 30, 5))
     plan = candles.candles_from(read_raw(spark, table), cutoff)._jdf.queryExecution().toString()
     assert "PartitionFilters: [isnotnull(insert_date" in plan

@@ -14,7 +14,8 @@ from tickloom.plans.publish import read_serving
 from tickloom.schema import CANDLE, CANDLE_COLUMNS
 from tickloom.session import fitted_shuffles, shuffle_partitions_for
 from tickloom.sources import events as ev
-from tickloom.streaming.ingest import read_live_candles, read_realtime
+from tickloom.streaming.ingest import read_realtime
+from tickloom.streaming.live import read_live_candles
 
 
 def same(a, b):
@@ -74,7 +75,7 @@ def test_tables_agree(spark, pipeline):
 def test_written_times_carry_statistics(pipeline):
     """Without them a time filter skips no row group."""
     for table, column in (("raw", "trade_time"), ("mart", "period_start"), ("rt", "trade_time")):
-        file = next((pipeline / table).rglob("*.parquet"))
+        file = next(f for day in (pipeline / table).glob("*_date=*") for f in day.rglob("*.parquet"))
         meta = pq.ParquetFile(file).metadata
         stats = {
             meta.row_group(0).column(i).path_in_schema: meta.row_group(0).column(i)

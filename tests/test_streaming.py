@@ -6,24 +6,28 @@ from pathlib import Path
 
 import pytest
 from conftest import DATA
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from tickloom.operators import candles, ingest
+from tickloom.plans.changes import closed_before
 from tickloom.plans.upkeep import compact_days, expire_days
 from tickloom.schema import BUS_MESSAGE, LAKE_TRADE, RAW_TRADE, TRADE_COLUMNS
 from tickloom.sinks.tables import MARKER, partition_values
 from tickloom.sources import events as ev
-from tickloom.sources.bus import file_stream
-from tickloom.sources.lake import read_table
-from tickloom.streaming.archive import load_and_archive
-from tickloom.streaming.ingest import (
+from tickloom.sources.bus import file_stream, text_stream
+from tickloom.sources.lake import read_lake, read_table
+from tickloom.streaming.archive import load_and_archive, load_to_jdbc
+from tickloom.streaming.ingest import ingest_realtime, ingest_to_lake, normalize_to_lake, read_realtime
+from tickloom.streaming.live import (
     LIVE_CANDLE,
-    ingest_realtime,
-    ingest_to_lake,
+    LIVE_IDS,
+    LIVE_TABLE,
+    LiveTables,
     live_candles,
     merge_live_candles,
+    merge_live_ids,
     read_live_candles,
-    read_realtime,
 )
 
 START = datetime(2024, 1, 1)
@@ -114,51 +118,123 @@ def test_realtime_shows_each_trade_once_however_late(spark, bus, tmp_path):
     assert reasons == ["no_trade_id", "no_trade_id", "time_in_future"]
 
 
-def test_live_candles_follow_trades_and_drop_late_ones(spark, bus, tmp_path):
-    table, state = str(tmp_path / "live"), str(tmp_path / "state")
-    assert read_live_candles(spark, table).count() == 0
-
-    def run():
-        return drain(live_candles(file_stream(spark, bus.path, 1), table, state))
+@pytest.fixture
+def live(spark, bus, tmp_path):
+    """Tables of a live stream with functions to drain the bus into them and to show the candles."""
+    tables = LiveTables(str(tmp_path / "live"))
+    tables.state = str(tmp_path / "state")
+    tables.run = lambda: drain(live_candles(file_stream(spark, bus.path, 1), tables.candles, tables.state))
 
     def shown():
-        rows = read_live_candles(spark, table).withColumn(
-            "at", F.col("period_start").cast("timestamp_ntz")
-        )
+        rows = read_live_candles(spark, tables.candles).withColumn("at", F.col("period_start").cast("timestamp_ntz"))
         return {
             int((r["at"] - START) / timedelta(minutes=1)): (r.open_price, r.close_price, r.trades_count)
             for r in rows.collect()
         }
 
+    tables.shown = shown
+    tables.versions = lambda: read_table(spark, tables.candles, LIVE_TABLE).count()
+    return tables
+
+
+def test_live_candles_follow_trades_however_late(spark, bus, live, tmp_path):
+    assert live.shown() == {}
     bus(message(2, 0.5, 20.0), message(3, 5, 30.0))
-    run()
-    assert shown() == {0: (20.0, 20.0, 1), 5: (30.0, 30.0, 1)}
-    # an older trade of an open candle: open price changes, the candle is written again
+    live.run()
+    assert live.shown() == {0: (20.0, 20.0, 1), 5: (30.0, 30.0, 1)}
+    # an older trade of a candle: open price changes, that candle alone is written again
     bus(message(1, 0.1, 10.0), message(4, 100, 40.0))
-    run()
-    assert shown() == {0: (10.0, 20.0, 2), 5: (30.0, 30.0, 1), 100: (40.0, 40.0, 1)}
-    # the watermark is now at minute 40: 50 still counts, 20 does not
-    bus(message(5, 50, 50.0), message(6, 20, 60.0))
-    query = run()
-    assert shown() == {
-        0: (10.0, 20.0, 2), 5: (30.0, 30.0, 1), 50: (50.0, 50.0, 1), 100: (40.0, 40.0, 1),
+    live.run()
+    assert live.shown() == {0: (10.0, 20.0, 2), 5: (30.0, 30.0, 1), 100: (40.0, 40.0, 1)}
+    assert live.versions() == 4
+    # hours and days behind the newest: all count
+    bus(message(5, 50, 50.0), message(6, 20, 60.0), message(7, -3000, 5.0))
+    live.run()
+    want = {
+        -3000: (5.0, 5.0, 1), 0: (10.0, 20.0, 2), 5: (30.0, 30.0, 1), 20: (60.0, 60.0, 1),
+        50: (50.0, 50.0, 1), 100: (40.0, 40.0, 1),
     }
-    dropped = sum(
-        op["numRowsDroppedByWatermark"] for p in query.recentProgress for op in p["stateOperators"]
-    )
-    assert dropped == 1
-    versions = spark.read.parquet(table).count()
-    before = shown()
+    assert live.shown() == want
     merged = compact_days(
-        spark, table, str(tmp_path / "staging"), LIVE_CANDLE, by="period_date", merge=merge_live_candles
+        spark, live.candles, str(tmp_path / "staging"), LIVE_CANDLE, by="period_date", merge=merge_live_candles
     )
-    assert merged == ["2024-01-01"]
-    assert spark.read.parquet(table).count() == 4 < versions
-    assert shown() == before
-    # and newer states still win over merged ones
-    bus(message(7, 100.5, 70.0))
-    run()
-    assert shown()[100] == (40.0, 70.0, 2)
+    assert merged == ["2023-12-29", "2024-01-01"]
+    assert live.versions() == 6 and live.shown() == want
+    # trades and ids are merged too, and newer states still win over merged ones
+    assert compact_days(spark, live.trades, str(tmp_path / "staging"), RAW_TRADE) == ["2023-12-29", "2024-01-01"]
+    assert compact_days(spark, live.ids, str(tmp_path / "staging"), LIVE_IDS, merge=merge_live_ids) == ["2023-12-29", "2024-01-01"]
+    bus(message(8, 100.5, 70.0), message(2, 0.5, 20.0))
+    live.run()
+    assert live.shown() == want | {100: (40.0, 70.0, 2)}
+
+
+def test_live_replays_touch_nothing_and_versions_touch_both_candles(spark, bus, live):
+    sent = [message(i, i, float(i)) for i in range(1, 6)]
+    bus(*sent, *sent)
+    live.run()
+    assert live.versions() == 5
+    bus(*sent)
+    live.run()
+    assert live.versions() == 5
+    # a newer version moves a trade to another candle; the old one is left without a trade
+    bus(message(3, 9, 33.0))
+    live.run()
+    assert live.shown() == {1: (1.0, 1.0, 1), 2: (2.0, 2.0, 1), 4: (4.0, 4.0, 1), 5: (5.0, 5.0, 1), 9: (33.0, 33.0, 1)}
+    assert live.versions() == 7
+    # an older one loses and changes nothing, also days later and on another day
+    bus(message(3, 8, 1.0), message(3, -5000, 1.0))
+    live.run()
+    assert live.versions() == 7 and 8 not in live.shown()
+    # a version a day later takes the trade there; another symbol's trade of the same id is another trade
+    bus(message(3, 1500, 3.5), message(3, 8, 7.0, symbol="b"))
+    live.run()
+    assert live.shown() == {1: (1.0, 1.0, 1), 2: (2.0, 2.0, 1), 4: (4.0, 4.0, 1), 5: (5.0, 5.0, 1), 8: (7.0, 7.0, 1), 1500: (3.5, 3.5, 1)}
+
+
+def test_live_stream_keeps_what_it_cannot_show(spark, bus, live):
+    far = 6000 * 365 * 24 * 60
+    bus(message(1, 0), message(9, far), message(None, 0), "nope", message(5, 3, 1e15), message(6, 3, symbol="s" * 30))
+    live.run()
+    assert live.shown() == {0: (1.0, 1.0, 1)}
+    rows = spark.read.parquet(live.quarantine).collect()
+    assert sorted(r.reject_reason for r in rows) == [
+        "no_trade_id", "no_trade_id", "number_out_of_range", "symbol_too_long", "time_in_future",
+    ]
+    assert {bytes(r.value).decode() for r in rows} >= {"nope"}
+    bus(message(2, 0.5, 4.0))
+    live.run()
+    assert live.shown() == {0: (1.0, 4.0, 2)}
+
+
+def test_a_live_batch_that_is_run_again_changes_nothing(spark, bus, live):
+    bus(message(1, 0, 5.0), message(2, 1, 6.0))
+    live.run()
+    bus(message(1, 7, 8.0), message(3, 0.5, 9.0))
+    live.run()
+    want = {0: (9.0, 9.0, 1), 1: (6.0, 6.0, 1), 7: (8.0, 8.0, 1)}
+    assert live.shown() == want
+    for file in Path(live.state, "commits").iterdir():
+        if file.name.strip(".").startswith("1"):
+            file.unlink()
+    versions = live.versions()
+    live.run()
+    assert live.shown() == want and live.versions() == versions
+    # a stream that starts anew over the same tables still has the last word
+    live.state += "2"
+    bus(message(4, 7.5, 1.0))
+    live.run()
+    assert live.shown() == want | {7: (8.0, 1.0, 2)}
+
+
+def test_live_trades_of_closed_days_are_kept_aside(spark, bus, live):
+    day = 24 * 60
+    bus(*(message(n, n * day) for n in range(6)))
+    live.run()
+    assert expire_days(spark, live.trades, datetime(2024, 1, 6)) == ["2024-01-01", "2024-01-02"]
+    bus(message(10, 3), message(11, 4 * day + 1))
+    live.run()
+    assert live.shown()[0] == (1.0, 1.0, 1) and 3 not in live.shown() and 4 * day + 1 in live.shown()
+    assert [(r.trade_id, r.reject_reason) for r in spark.read.parquet(live.quarantine).collect()] == [(10, "day_closed")]
 
 
 def test_stream_equals_batch_in_time_order(spark, tmp_path):
@@ -239,3 +315,85 @@ def test_expiry_drops_whole_days_only(spark, tmp_path):
     assert expire_days(spark, raw, datetime(2024, 1, 6, 0, 30)) == ["2024-01-01", "2024-01-02"]
     assert partition_values(spark, raw, "insert_date")[0] == "2024-01-03"
     assert expire_days(spark, str(tmp_path / "none"), datetime(2024, 1, 6)) == []
+
+
+def test_late_trades_of_closed_days_do_not_get_into_the_raw_table(spark, bus, tmp_path):
+    lake, bad, raw, s1, s2 = (str(tmp_path / n) for n in ("lake", "bad", "raw", "s1", "s2"))
+    day = 24 * 60
+
+    def load():
+        drain(ingest_to_lake(file_stream(spark, bus.path), lake, bad, s1))
+        drain(load_and_archive(spark, lake, raw, s2))
+
+    bus(*(message(n, n * day + 60) for n in range(6)))
+    load()
+    expire_days(spark, raw, datetime(2024, 1, 6, 0, 30))
+    bus(message(7, 61), message(8, 4 * day))
+    load()
+    assert partition_values(spark, raw, "insert_date")[0] == "2024-01-03"
+    late = spark.read.parquet(f"{raw}_quarantine").collect()
+    assert [(r.trade_id, r.reject_reason) for r in late] == [(7, "day_closed")]
+    assert sorted(r.trade_id for r in spark.read.parquet(raw).collect()) == [2, 3, 4, 5, 8]
+    # the horizon does not move back
+    assert expire_days(spark, raw, datetime(2024, 1, 4)) == []
+    assert str(closed_before(spark, raw)) == "2024-01-03"
+
+
+def exchange_message(trade_id, minute, price="1.0", symbol="a"):
+    at = START_MS + minute * 60000
+    return json.dumps({"e": "trade", "E": at, "s": symbol, "t": trade_id, "p": price, "q": "2.0", "T": at, "m": True, "M": True})
+
+
+def test_raw_messages_go_to_lake_or_quarantine_once(spark, tmp_path):
+    lake, bad, state, texts = (str(tmp_path / n) for n in ("lake", "bad", "state", "texts"))
+
+    def send(name, *lines):
+        Path(texts).mkdir(exist_ok=True)
+        Path(texts, name).write_text("\n".join(lines) + "\n")
+
+    def run():
+        drain(normalize_to_lake(text_stream(spark, texts, 1), lake, bad, state))
+
+    send("1.txt", exchange_message(1, 0), "nope", exchange_message(None, 0), exchange_message(2, 0, "abc"))
+    run()
+    run()
+    send("2.txt", exchange_message(3, 1, "1e15"), exchange_message(4, 1, symbol="s" * 21), exchange_message(5, 2, "0.5"))
+    run()
+    good = {r.trade_id: (r.price, r.amount_usdt) for r in read_lake(spark, lake).collect()}
+    assert good == {1: (1.0, 2.0), 2: (None, None), 5: (0.5, 1.0)}
+    rejected = spark.read.parquet(bad).collect()
+    assert sorted(r.reject_reason for r in rejected) == ["no_trade_id", "no_trade_id", "number_out_of_range", "symbol_too_long"]
+    assert len(good) + len(rejected) == 7
+    # the lake goes on to the raw table like any other
+    drain(load_and_archive(spark, lake, str(tmp_path / "raw"), str(tmp_path / "s2")))
+    assert spark.read.parquet(str(tmp_path / "raw")).count() == 3
+
+
+def test_lake_goes_to_a_warehouse_once(spark, bus, tmp_path):
+    lake, bad, s1, s2 = (str(tmp_path / n) for n in ("lake", "bad", "s1", "s2"))
+    sent, broken = [], []
+
+    def append(rows, url, table, load_id, connections, **options):
+        if broken:
+            raise OSError(broken.pop())
+        assert (url, table, options) == ("jdbc:x", "t", {"user": "u"})
+        sent.append((load_id, sorted(r.trade_id for r in rows.collect()), rows.schema["price"].dataType.simpleString()))
+
+    def load():
+        return load_to_jdbc(spark, lake, "jdbc:x", "t", s2, 1, append=append, user="u")
+
+    assert load() is None
+    for n in range(2):
+        bus(message(n, n), message(n + 10, n))
+        drain(ingest_to_lake(file_stream(spark, bus.path), lake, bad, s1))
+    drain(load())
+    drain(load())
+    assert [x[0] for x in sent] == [0, 1] and sorted(x[1] for x in sent) == [[0, 10], [1, 11]] and sent[0][2] == "decimal(20,8)"
+    # a batch that fails is sent again under its number
+    bus(message(5, 5))
+    drain(ingest_to_lake(file_stream(spark, bus.path), lake, bad, s1))
+    broken.append("no connection")
+    with pytest.raises(StreamingQueryException):
+        drain(load())
+    drain(load())
+    assert sent[2:] == [(2, [5], "decimal(20,8)")]

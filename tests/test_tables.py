@@ -10,6 +10,7 @@ from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
+from tickloom.functions import bitmaps
 from tickloom.operators import analytics, candles, dedup
 from tickloom.operators.placement import with_period_date
 from tickloom.operators.retention import retain
@@ -22,7 +23,7 @@ from tickloom.sinks.tables import apply_staged, partition_values, stage, write_p
 from tickloom.sources import events as ev
 from tickloom.sources.bus import kafka_stream
 from tickloom.sources.jdbc import read_jdbc
-from tickloom.sources.lake import read_table
+from tickloom.sources.lake import read_lake, read_table
 
 START = datetime(2024, 1, 1)
 
@@ -72,7 +73,9 @@ def test_publish_replaces_only_the_months_sent(spark, tmp_path):
 def test_publishing_catches_up(spark, raw, tmp_path):
     at = lambda name: str(tmp_path / name)
     early = raw.where(F.col("trade_time") < F.lit(START + timedelta(days=20)))
-    later = raw.withColumn("trade_time", F.col("trade_time") + F.expr("interval 60 days"))
+    later = raw.withColumns(
+        {"trade_id": F.col("trade_id") + 10_000_000, "trade_time": F.col("trade_time") + F.expr("interval 60 days")}
+    )
 
     def load(rows):
         dated = rows.withColumn("insert_date", F.to_date("trade_time"))
@@ -153,9 +156,70 @@ def test_dedup_equals_brute_force(spark):
     assert got == best
 
 
-def test_dedup_merges_copies_before_the_shuffle(raw):
-    plan = dedup.dedup_trades(raw)._jdf.queryExecution().executedPlan().toString()
-    assert plan.index("partial_max") > plan.index("Exchange hashpartitioning") > 0
+def test_dedup_sorts_nothing_before_its_shuffles_but_marked_rows(raw, tmp_path, spark):
+    path = str(tmp_path / "raw")
+    raw.write.parquet(path)
+    found = dedup.dedup_trades(spark.read.parquet(path)).where("trade_id = 17 AND symbol = 'view'")
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    pushed = [line for line in plan.split("\n") if "PushedFilters" in line and "EqualTo(trade_id,17), EqualTo(symbol,view)" in line]
+    assert len(pushed) == 2  # unmarked and marked rows
+    # unmarked rows are aggregated by hash on both sides of their shuffle, sorts stand in the other branch only
+    unmarked = plan[: plan.index("Subquery")]
+    assert unmarked.count("HashAggregate") == 2 and unmarked.count("Exchange hashpartitioning") == 1 and "Sort [" not in unmarked
+    assert plan.index("Sort [trade_id") > plan.index("SortAggregate(key=[trade_id")
+    assert found.count() == raw.where("trade_id = 17 AND symbol = 'view'").count()
+
+
+def test_dedup_with_hot_keys_nulls_and_all_kinds_of_versions(spark):
+    """One key holds a third of all rows as copies, another as versions; nulls change places."""
+    at = lambda s: START + timedelta(seconds=s)
+    rows = [(1, "a", Decimal(7), Decimal(1), at(0), "x")] * 400
+    rows += [(2, "a", Decimal(i % 50), Decimal(1), at(i % 3), "x") for i in range(400)]
+    rows += [(i, "b", Decimal(i), None, at(i), "y") for i in range(10, 400)]
+    rows += [(5, None, None, Decimal(5), at(1), "n"), (5, None, Decimal(5), None, at(1), "n")]
+    rows += [(6, "c", Decimal(1), Decimal(1), None, "p"), (6, "c", Decimal(1), Decimal(1), None, None)]
+    rows += [(None, "a", Decimal(1), None, at(1), "x")] * 3
+    table = spark.createDataFrame(rows, "trade_id long, symbol string, price decimal(20,8), quantity decimal(20,8), trade_time timestamp, note string")
+    low = lambda v: (v is not None, v if v is not None else 0)
+    best = {}
+    for r in rows:
+        order = (low(r[4]) if r[4] else (False, START), low(r[2]), low(r[3]), (r[5] is not None, r[5] or ""))
+        if r[0] is not None and (r[:2] not in best or order > best[r[:2]][0]):
+            best[r[:2]] = (order, r)
+    got = dedup.dedup_trades(table).withColumn("trade_time", F.col("trade_time").cast("timestamp_ntz"))
+    want = [r for _, r in best.values()] + rows[-3:]
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(want, key=repr)
+
+
+def test_bitmaps_know_their_ids(spark):
+    ids = [-40_000, -1, 0, 1, 7, 8, 9, 32_767, 32_768, 32_769, 2**62, 5 * 32_768]
+    table = spark.createDataFrame([(i, "a" if i % 2 else None, "d1" if i < 9 else "d2") for i in ids], "trade_id long, symbol string, day string")
+    index = bitmaps.id_bitmaps(table, "day")
+    asked = [*ids, -2, 2, 10, 32_766, 2**62 + 1]
+    places = spark.createDataFrame([(i, "a" if i % 2 else None) for i in asked], "asked long, of string").select(
+        "asked", "of", F.bitmap_bucket_number("asked").alias("b"), F.bitmap_bit_position("asked").alias("p")
+    )
+    met = index.join(places, index["symbol"].eqNullSafe(places["of"]) & (index["bucket"] == places["b"]))
+    held = {r[0] for r in met.where(bitmaps.has_bit(F.col("bits"), F.col("p"))).select("asked").collect()}
+    assert held == set(ids)
+
+    def days(*rows):
+        probe = spark.createDataFrame(list(rows), "trade_id long, symbol string")
+        return sorted(r[0] for r in bitmaps.holders(index, bitmaps.id_bitmaps(probe), "day").collect())
+
+    assert days((7, "a")) == ["d1"] and days((7, None)) == [] and days((6, "a")) == []
+    assert days((0, None), (9, "a"), (3, "a")) == ["d1", "d2"] and days((None, "a")) == []
+
+
+def test_lake_of_both_layouts_is_read_whole(spark, tmp_path):
+    lake = str(tmp_path / "lake")
+    rows = ev.trades_of(ev.read_events(spark, DATA)).limit(90).persist()
+    rows.where("trade_id % 3 = 0").write.parquet(lake)
+    for n in (1, 2):
+        part = rows.where(F.col("trade_id") % 3 == n).withColumn("batch", F.lit(f"b{n}"))
+        part.write.mode("append").partitionBy("batch").parquet(lake)
+    same(read_lake(spark, lake), rows)
+    assert read_lake(spark, str(tmp_path / "none")).count() == 0
 
 
 def test_narrow_dedup_keeps_the_same_winner(raw):
@@ -239,6 +303,10 @@ class Recorder:
         self.seen = {}
         self.write = self
 
+    def repartition(self, tasks):
+        self.seen["tasks"] = tasks
+        return self
+
     def format(self, name):
         self.seen["format"] = name
         return self
@@ -267,6 +335,7 @@ def test_jdbc_options(monkeypatch):
     append_jdbc(rows, "jdbc:x", "t", user="u")
     assert rows.seen["saved"] and rows.seen["mode"] == "append"
     assert {"url", "dbtable", "batchsize", "numPartitions", "user"} <= set(rows.seen)
+    assert rows.seen["tasks"] == rows.seen["numPartitions"]  # dealt by a shuffle, not by narrowing the plan
 
     class Session:
         read = Recorder()

@@ -20,6 +20,12 @@ def seconds_of(bucket: str | int) -> int:
     return width
 
 
+def check_day_bucket(bucket: str | int) -> None:
+    """Tables rebuilt by day need candles that do not cross midnight."""
+    if BUCKET_SECONDS["day"] % seconds_of(bucket):
+        raise ValueError(f"{bucket!r} does not divide a day")
+
+
 def epoch_ms_to_timestamp(ms: Column) -> Column:
     """Exact: keeps milliseconds, also before 1970."""
     return F.timestamp_millis(ms)

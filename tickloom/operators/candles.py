@@ -1,4 +1,4 @@
-"""OHLCV candles: from trades, from finer candles, and by incremental refresh."""
+"""OHLCV candles: from trades, from finer candles, and for the tail of a refresh."""
 
 from __future__ import annotations
 
@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.functions.ordering import BucketOrder
-from tickloom.functions.times import bucket_start, seconds_interval, seconds_of
+from tickloom.functions.times import bucket_start, seconds_of
 from tickloom.operators.dedup import dedup_trades
 from tickloom.schema import CANDLE_COLUMNS
 
@@ -59,24 +59,6 @@ def ohlcv(trades: DataFrame, bucket: str | int = "minute") -> DataFrame:
     return _finish(groups, order, F.col("bucket"))
 
 
-def ohlcv_stream(
-    trades: DataFrame, bucket: str | int = "minute", late_by: str | None = "1 hour"
-) -> DataFrame:
-    """The same candles on a stream, for update mode: open candles are sent again as they change.
-
-    Groups by the window struct, which keeps the watermark, so that state is dropped once a
-    candle is ``late_by`` behind the newest trade; later trades are not counted. Pass None
-    for a stream that already has its watermark on ``trade_time``.
-    """
-    seconds = seconds_of(bucket)
-    order = BucketOrder("trade_time", "trade_id", seconds)
-    timed = trades.select(*CANDLE_INPUT)
-    if late_by:
-        timed = timed.withWatermark("trade_time", late_by)
-    window = F.window("trade_time", f"{seconds} seconds")
-    return _finish(_aggregate(timed, order, window), order, F.col("bucket.start"))
-
-
 def rollup_candles(candles: DataFrame, bucket: str | int = "hour") -> DataFrame:
     """Coarser candles from finer ones."""
     return (
@@ -110,15 +92,6 @@ def total(column: str) -> Column:
     return F.sum(F.col(column).cast("decimal(28,8)")).cast("double")
 
 
-def refresh_cutoff(mart: DataFrame, tail_seconds: int = REBUILD_TAIL_SECONDS) -> DataFrame:
-    """One row, ``cutoff``: the newest candle left once the tail is cut off, or 1970 if none is."""
-    tail = mart.agg(F.max("period_start") - seconds_interval(tail_seconds)).scalar()
-    left = mart.where(F.col("period_start") < tail)
-    return left.agg(
-        F.coalesce(F.max("period_start"), F.timestamp_seconds(F.lit(0))).alias("cutoff")
-    )
-
-
 def candles_from(
     trades: DataFrame, cutoff: Column, bucket: str | int = "minute", dedup: bool = True
 ) -> DataFrame:
@@ -133,17 +106,3 @@ def candles_from(
         tail = tail.where(F.col("insert_date") >= F.to_date(cutoff))
     tail = tail.select(*CANDLE_INPUT)
     return ohlcv(dedup_trades(tail) if dedup else tail, bucket)
-
-
-def refresh_candles(
-    mart: DataFrame, trades: DataFrame, bucket: str | int = "minute", cutoff: Column | None = None
-) -> DataFrame:
-    """The mart with its tail rebuilt from the trades; the key stays unique.
-
-    Everything from the cutoff on comes from the trades and nothing of it from the old
-    mart, so the boundary candle is replaced and not added a second time.
-    """
-    if cutoff is None:
-        cutoff = refresh_cutoff(mart).scalar()
-    kept = mart.where(F.col("period_start") < cutoff).select(*CANDLE_COLUMNS)
-    return kept.unionByName(candles_from(trades, cutoff, bucket))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -26,19 +28,24 @@ EXCHANGE_KEYS = ["t", "s", "p", "q", "T", "E", "m"]
 TAPE_SELL = "SELL 🔴"
 TAPE_BUY = "BUY 🟢"
 
+DAY_CLOSED = "day_closed"
+
 _READERS = {"bigint": lenient_long, "double": lenient_double, "boolean": lenient_boolean}
 
 
-def normalize_raw_trades(messages: DataFrame, value: str = "value") -> DataFrame:
+def normalize_raw_trades(
+    messages: DataFrame, value: str = "value", keep: tuple[str, ...] = ()
+) -> DataFrame:
     """Raw exchange JSON (``t s p q T E m``, prices as text) to the eight trade columns.
 
     ``json_tuple`` reads all keys in one parse and tells ``t`` from ``T`` whatever the
-    session's case sensitivity.
+    session's case sensitivity. ``keep`` names message columns to carry along.
     """
     keys = F.json_tuple(F.col(value).cast("string"), *EXCHANGE_KEYS)
-    raw = messages.select(keys.alias("id", "sym", "price", "qty", "traded", "sent", "maker"))
+    raw = messages.select(*keep, keys.alias("id", "sym", "price", "qty", "traded", "sent", "maker"))
     price, quantity = lenient_double(F.col("price")), lenient_double(F.col("qty"))
     return raw.select(
+        *keep,
         lenient_long(F.col("id")).alias("trade_id"),
         F.col("sym").alias("symbol"),
         price.alias("price"),
@@ -125,14 +132,28 @@ def realtime_reject_reason(arrived: Column, ahead_seconds: int) -> Column:
     That table holds doubles and text of any length, so only an id and a possible time are asked
     for. A time more than ``ahead_seconds`` after the message's arrival comes from a wrong clock.
     """
-    latest = F.unix_millis(arrived) + ahead_seconds * 1000
-    return (
+    impossible = (
         F.when(F.col("trade_id").isNull(), "no_trade_id")
         .when(F.col("trade_time").isNull(), "no_trade_time")
         .when(~is_calendar_ms(F.col("trade_time")), "time_out_of_range")
         .when(~is_calendar_ms(F.col("event_time")), "time_out_of_range")
-        .when(F.col("trade_time") > latest, "time_in_future")
     )
+    return F.coalesce(impossible, in_future(arrived, ahead_seconds))
+
+
+def in_future(arrived: Column, ahead_seconds: int) -> Column:
+    """The reason for a trade time too far after the message's arrival, else NULL."""
+    latest = F.unix_millis(arrived) + ahead_seconds * 1000
+    return F.when(F.col("trade_time") > latest, "time_in_future")
+
+
+def with_closed_days(checked: DataFrame, closed: date | None, time: Column | None = None) -> DataFrame:
+    """Checked trades, those of days before ``closed`` with the reason for being too late."""
+    if closed is None:
+        return checked
+    time = F.timestamp_millis("trade_time") if time is None else time
+    late = F.when(F.to_date(time) < F.lit(closed), DAY_CLOSED)
+    return checked.withColumn("reject_reason", F.coalesce("reject_reason", late))
 
 
 def check_trades(trades: DataFrame) -> DataFrame:

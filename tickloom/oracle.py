@@ -212,7 +212,8 @@ FROM c GROUP BY date_trunc('hour', c.period_start), symbol""",
         _C,
     ),
     "refresh_cutoff": _with("SELECT cutoff FROM cut", _FIRST_LOAD),
-    "refresh_candles": _with(
+    "refresh_candles": _with(_candles("r")),
+    "refresh_candles_tail": _with(
         f"""SELECT * FROM m WHERE period_start < (SELECT cutoff FROM cut)
 UNION ALL {_candles('(SELECT * FROM r WHERE trade_time >= (SELECT cutoff FROM cut))')}""",
         _FIRST_LOAD,
@@ -271,8 +272,21 @@ UNION ALL SELECT trade_id + 10000000, symbol, price,
 FROM t WHERE trade_id % 100 = 1
 UNION ALL SELECT trade_id + 20000000, repeat(symbol, 10), 1e15, make_timestamp(trade_time * 1000), NULL
 FROM t WHERE trade_id % 100 = 2"""
+    ),
+    "stream_normalized": _with(
+        """SELECT CASE WHEN part <> 1 THEN trade_id END AS trade_id, CASE WHEN part = 3 THEN symbol || repeat('x', 20) ELSE symbol END AS symbol,
+       CASE WHEN part <> 2 THEN price END AS price, quantity, CASE WHEN part <> 2 THEN amount_usdt END AS amount_usdt,
+       trade_time, event_time, is_buyer_maker,
+       CASE part WHEN 1 THEN 'no_trade_id' WHEN 3 THEN 'symbol_too_long' END AS reject_reason
+FROM (SELECT *, trade_id % 100 AS part FROM t) WHERE part NOT IN (0, 50)
+UNION ALL SELECT NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, 'no_trade_id' FROM t WHERE trade_id % 50 = 0"""
     ),
     "stream_live_candles": _with(_candles("r")),
+    "stream_live_late": _with(
+        f"""SELECT *, CAST(NULL AS VARCHAR) AS reason FROM ({_candles('r')})
+UNION ALL SELECT DISTINCT make_timestamp((trade_time + {FAR_AHEAD_MS}) * 1000), symbol, price, NULL::DOUBLE, NULL::DOUBLE, NULL::DOUBLE,
+       NULL::DOUBLE, NULL::DOUBLE, NULL::INTEGER, 'time_in_future' FROM t WHERE trade_id % 100 = 1"""
+    ),
     "stream_archive_load": _RAW_ROWS,
     "compact_raw": _with("SELECT *, 'merged' AS batch FROM r"),
 }

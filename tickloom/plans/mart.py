@@ -2,24 +2,27 @@
 
 from __future__ import annotations
 
-import hashlib
-import re
+from dataclasses import dataclass
 from datetime import date, datetime, time, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.operators.candles import REBUILD_TAIL_SECONDS, candles_from
-from tickloom.operators.dedup import TRADE_KEY
+from tickloom.functions.bitmaps import ID_KEY, holders, id_bitmaps
+from tickloom.functions.times import check_day_bucket
+from tickloom.operators.candles import CANDLE_INPUT, REBUILD_TAIL_SECONDS, candles_from, ohlcv
+from tickloom.operators.dedup import dedup_trades
 from tickloom.operators.placement import with_period_date
-from tickloom.schema import CANDLE, CANDLE_COLUMNS, RAW_TRADE
-from tickloom.session import fitted_shuffles
-from tickloom.sinks.tables import apply_staged, delete, exists, partition_values, stage
-from tickloom.sources.lake import partitioned, read_table
+from tickloom.plans.changes import closed_before, day_contents, read_contents, write_contents
+from tickloom.schema import CANDLE, CANDLE_COLUMNS, RAW_TRADE, TRADE_IDS
+from tickloom.session import fitted_shuffles, scratch_path
+from tickloom.sinks.tables import apply_staged, delete, partition_values, stage, write_partitions
+from tickloom.sources.lake import partitioned, read_days, read_table
 
 MART_BY = ["period_date"]
 MART_SORT = ["symbol", "period_start"]
-FOLDED = "_FOLDED"  # the raw files of each day that the mart's candles were made of
+FOLDED = "_FOLDED"  # the content of each raw day that the mart's candles were made of
+IDS = "_IDS"  # the trade ids of each of those days, as bitmaps
 PUBLISHED = "_PUBLISHED"  # names the serving table that has the whole mart; a refresh removes it
 EPOCH = datetime(1970, 1, 1, tzinfo=timezone.utc)
 
@@ -64,48 +67,82 @@ def mart_cutoff(
     return _newest_before(mart, days, tail) or EPOCH
 
 
-def _raw_days(raw: DataFrame) -> dict[str, str]:
-    """A digest of the names of each raw day's files, as this frame has listed them."""
-    names: dict[str, list[str]] = {}
-    for path in raw.inputFiles():
-        day = re.search(r"/insert_date=(\d{4}-\d\d-\d\d)/(.*)", path)
-        if day:
-            names.setdefault(day[1], []).append(day[2])
-    return {d: hashlib.sha256("\n".join(sorted(n)).encode()).hexdigest() for d, n in names.items()}
+def _on_days(rows: DataFrame, column: str, days: list[str]) -> DataFrame:
+    return rows.where(F.col(column).isin([date.fromisoformat(d) for d in days]))
 
 
-def _touched_days(raw: DataFrame, changed: list[str]) -> list[str]:
-    """The changed days and the earlier ones with versions of their trades, which may have lost."""
-    keys = _on_days(raw, "insert_date", changed).select(*TRADE_KEY).where("trade_id IS NOT NULL").distinct()
-    earlier = raw.where(F.col("insert_date") < F.lit(max(changed)).cast("date"))
-    others = earlier.join(keys, TRADE_KEY, "left_semi").select(F.col("insert_date").cast("string")).distinct()
-    return sorted({*changed, *(r[0] for r in others.collect())})
+@dataclass
+class Work:
+    """What a refresh has to do: days whose content is new, days to rebuild, days to read for that."""
 
+    contents: dict[str, int]
+    changed: list[str]
+    rebuild: list[str]
+    read: list[str]
+    ids: DataFrame | None = None
 
-def _on_days(rows: DataFrame, column: str, days: list[str]) -> DataFrame:
-    return rows.where(F.col(column).isin([date.fromisoformat(d) for d in days]))
+
+def _index(spark: SparkSession, mart_path: str) -> DataFrame:
+    return read_table(spark, f"{mart_path}/{IDS}", partitioned(TRADE_IDS, "insert_date"))
+
+
+def _named(days: DataFrame) -> set[str]:
+    return {str(r[0]) for r in days.collect()}
+
+
+def plan_refresh(spark: SparkSession, raw_path: str, mart_path: str, dedup: bool = True) -> Work:
+    """Find the days to rebuild and the days to read, from contents and bitmaps of ids.
+
+    A changed day is read once for its ids. Their bitmaps, and those the day had before, show which
+    other days hold versions of its trades: earlier ones are rebuilt too, as their version may have lost. Whatever
+    day shares an id with a day to rebuild is read beside it, and no other day is. Closed days
+    are neither rebuilt nor read.
+    """
+    closed = closed_before(spark, raw_path)
+    contents = day_contents(spark, raw_path)
+    there = {d for d in contents if closed is None or date.fromisoformat(d) >= closed}
+    before = read_contents(spark, f"{mart_path}/{FOLDED}")
+    changed = sorted(d for d in there if contents[d] != before.get(d))
+    if not changed or not dedup:
+        return Work(contents, changed, changed, changed)
+    path = scratch_path(spark, "ids")
+    days = read_days(spark, raw_path, partitioned(RAW_TRADE, "insert_date"), changed)
+    with fitted_shuffles(days):
+        id_bitmaps(days, "insert_date").write.parquet(path)
+    fresh = spark.read.schema(partitioned(TRADE_IDS, "insert_date")).parquet(path)
+    if len(changed) == len(there):
+        return Work(contents, changed, changed, changed, fresh)
+    index = _index(spark, mart_path)
+    others = index.where(~F.col("insert_date").isin([date.fromisoformat(d) for d in changed]))
+    asked = fresh.unionByName(_on_days(index, "insert_date", changed))
+    shared = _named(holders(others, asked, "insert_date")) & there
+    rebuild = sorted({*changed, *(d for d in shared if d < max(changed))})
+    known = others.unionByName(fresh)
+    versions = holders(known, _on_days(known, "insert_date", rebuild), "insert_date")
+    return Work(contents, changed, rebuild, sorted({*rebuild, *(_named(versions) & there)}), fresh)
 
 
 def _refresh_days(spark: SparkSession, raw_path: str, mart_path: str, staging_path: str, bucket: str | int, dedup: bool):
-    """Rebuild every day whose raw files are not those of the last refresh, however old it is."""
-    raw = read_raw(spark, raw_path)
-    now, note = _raw_days(raw), f"{mart_path}/{FOLDED}"
-    before = {r["day"]: r["files"] for r in spark.read.parquet(note).collect()} if exists(spark, note) else {}
-    changed = sorted(d for d in now if now[d] != before.get(d))
-    if not changed:
+    """Rebuild every day whose content is not that of the last refresh, however old it is."""
+    check_day_bucket(bucket)
+    work = plan_refresh(spark, raw_path, mart_path, dedup)
+    if not work.changed:
         return mart_cutoff(spark, mart_path)
-    touched = _touched_days(raw, changed) if dedup else changed
-    cutoff = datetime.combine(date.fromisoformat(touched[0]), time.min, timezone.utc)
-    fresh = with_period_date(candles_from(raw, F.lit(cutoff), bucket, dedup))
-    fresh = _on_days(fresh, "period_date", touched)
-    with fitted_shuffles(raw.where(F.col("insert_date") >= F.lit(cutoff.date()))):
-        left = {str(r[0]) for r in fresh.select("period_date").distinct().collect()}
-        emptied = [f"period_date={d}" for d in touched if d not in left]
+    trades = read_days(spark, raw_path, partitioned(RAW_TRADE, "insert_date"), work.read)
+    rows = trades.select(*CANDLE_INPUT)
+    fresh = with_period_date(ohlcv(dedup_trades(rows) if dedup else rows, bucket))
+    if work.read != work.rebuild:
+        fresh = _on_days(fresh, "period_date", work.rebuild)
+    with fitted_shuffles(trades):
+        left = _named(fresh.select("period_date").distinct())
+        emptied = [f"period_date={d}" for d in work.rebuild if d not in left]
         stage(fresh, staging_path, mart_path, MART_BY, emptied)
     apply_staged(spark, staging_path, mart_path, MART_BY, MART_SORT)
-    # Without this table, or if writing it fails, the next refresh rebuilds more than it has to.
-    spark.createDataFrame(sorted(now.items()), "day string, files string").coalesce(1).write.mode("overwrite").parquet(note)
-    return cutoff
+    # A run that dies before the note is in place is made good by the next one, which rebuilds the same days.
+    if work.ids is not None:
+        write_partitions(work.ids, f"{mart_path}/{IDS}", ["insert_date"], ID_KEY)
+    write_contents(spark, f"{mart_path}/{FOLDED}", work.contents)
+    return datetime.combine(date.fromisoformat(work.rebuild[0]), time.min, timezone.utc)
 
 
 def refresh_mart(
@@ -115,14 +152,14 @@ def refresh_mart(
     staging_path: str,
     bucket: str | int = "minute",
     dedup: bool = True,
-    late: bool = False,
+    late: bool = True,
 ) -> datetime:
-    """Rebuild the tail of the mart from the raw trades and return the cutoff.
+    """Bring the mart up to date with the raw trades and return from where on it changed.
 
-    The cutoff travels as a literal: it prunes raw partitions and reaches the scan. Only
-    the days from the cutoff on are written. Trades before the cutoff are not looked at, so late
-    ones are lost; with ``late``, all days are rebuilt that got trades since the last refresh
-    or whose trades were superseded, and the mart has the candles of all raw trades.
+    All days are rebuilt that got trades since the last refresh or whose trades were superseded, so the mart
+    has the candles of all raw trades of its open days; candles of days that ``expire_days`` has closed stay as they are.
+    With ``late=False`` only the tail after a cutoff is rebuilt: the cutoff travels as a literal,
+    prunes raw partitions and reaches the scan, and trades before it are not looked at.
     """
     delete(spark, f"{mart_path}/{PUBLISHED}")
     apply_staged(spark, staging_path, mart_path, MART_BY, MART_SORT)

@@ -42,7 +42,7 @@ def publish_candles(
 
 def refresh_and_publish(
     spark: SparkSession, raw_path: str, mart_path: str, staging_path: str, serving_path: str,
-    bucket: str | int = "minute", late: bool = False,
+    bucket: str | int = "minute", late: bool = True,
 ) -> datetime:
     """Refresh the mart and send what changed; return the refresh's cutoff.
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from datetime import date, datetime, timedelta
 
@@ -10,9 +11,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tickloom.operators.dedup import dedup_trades
+from tickloom.operators.ingest import DAY_CLOSED
 from tickloom.operators.retention import KEEP_DAYS
+from tickloom.plans.changes import close_before, closed_before, files_number, log_merge
 from tickloom.session import fitted_shuffles
-from tickloom.sinks.tables import apply_staged, delete, partition_values, stage
+from tickloom.sinks.tables import apply_staged, child_names, delete, partition_values, stage, write_batch
 
 MERGED = "merged"
 
@@ -34,42 +37,57 @@ def compact_days(
 ) -> list[str]:
     """Merge all batches of each day (of the days ``before`` one) into sorted files.
 
-    The table is laid out as ``by``/``batch``. Batches that arrive meanwhile are left
-    alone: only those read here are dropped, and only after the merged rows are in place.
-    Days that hold nothing but merged rows are skipped. Returns the days merged.
+    The table is laid out as ``by``/``batch``. Days go one after the other, so the driver knows the batches
+    of one day at most. Batches that arrive meanwhile are left alone: only those read here are dropped, and
+    only after the merged rows are in place. Days that hold nothing but merged rows are skipped.
+    What was put in place of what is logged, so that a refresh does not take it for new trades.
+    Returns the days merged.
     """
     layout = [by, "batch"]
     apply_staged(spark, staging, path, layout, sort)
-    found = {}
-    for value in partition_values(spark, path, by):
-        if before is None or date.fromisoformat(value) < before:
-            batches = partition_values(spark, f"{path}/{by}={value}", "batch")
-            if batches not in ([], [MERGED]):
-                found[value] = batches
-    if not found:
-        return []
+    days = [d for d in partition_values(spark, path, by) if before is None or date.fromisoformat(d) < before]
+    return [d for d in days if _compact_day(spark, path, staging, schema, d, by, merge, sort)]
+
+
+def _compact_day(spark, path, staging, schema, day, by, merge, sort) -> bool:
+    layout, folder = [by, "batch"], f"{path}/{by}={day}"
+    batches = partition_values(spark, folder, "batch")
+    if batches in ([], [MERGED]):
+        return False
     # Name the folders to read; a filter on the table could take in a batch not listed here.
-    folders = [f"{path}/{by}={day}/batch={b}" for day, batches in found.items() for b in batches]
-    table = StructType(list(schema.fields)).add(by, "date")
+    folders = [f"{folder}/batch={b}" for b in batches]
+    old = files_number(spark, folders, by)
+    table = StructType([f for f in schema.fields if f.name != by]).add(by, "date")
     rows = spark.read.schema(table).option("basePath", path).parquet(*folders)
     merged = merge(rows).withColumn("batch", F.lit(MERGED))
-    drop = [
-        f"{by}={day}/batch={b}" for day, batches in found.items() for b in batches if b != MERGED
-    ]
     with fitted_shuffles(rows):
-        stage(merged, staging, path, layout, drop)
+        stage(merged, staging, path, layout, [f"{by}={day}/batch={b}" for b in batches if b != MERGED])
     apply_staged(spark, staging, path, layout, sort)
-    return list(found)
+    if child_names(spark, f"{folder}/batch={MERGED}"):
+        log_merge(spark, path, day, old, files_number(spark, [f"{folder}/batch={MERGED}"], by))
+    return True
 
 
 def expire_days(
     spark: SparkSession, path: str, as_of: datetime, days: int = KEEP_DAYS, by: str = "insert_date"
 ) -> list[str]:
-    """Delete partitions in which every row is older than the retention; return their days."""
+    """Close and delete the days in which every row is older than the retention; return those deleted.
+
+    The days are closed first, for good: what comes for them later goes to quarantine, and candles
+    made of them are not replaced. Rows that got into a closed day all the same are kept in the
+    quarantine beside the table.
+    """
     start = as_of.replace(microsecond=0) - timedelta(days=days) + timedelta(seconds=1)
+    closed = closed_before(spark, path)
     expired = [
         v for v in partition_values(spark, path, by) if date.fromisoformat(v) < start.date()
     ]
+    if expired and (closed is None or closed < start.date()):
+        close_before(spark, path, start.date())
     for value in expired:
+        if closed is not None and date.fromisoformat(value) < closed:
+            late = spark.read.parquet(f"{path}/{by}={value}").drop("batch")
+            late = late.withColumns({"reject_reason": F.lit(DAY_CLOSED), "batch": F.lit(f"expired-{value}-{uuid.uuid4().hex}")})
+            write_batch(late, f"{path.rstrip('/')}_quarantine", ["batch"])
         delete(spark, f"{path}/{by}={value}")
     return expired

@@ -15,22 +15,17 @@ from tickloom.functions.times import (
 from tickloom.operators import analytics, candles, dedup, ingest, placement
 from tickloom.operators.retention import KEEP_DAYS, retain
 from tickloom.plans import publish
-from tickloom.plans.mart import read_mart, refresh_mart
+from tickloom.plans.mart import mart_cutoff, read_mart, refresh_mart
 from tickloom.plans.upkeep import compact_days
 from tickloom.schema import LAKE_TRADE, RAW_TRADE, TRADE_COLUMNS
 from tickloom.session import configure, scratch_path
 from tickloom.sinks.tables import write_partitions
 from tickloom.sources import events as ev
-from tickloom.sources.bus import file_stream
-from tickloom.sources.lake import read_table
+from tickloom.sources.bus import file_stream, text_stream
+from tickloom.sources.lake import read_lake, read_table
 from tickloom.streaming.archive import load_and_archive
-from tickloom.streaming.ingest import (
-    ingest_realtime,
-    ingest_to_lake,
-    live_candles,
-    read_live_candles,
-    read_realtime,
-)
+from tickloom.streaming.ingest import ingest_realtime, ingest_to_lake, normalize_to_lake, read_realtime
+from tickloom.streaming.live import LiveTables, live_candles, read_live_candles
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -153,9 +148,12 @@ def epoch_to_ts_seconds(spark, folder):
 
 @query
 def lake_scan(spark, folder):
-    lake = scratch_path(spark, "lake")
-    _trades(spark, folder).write.parquet(lake)
-    return read_table(spark, lake, LAKE_TRADE)
+    """A lake of two writers: files in its root, and files in batch folders."""
+    lake, trades = scratch_path(spark, "lake"), _trades(spark, folder)
+    odd = F.col("trade_id") % 2 == 1
+    trades.where(odd).write.parquet(lake)
+    trades.where(~odd).withColumn("batch", F.lit("b0")).write.mode("append").partitionBy("batch").parquet(lake)
+    return read_lake(spark, lake)
 
 
 @query
@@ -261,33 +259,50 @@ def refresh_cutoff(spark, folder):
     mart = scratch_path(spark, "mart")
     first = placement.with_period_date(candles.ohlcv(raw.where(_first_load(raw))))
     write_partitions(first, mart, ["period_date"])
-    return candles.refresh_cutoff(read_mart(spark, mart))
+    return spark.createDataFrame([(mart_cutoff(spark, mart),)], "cutoff timestamp")
 
 
-@query
-def refresh_candles(spark, folder):
-    """Two loads, a refresh after each, and one more that must change nothing."""
-    raw = _raw(spark, folder).withColumn("insert_date", F.to_date("trade_time"))
+def _refreshed(spark: SparkSession, loads: list[DataFrame], late: bool = True) -> DataFrame:
+    """The mart after some loads of raw trades, a refresh after each, and one more that must change nothing."""
     table, mart, staging = (scratch_path(spark, n) for n in ("raw", "mart", "staging"))
-    early = F.coalesce(_first_load(raw), F.lit(False))
-    for part in (early, ~early):
-        raw.where(part).write.mode("append").partitionBy("insert_date").parquet(table)
-        refresh_mart(spark, table, mart, staging)
-    refresh_mart(spark, table, mart, staging)
+    for load in loads:
+        dated = load.withColumn("insert_date", F.to_date("trade_time"))
+        dated.write.mode("append").partitionBy("insert_date").parquet(table)
+        refresh_mart(spark, table, mart, staging, late=late)
+    refresh_mart(spark, table, mart, staging, late=late)
     return read_mart(spark, mart).drop("period_date")
 
 
+def _two_loads(raw: DataFrame) -> list[DataFrame]:
+    early = F.coalesce(_first_load(raw), F.lit(False))
+    return [raw.where(early), raw.where(~early)]
+
+
+@query
+def refresh_candles(spark, folder):
+    """Two loads; one symbol of the second is a day behind, and nothing of it is lost."""
+    return _refreshed(spark, _two_loads(_raw(spark, folder)))
+
+
+@query
+def refresh_candles_tail(spark, folder):
+    """The same loads, only the tail rebuilt: what is more than an hour behind the newest candle is left out."""
+    return _refreshed(spark, _two_loads(_raw(spark, folder)), late=False)
+
+
 @query
 def refresh_candles_late(spark, folder):
-    """The same loads, with nothing lost of the symbol that is a day behind."""
-    raw = _raw(spark, folder).withColumn("insert_date", F.to_date("trade_time"))
-    table, mart, staging = (scratch_path(spark, n) for n in ("raw", "mart", "staging"))
-    early = F.coalesce(_first_load(raw), F.lit(False))
-    for part in (early, ~early):
-        raw.where(part).write.mode("append").partitionBy("insert_date").parquet(table)
-        refresh_mart(spark, table, mart, staging, late=True)
-    refresh_mart(spark, table, mart, staging, late=True)
-    return read_mart(spark, mart).drop("period_date")
+    """Some trades first come with a time two days early and another price; the true version, a load
+    later, must empty the old candle as well as fill its own."""
+    raw = _raw(spark, folder)
+    first, second = _two_loads(raw)
+    wrong = raw.where("trade_id % 50 = 7").withColumns(
+        {
+            "trade_time": F.col("trade_time") - F.expr("interval 2 days"),
+            "price": (F.col("price") + 1).cast("decimal(20,8)"),
+        }
+    )
+    return _refreshed(spark, [first.where("trade_id % 50 <> 7").unionByName(wrong), second, raw.where("trade_id % 50 = 7")])
 
 
 @query
@@ -403,7 +418,18 @@ def _drain_to_lake(spark, folder, encode):
 @query
 def stream_lake(spark, folder):
     lake, _ = _drain_to_lake(spark, folder, ev.faulty_messages_of)
-    return read_table(spark, lake, LAKE_TRADE)
+    return read_lake(spark, lake)
+
+
+@query
+def stream_normalized(spark, folder):
+    """Raw exchange messages, some damaged, through the lake and its quarantine; a second run finds nothing new."""
+    texts, lake, bad, state = (scratch_path(spark, n) for n in ("texts", "lake", "quarantine", "checkpoint"))
+    ev.faulty_exchange_messages_of(_events(spark, folder)).write.text(texts)
+    for _ in range(2):
+        normalize_to_lake(text_stream(spark, texts, 1), lake, bad, state).awaitTermination()
+    rejected = spark.read.parquet(bad).select(*TRADE_COLUMNS, "reject_reason")
+    return read_lake(spark, lake).withColumn("reject_reason", F.lit(None).cast("string")).unionByName(rejected)
 
 
 @query
@@ -453,6 +479,39 @@ def stream_live_candles(spark, folder):
     return read_live_candles(spark, table)
 
 
+def _out_of_order(events: DataFrame, first: bool) -> DataFrame:
+    """A slice's messages: first some trades with an early wrong version and some with a clock far
+    ahead, later the true versions."""
+    trades = ev.trades_of(events)
+    if not first:
+        return ingest.encode_trades(trades.where("trade_id % 100 = 3"))
+    wrong = trades.where("trade_id % 100 = 3").withColumns(
+        {"trade_time": F.col("trade_time") - 90_000_000, "price": F.col("price") * 2}
+    )
+    ahead = trades.where("trade_id % 100 = 1").withColumns(
+        {"trade_id": F.col("trade_id") + 10_000_000, "trade_time": F.col("trade_time") + FAR_AHEAD_MS}
+    )
+    return ingest.encode_trades(trades.where("trade_id % 100 <> 3").unionByName(wrong).unionByName(ahead))
+
+
+@query
+def stream_live_late(spark, folder):
+    """The newest days are sent first, every message twice, some in a wrong version that is put right
+    at the end; those far ahead are in quarantine."""
+    tables, state, bus = LiveTables(scratch_path(spark, "live")), scratch_path(spark, "checkpoint"), scratch_path(spark, "bus")
+    slices = list(reversed(list(_slices(spark, folder))))
+    for first in (True, False):
+        for part in slices:
+            for _ in range(2):
+                _send(_out_of_order(part, first), bus)
+            live_candles(file_stream(spark, bus), tables.candles, state).awaitTermination()
+    shown = read_live_candles(spark, tables.candles).withColumn("reason", F.lit(None).cast("string"))
+    rejected = spark.read.parquet(tables.quarantine).select(
+        F.timestamp_millis("trade_time").alias("period_start"), "symbol", F.col("price").alias("open_price"), F.col("reject_reason").alias("reason")
+    )
+    return shown.unionByName(rejected.distinct(), allowMissingColumns=True)
+
+
 def _drain_to_raw(spark, folder):
     """Bus to lake to raw table; loaded lake files are moved to the archive on the way."""
     lake, bad, raw, archive = (

@@ -78,6 +78,14 @@ BUS_MESSAGE = T.StructType(
     ]
 )
 
-# Widths the warehouse declares for the symbol: raw trades, candles.
-RAW_SYMBOL_WIDTH = 50
+# Bitmaps of trade ids (see functions/bitmaps.py), partitioned by the day of the trades.
+TRADE_IDS = T.StructType(
+    [
+        T.StructField("symbol", T.StringType()),
+        T.StructField("bucket", T.LongType()),
+        T.StructField("bits", T.BinaryType()),
+    ]
+)
+
+# Width the warehouse declares for the symbol of a candle.
 CANDLE_SYMBOL_WIDTH = 20

@@ -20,13 +20,15 @@ def append_jdbc(
 ) -> None:
     """Append all rows, at most ``connections`` at a time.
 
-    Each task commits on its own, so a job that fails midway leaves part of its rows.
-    With a ``load_id`` a reader can keep the last load per key after a repeated run.
+    The rows are dealt to that many tasks by a shuffle: narrowing the plan instead would run the
+    scan and all work before the write in as few tasks. Each task commits on its own, so a job that fails midway leaves
+    part of its rows. With a ``load_id`` a reader can keep the last load per key after a repeated run.
     """
     if load_id is not None:
         rows = rows.withColumn("load_id", F.lit(load_id).cast("bigint"))
     (
-        rows.write.format("jdbc")
+        rows.repartition(connections)
+        .write.format("jdbc")
         .option("url", url)
         .option("dbtable", table)
         .option("numPartitions", connections)

@@ -46,10 +46,13 @@ def write_batch(rows: DataFrame, path: str, by: list[str]) -> None:
     )
 
 
+def batch_name(spark: SparkSession, batch_id: int) -> str:
+    """The running batch, named by its query (stable over restarts of a checkpoint) and number."""
+    return f"{spark.sparkContext.getLocalProperty('sql.streaming.queryId')}-{batch_id:010d}"
+
+
 def with_batch(rows: DataFrame, batch_id: int) -> DataFrame:
-    """Name the batch by its query (stable over restarts of a checkpoint) and number."""
-    query_id = rows.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
-    return rows.withColumn("batch", F.lit(f"{query_id}-{batch_id:010d}"))
+    return rows.withColumn("batch", F.lit(batch_name(rows.sparkSession, batch_id)))
 
 
 def _hadoop_path(spark: SparkSession, path: str):
@@ -86,14 +89,24 @@ def read_note(spark: SparkSession, path: str) -> str | None:
     return text
 
 
-def partition_values(spark: SparkSession, path: str, name: str) -> list[str]:
-    """Values of a table's topmost partition column, in order, from one directory listing. Rows
-    without a value are in a folder of their own, which is left out."""
+def create_empty(spark: SparkSession, path: str) -> None:
+    """An empty file whose name says it all."""
+    where, files = _hadoop_path(spark, path)
+    files.create(where).close()
+
+
+def child_names(spark: SparkSession, path: str) -> list[str]:
+    """Names in one directory; none where there is no such directory."""
     where, files = _hadoop_path(spark, path)
     if not files.exists(where):
         return []
-    names = [status.getPath().getName() for status in files.listStatus(where)]
-    values = (n.split("=", 1)[1] for n in names if n.startswith(f"{name}="))
+    return [status.getPath().getName() for status in files.listStatus(where)]
+
+
+def partition_values(spark: SparkSession, path: str, name: str) -> list[str]:
+    """Values of a table's topmost partition column, in order, from one directory listing. Rows
+    without a value are in a folder of their own, which is left out."""
+    values = (n.split("=", 1)[1] for n in child_names(spark, path) if n.startswith(f"{name}="))
     return sorted(v for v in values if v != NULL_PARTITION)
 
 

@@ -43,3 +43,13 @@ def file_stream(
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     return reader.options(**options).parquet(path)
+
+
+def text_stream(
+    spark: SparkSession, path: str, max_files: int | None = None, **options: str
+) -> DataFrame:
+    """Raw messages as ``value``, one per line of the text files in a folder."""
+    reader = spark.readStream.option("maxFileAge", ANY_AGE)
+    if max_files:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    return reader.options(**options).text(path)

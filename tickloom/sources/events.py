@@ -80,6 +80,29 @@ def exchange_messages_of(events: DataFrame) -> DataFrame:
     )
 
 
+def faulty_exchange_messages_of(events: DataFrame) -> DataFrame:
+    """Raw exchange messages of which some are damaged, by the last two digits of the id.
+
+    0 and 50: no JSON; 1: no id; 2: an unreadable price (which alone does not disqualify a row); 3: a
+    symbol longer than a candle can hold.
+    """
+    part = F.col("trade_id") % 100
+    trades = trades_of(events)
+    body = F.to_json(
+        F.struct(
+            F.lit("trade").alias("e"),
+            F.col("event_time").alias("E"),
+            F.when(part == 3, F.concat("symbol", F.repeat(F.lit("x"), 20))).otherwise(F.col("symbol")).alias("s"),
+            F.when(part != 1, F.col("trade_id")).alias("t"),
+            F.when(part == 2, "abc").otherwise(F.col("price").cast("string")).alias("p"),
+            F.col("quantity").cast("string").alias("q"),
+            F.col("trade_time").alias("T"),
+            F.col("is_buyer_maker").alias("m"),
+        )
+    )
+    return trades.select(F.when(part % 50 == 0, "nope").otherwise(body).alias("value"))
+
+
 def messages_of(events: DataFrame) -> DataFrame:
     """Events as canonical bus records."""
     return encode_trades(trades_of(events))

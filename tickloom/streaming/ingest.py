@@ -1,45 +1,31 @@
-"""Streaming jobs: bus to lake, bus to real-time table, bus to live candles."""
+"""Streaming jobs: bus or raw exchange messages to lake, bus to real-time table."""
 
 from __future__ import annotations
 
-import time
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructType
-
-from tickloom.operators.candles import ohlcv_stream
-from tickloom.operators.dedup import (
-    CANDLE_KEY,
-    TRADE_KEY,
-    dedup_candles,
-    dedup_trades,
-    latest_per_key,
-)
+
+from tickloom.operators.dedup import dedup_trades
 from tickloom.operators.ingest import (
     accepted,
     check_trades,
-    conform_raw,
+    normalize_raw_trades,
     parse_trades,
     quarantined,
     realtime_reject_reason,
     realtime_trades,
+    with_closed_days,
 )
-from tickloom.operators.placement import with_period_date
-from tickloom.schema import CANDLE, CANDLE_COLUMNS, REALTIME_TRADE
+from tickloom.plans.changes import closed_before
+from tickloom.schema import REALTIME_TRADE
 from tickloom.sinks.tables import with_batch, write_batch
 from tickloom.sources.lake import partitioned, read_table
 
-LATE_BY = "1 hour"
 AHEAD_SECONDS = 86_400
-SALTS = 16
 
-LIVE_CANDLE = StructType(list(CANDLE.fields)).add("loaded_at", "long")
-LIVE_TABLE = StructType(list(LIVE_CANDLE.fields)).add("period_date", "date").add("batch", "string")
 
-
-def _start(stream: DataFrame, write, checkpoint: str, every: str | None, mode: str) -> StreamingQuery:
+def start(stream: DataFrame, write, checkpoint: str, every: str | None, mode: str) -> StreamingQuery:
     """Drain what is there and stop, or go on with a fixed pause if ``every`` is given."""
     writer = (
         stream.writeStream.foreachBatch(write)
@@ -63,8 +49,22 @@ def ingest_to_lake(
     the reason. A batch is written in the tasks that read it, under its own ``batch=``
     folder; replaying it after a crash replaces that folder.
     """
-    checked = check_trades(parse_trades(messages, keep=("value",)))
+    return _to_lake(check_trades(parse_trades(messages, keep=("value",))), lake, quarantine, checkpoint, every)
+
 
+def normalize_to_lake(
+    messages: DataFrame,
+    lake: str,
+    quarantine: str,
+    checkpoint: str,
+    every: str | None = None,
+) -> StreamingQuery:
+    """The same for raw exchange messages (``value``, JSON with the exchange's short keys)."""
+    checked = check_trades(normalize_raw_trades(messages, keep=("value",)))
+    return _to_lake(checked, lake, quarantine, checkpoint, every)
+
+
+def _to_lake(checked: DataFrame, lake: str, quarantine: str, checkpoint: str, every: str | None) -> StreamingQuery:
     def write(batch: DataFrame, batch_id: int) -> None:
         batch = with_batch(batch, batch_id).persist()
         try:
@@ -73,27 +73,7 @@ def ingest_to_lake(
         finally:
             batch.unpersist()
 
-    return _start(checked, write, checkpoint, every, "append")
-
-
-def _salted(messages: DataFrame, salts: int) -> DataFrame:
-    """Number the records 0 .. salts-1 by their place on the bus, the same on every replay."""
-    place = F.xxhash64("partition", "offset")
-    return messages.withColumn("salt", F.pmod(place, F.lit(salts)).cast("int"))
-
-
-def _drop_replays(trades: DataFrame) -> DataFrame:
-    """Drop copies of a trade that come within the watermark's delay.
-
-    A stream cannot merge copies before the shuffle the way a batch does. So copies are
-    first dropped per salt, which spreads a trade sent over and over across many tasks, and
-    then among the few that are left.
-    """
-    return (
-        trades.dropDuplicatesWithinWatermark([*TRADE_KEY, "salt"])
-        .drop("salt")
-        .dropDuplicatesWithinWatermark(TRADE_KEY)
-    )
+    return start(checked, write, checkpoint, every, "append")
 
 
 def ingest_realtime(
@@ -109,7 +89,7 @@ def ingest_realtime(
     Every trade with an id and a possible time is appended, however late it is; copies and older
     versions are resolved by :func:`read_realtime` and by compaction. All others go to
     ``quarantine`` (by default a folder beside the table) with their message and the reason, so
-    a wrong clock harms no other trade.
+    a wrong clock harms no other trade. Trades of days that :func:`expire_days` has closed go there too.
     """
     quarantine = quarantine or table.rstrip("/") + "_quarantine"
     arrived = F.coalesce("timestamp", F.current_timestamp())
@@ -118,7 +98,8 @@ def ingest_realtime(
     checked = parsed.withColumn("reject_reason", reason).drop("arrived")
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch = with_batch(batch, batch_id).persist()
+        closed = closed_before(batch.sparkSession, table)
+        batch = with_batch(with_closed_days(batch, closed), batch_id).persist()
         try:
             good = realtime_trades(accepted(batch).drop("value"))
             write_batch(good, table, ["insert_date", "batch"])
@@ -126,50 +107,9 @@ def ingest_realtime(
         finally:
             batch.unpersist()
 
-    return _start(checked, write, checkpoint, every, "append")
+    return start(checked, write, checkpoint, every, "append")
 
 
 def read_realtime(spark: SparkSession, table: str) -> DataFrame:
     """The real-time trades, with only the last version of each."""
     return dedup_trades(read_table(spark, table, partitioned(REALTIME_TRADE, "insert_date")))
-
-
-def live_candles(
-    messages: DataFrame,
-    table: str,
-    checkpoint: str,
-    every: str | None = None,
-    bucket: str | int = "minute",
-    late_by: str = LATE_BY,
-    drop_replays: bool = True,
-    salts: int = SALTS,
-) -> StreamingQuery:
-    """Keep candles up to date while trades arrive.
-
-    Every batch adds the new state of the candles it changed; :func:`read_live_candles`
-    shows the last state of each. Trades more than ``late_by`` behind are not counted.
-    """
-    parsed = parse_trades(_salted(messages, salts), keep=("salt",))
-    trades = conform_raw(accepted(check_trades(parsed))).withWatermark("trade_time", late_by)
-    if drop_replays:
-        trades = _drop_replays(trades)
-    candles = ohlcv_stream(trades, bucket, late_by=None)
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        loaded = F.lit(time.time_ns() // 1_000_000)
-        rows = with_batch(with_period_date(batch), batch_id).withColumn("loaded_at", loaded)
-        # As many tasks as the changed candles fill; it spares one file per state partition.
-        write_batch(rows.hint("rebalance", "period_date"), table, ["period_date", "batch"])
-
-    return _start(candles, write, checkpoint, every, "update")
-
-
-def read_live_candles(spark: SparkSession, table: str) -> DataFrame:
-    """The last written state of every live candle."""
-    versions = read_table(spark, table, LIVE_TABLE)
-    return dedup_candles(versions, ["loaded_at", "batch"]).select(*CANDLE_COLUMNS)
-
-
-def merge_live_candles(versions: DataFrame) -> DataFrame:
-    """One row per candle, still with its load time: the merge for ``compact_days``."""
-    return latest_per_key(versions, CANDLE_KEY, ["loaded_at"])

@@ -2,11 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.functions.bitmaps import has_bit
-
 # The more selective, fixed-width column goes first: sorts then compare 8-byte prefixes
 # that nearly always differ, instead of walking through whole rows of one symbol.
 TRADE_KEY = ["trade_id", "symbol"]
@@ -16,42 +14,6 @@ CANDLE_KEY = ["period_start", "symbol"]
 # trades still keeps the same winner.
 _TRADE_ORDER = ["trade_time", "price", "quantity", "amount_usdt", "event_time", "is_buyer_maker"]
 
-MARKS = 1 << 20  # bits that mark keys with several versions: 128 KB at most
-
-
-def _row_hash(columns: list[str]) -> Column:
-    """A hash of the columns that also tells where the nulls are."""
-    return F.xxhash64(*columns, *(F.col(c).isNull() for c in columns))
-
-
-def _mark_slot(keys: list[str]) -> Column:
-    return F.pmod(F.xxhash64(*keys), F.lit(MARKS))
-
-
-def _marks(rows: DataFrame, keys: list[str], others: list[str]) -> Column:
-    """Bitmaps of the keys that have versions of their own, as one small value.
-
-    One hash aggregate of two fixed-width numbers per key: copies have equal hashes, versions do not.
-    """
-    several = (
-        rows.groupBy(*keys)
-        .agg(F.min(_row_hash(others)).alias("low"), F.max(_row_hash(others)).alias("high"))
-        .where("low <> high")
-    )
-    slots = several.select(_mark_slot(keys).alias("slot"))
-    bitmaps = slots.groupBy(F.bitmap_bucket_number("slot").alias("bucket")).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position("slot")).alias("bits")
-    )
-    return bitmaps.agg(F.map_from_entries(F.collect_list(F.struct("bucket", "bits")))).scalar()
-
-
-def winners_per_key(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    """The row with the highest ``order`` for each key, ties falling to the other columns: one aggregate
-    that sorts, for rows of which many share a key."""
-    rest = [c for c in rows.columns if c not in keys and c not in order]
-    newest = F.max(F.struct(*order, *rest)).alias("newest")
-    return rows.groupBy(*keys).agg(newest).select(*keys, "newest.*").select(*rows.columns)
-
 
 def latest_per_key(
     rows: DataFrame, keys: list[str], version: list[str], tie_break: list[str] | None = None
@@ -59,20 +21,14 @@ def latest_per_key(
     """The row with the highest ``version`` for each key.
 
     Ties fall to ``tie_break`` and then to the other columns, so the result does not
-    depend on row order. Two phases: a narrow hash aggregate marks the keys that have different versions,
-    and a winner is sought, by a max of structs, among the rows that bear a mark. All other rows are only rid of
-    exact copies, by a hash aggregate that merges them before the shuffle and sorts nothing. Each
-    phase merges before its shuffle, so a key that holds a large share of all rows
-    crosses it once per task. A later filter on the keys reaches both scans of the rows; put it before the call to
-    spare the marks of other keys as well. ``rows`` is read three times, once of them for keys and a
-    hash alone, and must give the same rows each time.
+    depend on row order. Written as a max of structs: copies of a key are merged
+    before the shuffle, so a key that holds a large share of all rows crosses it once
+    per task and never gathers in one task. Filters on the keys reach the scan.
     """
     order = version + (tie_break or [])
-    others = [c for c in rows.columns if c not in keys]
-    marks, slot = _marks(rows, keys, others), _mark_slot(keys)
-    bits = F.element_at(marks, F.bitmap_bucket_number(slot))
-    marked = F.coalesce(has_bit(bits, F.bitmap_bit_position(slot)), F.lit(False))
-    return rows.where(~marked).distinct().unionByName(winners_per_key(rows.where(marked), keys, order))
+    rest = [c for c in rows.columns if c not in keys and c not in order]
+    newest = F.max(F.struct(*order, *rest)).alias("newest")
+    return rows.groupBy(*keys).agg(newest).select(*keys, "newest.*").select(*rows.columns)
 
 
 def trade_order(columns: list[str]) -> list[str]:
@@ -85,7 +41,8 @@ def dedup_trades(trades: DataFrame, within_day: bool = False) -> DataFrame:
 
     ``within_day=True`` keeps versions on different days apart, as a table partitioned
     by ``insert_date`` that merges only inside a partition would. A trade without an id
-    has no key to be compared by and stays as it is.
+    has no key to be compared by and stays as it is; such rows take a branch of their own, so that the keys of the
+    others are plain columns and filters on them are pushed down.
     """
     keys = [*TRADE_KEY, *(["insert_date"] if within_day else [])]
     order = trade_order(trades.columns)

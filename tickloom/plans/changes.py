@@ -31,15 +31,19 @@ def _files(spark: SparkSession, paths: list[str], by: str) -> DataFrame:
     ).where("day <> ''")
 
 
-def files_number(spark: SparkSession, paths: list[str], by: str) -> int:
-    """One number for the files below ``paths``."""
-    return _files(spark, paths, by).agg(F.bit_xor("hash")).first()[0] or 0
+def files_of_days(spark: SparkSession, paths: list[str], by: str) -> dict[str, int]:
+    """One number per day for its files below ``paths``."""
+    return _by_day(_files(spark, paths, by)) if paths else {}
 
 
-def log_merge(spark: SparkSession, path: str, day: str, before: int, after: int) -> None:
-    """Note that files ``before`` of a day were replaced by ``after`` without a change of content."""
-    entry = spark.createDataFrame([(day, before ^ after)], _MERGE)
-    entry.coalesce(1).write.mode("append").parquet(f"{path}/{MERGES}")
+def _by_day(files: DataFrame) -> dict[str, int]:
+    return {r["day"]: r["content"] for r in files.groupBy("day").agg(F.bit_xor("hash").alias("content")).collect()}
+
+
+def log_merges(spark: SparkSession, path: str, before: dict[str, int], after: dict[str, int]) -> None:
+    """Note that files ``before`` of some days were replaced by ``after`` without a change of content."""
+    entries = spark.createDataFrame([(d, before[d] ^ after[d]) for d in sorted(before.keys() & after.keys())], _MERGE)
+    entries.coalesce(1).write.mode("append").parquet(f"{path}/{MERGES}")
 
 
 def day_contents(spark: SparkSession, path: str, by: str = "insert_date") -> dict[str, int]:
@@ -51,7 +55,7 @@ def day_contents(spark: SparkSession, path: str, by: str = "insert_date") -> dic
         merged = spark.read.schema(_MERGE).parquet(f"{path}/{MERGES}")
         days = files.select("day").distinct()
         files = files.unionByName(merged.withColumnRenamed("exchanged", "hash").join(days, "day", "left_semi"))
-    return {r["day"]: r["content"] for r in files.groupBy("day").agg(F.bit_xor("hash").alias("content")).collect()}
+    return _by_day(files)
 
 
 def read_contents(spark: SparkSession, note: str) -> dict[str, int]:

@@ -134,9 +134,7 @@ def _refresh_days(spark: SparkSession, raw_path: str, mart_path: str, staging_pa
     if work.read != work.rebuild:
         fresh = _on_days(fresh, "period_date", work.rebuild)
     with fitted_shuffles(trades):
-        left = _named(fresh.select("period_date").distinct())
-        emptied = [f"period_date={d}" for d in work.rebuild if d not in left]
-        stage(fresh, staging_path, mart_path, MART_BY, emptied)
+        stage(fresh, staging_path, mart_path, MART_BY, replaced=work.rebuild)
     apply_staged(spark, staging_path, mart_path, MART_BY, MART_SORT)
     # A run that dies before the note is in place is made good by the next one, which rebuilds the same days.
     if work.ids is not None:

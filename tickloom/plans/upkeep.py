@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,11 +13,12 @@ from pyspark.sql.types import StructType
 from tickloom.operators.dedup import dedup_trades
 from tickloom.operators.ingest import DAY_CLOSED
 from tickloom.operators.retention import KEEP_DAYS
-from tickloom.plans.changes import close_before, closed_before, files_number, log_merge
+from tickloom.plans.changes import close_before, closed_before, files_of_days, log_merges
 from tickloom.session import fitted_shuffles
-from tickloom.sinks.tables import apply_staged, child_names, delete, partition_values, stage, write_batch
+from tickloom.sinks.tables import apply_staged, delete, exists, partition_values, stage, write_batch
 
 MERGED = "merged"
+GROUP_NAMES = 10_000  # batches merged by one job
 
 
 def merge_trades(trades: DataFrame) -> DataFrame:
@@ -37,35 +38,51 @@ def compact_days(
 ) -> list[str]:
     """Merge all batches of each day (of the days ``before`` one) into sorted files.
 
-    The table is laid out as ``by``/``batch``. Days go one after the other, so the driver knows the batches
-    of one day at most. Batches that arrive meanwhile are left alone: only those read here are dropped, and
+    The table is laid out as ``by``/``batch``. Days are merged in groups, so the driver knows ``GROUP_NAMES``
+    batches at a time or those of one day. Batches that arrive meanwhile are left alone: only those read here are dropped, and
     only after the merged rows are in place. Days that hold nothing but merged rows are skipped.
     What was put in place of what is logged, so that a refresh does not take it for new trades.
     Returns the days merged.
     """
-    layout = [by, "batch"]
-    apply_staged(spark, staging, path, layout, sort)
-    days = [d for d in partition_values(spark, path, by) if before is None or date.fromisoformat(d) < before]
-    return [d for d in days if _compact_day(spark, path, staging, schema, d, by, merge, sort)]
+    apply_staged(spark, staging, path, [by, "batch"], sort)
+    done = []
+    for found in _groups(spark, path, by, before):
+        _compact(spark, path, staging, schema, found, by, merge, sort)
+        done += found
+    return done
+
 
+def _groups(spark: SparkSession, path: str, by: str, before: date | None) -> Iterator[dict[str, list[str]]]:
+    """Days with something to merge and their batches, ``GROUP_NAMES`` or one day's at a time."""
+    found, names = {}, 0
+    for day in partition_values(spark, path, by):
+        if before is None or date.fromisoformat(day) < before:
+            batches = partition_values(spark, f"{path}/{by}={day}", "batch")
+            if batches in ([], [MERGED]):
+                continue
+            if found and names + len(batches) > GROUP_NAMES:
+                yield found
+                found, names = {}, 0
+            found[day] = batches
+            names += len(batches)
+    if found:
+        yield found
 
-def _compact_day(spark, path, staging, schema, day, by, merge, sort) -> bool:
-    layout, folder = [by, "batch"], f"{path}/{by}={day}"
-    batches = partition_values(spark, folder, "batch")
-    if batches in ([], [MERGED]):
-        return False
+
+def _compact(spark, path, staging, schema, found, by, merge, sort) -> None:
+    layout = [by, "batch"]
     # Name the folders to read; a filter on the table could take in a batch not listed here.
-    folders = [f"{folder}/batch={b}" for b in batches]
-    old = files_number(spark, folders, by)
+    folders = [f"{path}/{by}={day}/batch={b}" for day, batches in found.items() for b in batches]
+    old = files_of_days(spark, folders, by)
     table = StructType([f for f in schema.fields if f.name != by]).add(by, "date")
     rows = spark.read.schema(table).option("basePath", path).parquet(*folders)
     merged = merge(rows).withColumn("batch", F.lit(MERGED))
+    drop = [f"{by}={day}/batch={b}" for day, batches in found.items() for b in batches if b != MERGED]
     with fitted_shuffles(rows):
-        stage(merged, staging, path, layout, [f"{by}={day}/batch={b}" for b in batches if b != MERGED])
+        stage(merged, staging, path, layout, drop)
     apply_staged(spark, staging, path, layout, sort)
-    if child_names(spark, f"{folder}/batch={MERGED}"):
-        log_merge(spark, path, day, old, files_number(spark, [f"{folder}/batch={MERGED}"], by))
-    return True
+    places = [f"{path}/{by}={day}/batch={MERGED}" for day in found]
+    log_merges(spark, path, old, files_of_days(spark, [p for p in places if exists(spark, p)], by))
 
 
 def expire_days(

@@ -110,20 +110,30 @@ def partition_values(spark: SparkSession, path: str, name: str) -> list[str]:
     return sorted(v for v in values if v != NULL_PARTITION)
 
 
-def stage(rows: DataFrame, staging: str, target: str, by: list[str], drop: list[str] | None = None) -> None:
+def stage(
+    rows: DataFrame,
+    staging: str,
+    target: str,
+    by: list[str],
+    drop: list[str] | None = None,
+    replaced: list[str] | None = None,
+) -> None:
     """Write rows for the table ``target`` whole to ``staging``, then a marker that says so.
 
     The rows may be computed from the table they are to change. The marker also lists
-    directories of that table that the rows replace beyond their own partitions.
+    directories of that table that the rows replace beyond their own partitions: those in ``drop``, and
+    the values of the first partition column in ``replaced`` for which there is no row.
     """
     spark = rows.sparkSession
     delete(spark, staging)
     rows.hint("rebalance", *by).write.partitionBy(*by).parquet(staging)
+    left = set(partition_values(spark, staging, by[0])) if replaced else set()
+    drop = [*(drop or []), *(f"{by[0]}={v}" for v in replaced or [] if v not in left)]
     where, files = _hadoop_path(spark, f"{staging}/{MARKER}")
     out = files.create(where)
     out.writeUTF(target)
-    out.writeInt(len(drop or []))
-    for name in drop or []:
+    out.writeInt(len(drop))
+    for name in drop:
         out.writeUTF(name)
     out.close()
 

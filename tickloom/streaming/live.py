@@ -17,7 +17,7 @@ from pyspark.sql.types import StructType
 from tickloom.functions.bitmaps import ID_KEY, has_bit, holders, id_bitmaps, merge_bitmaps
 from tickloom.functions.times import bucket_start, check_day_bucket, seconds_interval, seconds_of
 from tickloom.operators.candles import CANDLE_INPUT, ohlcv
-from tickloom.operators.dedup import CANDLE_KEY, TRADE_KEY, dedup_candles, latest_per_key, trade_order, winners_per_key
+from tickloom.operators.dedup import CANDLE_KEY, TRADE_KEY, dedup_candles, latest_per_key, trade_order
 from tickloom.operators.ingest import (
     accepted,
     conform_raw,
@@ -102,7 +102,8 @@ def _rebuilt(spark: SparkSession, tables: LiveTables, touched: DataFrame, bucket
     elsewhere = {str(r[0]) for r in holders(index, id_bitmaps(inside), "insert_date").collect()}
     stored = read_days(spark, tables.trades, LIVE_TRADE, sorted(elsewhere | set(days)))
     versions = _only(stored, inside.select(*TRADE_KEY)).select(*CANDLE_INPUT)
-    latest = winners_per_key(versions, TRADE_KEY, trade_order(CANDLE_INPUT))
+    order = trade_order(CANDLE_INPUT)
+    latest = latest_per_key(versions, TRADE_KEY, order[:1], order[1:])
     winners = _only(latest.withColumn("period_start", start_of), touched)
     made = ohlcv(winners.drop("period_start"), bucket)
     renamed, same = _same_key(touched)

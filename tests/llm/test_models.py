@@ -101,6 +101,34 @@ def test_pieces_and_ids_equal_the_library(coder, reference):
     assert list(coder.decode(ids)) == [t.encode() for t in texts]
 
 
+@pytest.mark.parametrize("size", [250, 256, 257, 5_000, 200_000])
+def test_long_words_end_and_equal_the_library(coder, reference, size):
+    """Random words over few letters, where many pairs wait for each other."""
+    for letters in ("abcd", "01", "eé", "="):
+        draw = np.random.RandomState(size)
+        word = "".join(draw.choice(list(letters), size))
+        [ids] = coder.encode(pa.array([word]))
+        assert np.frombuffer(ids, np.uint32).tolist() == reference.encode_ordinary(word)
+
+
+def test_pieces_are_remembered_and_forgotten(reference, monkeypatch):
+    monkeypatch.setattr(bpe, "REMEMBERED", 400)
+    coder = bpe.Coder(bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken")))
+    draw = np.random.RandomState(4)
+    texts = [" ".join("".join(draw.choice(list("abcdefgh"), draw.randint(3, 7))) for _ in range(40)) + " always here again" for _ in range(60)]
+    asked = []
+    encode = coder.encode_pieces
+    monkeypatch.setattr(coder, "encode_pieces", lambda pieces: asked.append(pieces) or encode(pieces))
+    for text in texts:
+        [ids] = coder.encode(pa.array([text]))
+        assert np.frombuffer(ids, np.uint32).tolist() == reference.encode_ordinary(text)
+    assert len(coder.memory.large[0]) <= 400
+    # what is met in every text is encoded once; what is not is forgotten some time
+    assert sum(p.count(b" always") for p in asked) == 1
+    list(coder.encode(pa.array([texts[0]])))
+    assert len(asked[-1]) > 20
+
+
 def test_token_digests_on_hard_rows(hard, empty, reference):
     ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
     got = Counter(map(tuple, bpe.token_digests(hard, ranks).collect()))

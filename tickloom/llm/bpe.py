@@ -1,20 +1,24 @@
 """Byte-level BPE: whole texts to token ids and back, by DuckDB recursive queries per task.
 
 A task finds the pieces of its texts (the matches of the vocabulary's pattern) with array
-passes and encodes each distinct piece that is not a token itself. For that, one row per
-token and position joins the merge table, and the recursion contracts each piece's leftmost
-pair of minimum rank until none is left. All pairs of that rank go at once where this
-gives the same result: they do not overlap, and no pair with the new token ranks lower.
-Decoding joins ids with the vocabulary and concatenates in order. Pieces that a worker
-has encoded are remembered, ``REMEMBERED`` at most.
+passes and encodes each distinct piece that it does not remember and that is not a token itself. For
+that, one row per token and position joins the merge table, and the recursion contracts each piece's
+leftmost pair of minimum rank until none is left. Decoding joins ids with the vocabulary and
+concatenates in order.
+
+The recursion keeps every step, so its cost is the square of a piece's length. Pieces of more than
+``LONG_PIECE`` bytes, such as encoded binary data, are contracted in the same order by a
+heap of pairs instead. A worker remembers ``REMEMBERED`` pieces by a 64-bit hash of their code points;
+when there are more, it forgets those not met since the last time.
 """
 
 from __future__ import annotations
 
 import base64
 import hashlib
+import heapq
 import itertools
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import duckdb
 import numpy as np
@@ -30,48 +34,29 @@ PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?
 SUFFIXES = ("s", "t", "re", "ve", "m", "ll", "d")
 
 BLOCK_BYTES = 1 << 21
-REMEMBERED = 300_000
+REMEMBERED = 1_500_000
 AT_ONCE = 20_000
+SQUARES_AT_ONCE = 8_000_000  # sum of squared lengths of the pieces in one recursion
+LONG_PIECE = 256
 ROWS = 1_000
 DECODED_AT_ONCE = 300_000
 _BASE = np.uint64(0xC2B2AE3D27D4EB4F)
 _SPACE, _LETTER, _NUMBER, _OTHER = range(4)
 
+# A pair's place among the pieces' pairs is in the low 8 bits of what the minimum is taken of.
 MERGE = """
-WITH RECURSIVE tokens(step, id, token, next) AS (
-    SELECT 0, id, token, next FROM pieces
+WITH RECURSIVE state(step, piece, tokens) AS (
+    SELECT 0, piece, tokens FROM pieces
     UNION ALL
     (WITH pairs AS (
-        SELECT a.id, a.id >> 32 AS piece, rank, alone, twin, b.id AS gone, b.next
-        FROM tokens a JOIN tokens b ON a.next = b.id JOIN merges ON pair = a.token * 1048576::BIGINT + b.token
+        SELECT piece, unnest(tokens[:-2]) * 1048576 + unnest(tokens[2:]) AS pair, unnest(range(len(tokens) - 1)) AS place FROM state
     ), lowest AS (
-        SELECT piece, min(rank) AS rank FROM pairs GROUP BY piece
-    ), found AS (
-        SELECT pairs.* FROM pairs JOIN lowest ON pairs.piece = lowest.piece AND pairs.rank = lowest.rank
-    ), leftmost AS (
-        SELECT min(id) AS id FROM found WHERE alone GROUP BY piece
-    ), twins AS (
-        SELECT * FROM found WHERE twin AND NOT alone
-    ), heads AS (
-        SELECT id AS head FROM twins WHERE id NOT IN (SELECT gone FROM twins)
-    ), chosen AS (
-        SELECT id, rank, gone, next FROM found WHERE NOT twin AND NOT alone
-        UNION ALL
-        SELECT found.id, rank, gone, next FROM found JOIN leftmost ON found.id = leftmost.id
-        UNION ALL
-        SELECT id, rank, gone, next FROM (
-            SELECT *, (id - max(head) OVER (PARTITION BY piece ORDER BY id)) // (gone - id) AS place
-            FROM twins LEFT JOIN heads ON id = head
-        ) WHERE place % 2 = 0
+        SELECT piece, min(rank * 256 + place) AS best FROM pairs JOIN merges USING (pair) GROUP BY piece
     )
-    SELECT step + 1, tokens.id, coalesce(rank, token), CASE WHEN chosen.id IS NULL THEN tokens.next ELSE chosen.next END
-    FROM tokens LEFT JOIN chosen ON tokens.id = chosen.id
-    WHERE tokens.id >> 32 IN (SELECT piece FROM lowest) AND tokens.id NOT IN (SELECT gone FROM chosen))
+    SELECT step + 1, piece, tokens[:best & 255] || [best >> 8] || tokens[(best & 255) + 3:]
+    FROM state JOIN lowest USING (piece))
 )
-SELECT piece, list(token ORDER BY id) AS ids
-FROM (SELECT *, id >> 32 AS piece FROM tokens)
-JOIN (SELECT id >> 32 AS piece, max(step) AS step FROM tokens GROUP BY 1) USING (piece, step)
-GROUP BY piece
+SELECT piece, arg_max(tokens, step) AS ids FROM state GROUP BY piece
 """
 
 JOIN = """
@@ -97,6 +82,68 @@ def _kinds() -> np.ndarray:
     return kinds
 
 
+def _gathered(flat: np.ndarray, begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """``flat[begin:begin + size]`` of all spans, one after the other."""
+    total = np.cumsum(size)
+    return flat[np.repeat(begin - total + size, size) + np.arange(total[-1] if len(total) else 0)]
+
+
+class Memory:
+    """Ids of pieces by their hash, in sorted arrays: a large one and one for what came lately."""
+
+    def __init__(self, limit: int):
+        self.limit = limit
+        self.large, self.late = self._empty(), self._empty()
+        self.used = np.zeros(0, bool)
+
+    @staticmethod
+    def _empty():
+        return np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.uint32)
+
+    @staticmethod
+    def _table(hashes, size, flat):
+        """Hash, begin, size and ids, sorted by hash."""
+        order = np.argsort(hashes)
+        begin = np.cumsum(size) - size
+        flat = _gathered(flat, begin[order], size[order])
+        size = size[order]
+        return hashes[order], np.cumsum(size) - size, size, flat
+
+    def _joined(self, a, b):
+        return self._table(np.concatenate((a[0], b[0])), np.concatenate((a[2], b[2])), np.concatenate((a[3], b[3])))
+
+    def find(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Which pieces are known, the ids of those in their order, and how many each has (0 if unknown)."""
+        parts = []
+        for table in (self.large, self.late):
+            slot = np.searchsorted(table[0], hashes)
+            inside = np.flatnonzero(slot < len(table[0]))
+            hit = inside[table[0][slot[inside]] == hashes[inside]]
+            parts.append((hit, slot[hit], table))
+        self.used[parts[0][1]] = True
+        known, size = np.zeros(len(hashes), bool), np.zeros(len(hashes), np.int64)
+        for hit, slot, table in parts:
+            known[hit], size[hit] = True, table[2][slot]
+        upto = np.cumsum(size) - size
+        flat = np.empty(int(size.sum()), np.uint32)
+        for hit, slot, table in parts:
+            n = table[2][slot]
+            spread = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+            flat[np.repeat(upto[hit], n) + spread] = table[3][np.repeat(table[1][slot], n) + spread]
+        return known, flat, size
+
+    def add(self, hashes: np.ndarray, flat: np.ndarray, size: np.ndarray) -> None:
+        self.late = self._joined(self.late, (hashes, None, size, flat))
+        if len(self.late[0]) * 8 < self.limit:
+            return
+        if len(self.large[0]) + len(self.late[0]) > self.limit:
+            keep = np.flatnonzero(self.used)[: self.limit // 2]
+            kept = self.large[2][keep]
+            self.large = self._table(self.large[0][keep], kept, _gathered(self.large[3], self.large[1][keep], kept))
+        self.large, self.late = self._joined(self.large, self.late), self._empty()
+        self.used = np.zeros(len(self.large[0]), bool)
+
+
 class Coder:
     """The merge table of one vocabulary in a DuckDB database of this process."""
 
@@ -113,8 +160,10 @@ class Coder:
         pairs = (line.split() for line in ranks.splitlines() if line)
         self.rank = {base64.b64decode(token): int(rank) for token, rank in pairs}
         self.byte = np.array([self.rank[bytes([b])] for b in range(256)], np.int64)
-        self.kinds, self.memory = _kinds(), {}
-        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "250MB"})
+        self.pairs: dict[int, int] | None = None
+        self.kinds, self.memory = _kinds(), Memory(REMEMBERED)
+        # without a folder to spill to, a query that needs more memory fails instead of filling a local disk
+        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "250MB", "temp_directory": ""})
         rows = []
         for token, rank in self.rank.items():
             for cut in range(1, len(token)):
@@ -122,10 +171,7 @@ class Coder:
                 if a is not None and b is not None:
                     rows.append((a, b, rank))
         a, b, rank = np.array(rows, np.int64).reshape(-1, 3).T
-        lowest = np.full(max(self.rank.values()) + 1, np.iinfo(np.int64).max)
-        np.minimum.at(lowest, a, rank)
-        np.minimum.at(lowest, b, rank)
-        merges = pa.table({"pair": a * 1048576 + b, "rank": rank, "alone": lowest[rank] < rank, "twin": a == b})
+        merges = pa.table({"pair": a * 1048576 + b, "rank": rank})
         vocabulary = pa.table({"token": list(self.rank.values()), "bytes": [t.hex() for t in self.rank]})
         for name, table in (("merges", merges), ("vocabulary", vocabulary)):
             self.db.register("given", table)
@@ -135,23 +181,58 @@ class Coder:
     def encode_pieces(self, pieces: list[bytes]) -> list[bytes]:
         """The ids of each piece, little-endian and unsigned, four bytes each."""
         out = [np.uint32(self.rank[p]).tobytes() if p in self.rank else b"" for p in pieces]
-        rest = [i for i, p in enumerate(pieces) if p not in self.rank and p]
-        for at in range(0, len(rest), AT_ONCE):
-            part = rest[at : at + AT_ONCE]
+        rest = [i for i, p in enumerate(pieces) if p and p not in self.rank]
+        for i in rest:
+            if len(pieces[i]) > LONG_PIECE:
+                out[i] = np.array(self._contracted(pieces[i]), np.uint32).tobytes()
+        rest = [i for i in rest if len(pieces[i]) <= LONG_PIECE]
+        squares = np.cumsum([len(pieces[i]) ** 2 for i in rest])
+        at = 0
+        while at < len(rest):
+            done = squares[at - 1] if at else 0
+            stop = max(at + 1, min(at + AT_ONCE, int(np.searchsorted(squares, done + SQUARES_AT_ONCE, side="right"))))
+            part = rest[at:stop]
             size = np.array([len(pieces[i]) for i in part])
             data = np.frombuffer(b"".join(pieces[i] for i in part), np.uint8)
-            piece = np.repeat(np.arange(len(part)), size)
-            place = np.arange(len(data)) - np.repeat(np.cumsum(size) - size, size)
-            id_ = (piece << 32) + place
-            last = place == size[piece] - 1
-            rows = pa.table({"id": id_, "token": self.byte[data], "next": pa.array(id_ + 1, mask=last)})
-            self.db.register("pieces", rows)
+            offsets = pa.array(np.concatenate(([0], np.cumsum(size))).astype(np.int32))
+            tokens = pa.ListArray.from_arrays(offsets, pa.array(self.byte[data]))
+            self.db.register("pieces", pa.table({"piece": np.arange(len(part)), "tokens": tokens}))
             found = self.db.sql(MERGE).to_arrow_table()
             self.db.unregister("pieces")
-            for n, ids in zip(found.column("piece").to_pylist(), found.column("ids").to_pylist(), strict=True):
-                out[part[n]] = np.array(ids, np.uint32).tobytes()
+            ids = found.column("ids").combine_chunks()
+            flat, ends = np.asarray(ids.flatten()).astype(np.uint32), np.cumsum(np.asarray(ids.value_lengths())).tolist()
+            for n, a, b in zip(found.column("piece").to_pylist(), [0, *ends], ends, strict=False):
+                out[part[n]] = flat[a:b].tobytes()
+            at = stop
         return out
 
+    def _contracted(self, piece: bytes) -> list[int]:
+        """The ids of one long piece: pairs wait in a heap by rank and place, tokens are a linked list."""
+        if self.pairs is None:
+            a, b = (self.db.sql(f"SELECT {c} FROM merges").fetchnumpy()[c] for c in ("pair", "rank"))
+            self.pairs = dict(zip(a.tolist(), b.tolist(), strict=True))
+        rank_of = self.pairs.get
+        token = self.byte[np.frombuffer(piece, np.uint8)].tolist()
+        n = len(token)
+        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        heap = [(r, i) for i in range(n - 1) if (r := rank_of(token[i] * 1048576 + token[i + 1])) is not None]
+        heapq.heapify(heap)
+        while heap:
+            rank, i = heapq.heappop(heap)
+            j = after[i]
+            # a pair whose tokens have changed since it was put in is no longer one
+            if token[i] < 0 or j >= n or rank_of(token[i] * 1048576 + token[j]) != rank:
+                continue
+            token[i], token[j], after[i] = rank, -1, after[j]
+            if after[i] < n:
+                before[after[i]] = i
+            for left in (before[i], i):
+                if left >= 0 and after[left] < n:
+                    r = rank_of(token[left] * 1048576 + token[after[left]])
+                    if r is not None:
+                        heapq.heappush(heap, (r, left))
+        return [t for t in token if t >= 0]
+
     def pieces(self, text: str, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Code points of ``text`` and where its pieces start; ``ends`` are the ends of the texts in it."""
         points = np.frombuffer(text.encode("utf-32-le"), np.uint32)
@@ -187,27 +268,28 @@ class Coder:
             points, start = self.pieces(text, ends)
             end = np.append(start[1:], len(points)) if len(start) else start
             hashes = words.span_hashes(words.mix64(points.astype(np.uint64) + np.uint64(1)), start, end, _BASE)
-            _, first, back = np.unique(hashes, return_index=True, return_inverse=True)
-            ids = self._ids([text[a:b] for a, b in zip(start[first].tolist(), end[first].tolist(), strict=True)])
-            size = np.array([len(x) for x in ids], np.int64) // 4
-            flat = np.frombuffer(b"".join(ids), np.uint32)
-            begin, each = (np.cumsum(size) - size)[back], size[back]
+            hashes, first, back = np.unique(hashes, return_index=True, return_inverse=True)
+            flat, begin, size = self._ids(hashes, lambda rows, f=first, a=start, b=end, t=text: [t[a[i] : b[i]].encode() for i in f[rows]])
+            begin, each = begin[back], size[back]
             upto = np.concatenate(([0], np.cumsum(each)))
             every = flat[np.repeat(begin - upto[:-1], each) + np.arange(upto[-1])]
             cuts = upto[np.searchsorted(start, ends)]
             for a, b in itertools.pairwise(cuts.tolist()):
                 yield every[a:b].tobytes()
 
-    def _ids(self, pieces: list[str]) -> list[bytes]:
-        """The ids of distinct pieces."""
-        out = [self.memory.get(piece) for piece in pieces]
-        new = [i for i, ids in enumerate(out) if ids is None]
-        if new:
-            if len(self.memory) + len(new) > REMEMBERED:
-                self.memory.clear()
-            for i, ids in zip(new, self.encode_pieces([pieces[i].encode() for i in new]), strict=True):
-                out[i] = self.memory[pieces[i]] = ids
-        return out
+    def _ids(self, hashes: np.ndarray, pieces: Callable[[np.ndarray], list[bytes]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of distinct pieces: one array, and where each piece's ids begin and how many they are."""
+        known, flat, size = self.memory.find(hashes)
+        new = np.flatnonzero(~known)
+        fresh = self.encode_pieces(pieces(new))
+        length = np.array([len(x) for x in fresh], np.int64) // 4
+        added = np.frombuffer(b"".join(fresh), np.uint32)
+        size[new] = length
+        begin = np.empty(len(hashes), np.int64)
+        begin[known] = np.cumsum(size[known]) - size[known]
+        begin[new] = len(flat) + np.cumsum(length) - length
+        self.memory.add(hashes[new], added, length)
+        return np.concatenate((flat, added)), begin, size
 
     def decode(self, texts: list[bytes]) -> Iterator[bytes]:
         """The bytes that each text's ids stand for."""

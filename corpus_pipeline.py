@@ -53,6 +53,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, source, lang and token_ids of every document of the mix, from ``documents`` and ``labels``.
+
+    A null text scores and counts as empty and has no tokens, nulls in other columns are values like any
+    other, rows that repeat id and text are one document, a text without words is in no mix. Other
+    columns of ``documents``, whatever their names, go through all stages but the last. Empty tables give no row.
+    """
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         docs = stored(stage(spark, docs, sf_dir), name)

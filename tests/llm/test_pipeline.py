@@ -6,7 +6,8 @@ import corpus_pipeline
 import duckdb
 import pandas as pd
 import pytest
-from cases import folder, words  # noqa: F401
+from cases import folder, hard_rows, words  # noqa: F401
+from pyspark.sql import functions as F
 
 from tickloom.llm.oracle import ORACLE
 from tickloom.llm.queries import QUERIES, table
@@ -43,6 +44,39 @@ def test_run_equals_the_stages(spark, folder):
     assert sorted(map(key, rows)) == sorted(map(key, again))
 
 
+CLASHING = "label int, _id long, _key string, key string, row int, token_ids string, quality_score double, copies string, n long"
+
+
+def tables(spark, path, rows):
+    """A folder with documents, whose other columns have the names that stages use themselves, and labels."""
+    more = [c.split() for c in CLASHING.split(", ")]
+    docs = spark.createDataFrame([(*r[:4], len(r[1] or "")) for r in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    docs.withColumns({name: F.lit("7").cast(kind) for name, kind in more}).write.parquet(f"{path}/documents.parquet")
+    ids = sorted({r[0] for r in rows if r[0] is not None})
+    marks = [(i, int(i % 4 != 0), 0) for i in ids] + [(None, 1, 0), (10_000, None, None)] * bool(rows)
+    spark.createDataFrame(marks, "doc_id long, quality int, toxic int").write.parquet(f"{path}/labels.parquet")
+
+
+def test_run_takes_hard_rows_and_clashing_columns(spark, tmp_path):
+    prose = [(100 + i, " ".join(f"word{i}x{j}" for j in range(60)) + ".", "en", f"s{i % 3}") for i in range(40)]
+    rows = [*hard_rows(), *prose, *prose[:3], (101, "another text " * 9 + "under a used id", "en", None)]
+    tables(spark, tmp_path, rows)
+    kept = {r[0] for r in rows}
+    got = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert got and {r.doc_id for r in got} <= kept
+    docs = table(spark, str(tmp_path), "documents")
+    columns = docs.columns
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, str(tmp_path))
+        assert docs.columns == columns
+        assert docs.where("label <> 7 OR _id <> 7 OR _key <> '7' OR row <> 7 OR n <> 7").count() == 0
+
+
+def test_run_on_empty_tables(spark, tmp_path):
+    tables(spark, tmp_path, [])
+    assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
+
+
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_equals_its_sql(spark, name):
     folder = "/root/testdata/sf0.01"

@@ -95,7 +95,9 @@ def without_duplicates(docs: DataFrame, keep: str = "largest") -> DataFrame:
     """The rows of ``docs`` that stay, one per text, with all their columns. Rows that share
     id and text are one document, of which one row stays."""
     key = F.struct("doc_id", "text_sha256")
-    stay = exact_duplicates(docs, keep).where("kept").select(key.alias("_key")).distinct()
+    stay = exact_duplicates(docs, keep).where("kept").select(key.alias("key")).distinct()
     sha = F.sha2(normalised(F.col("text")).cast("binary"), 256)
-    keyed = docs.withColumn("_key", F.struct(F.col("doc_id"), sha.alias("text_sha256")))
-    return keyed.join(stay, "_key", "left_semi").dropDuplicates(["_key"]).drop("_key")
+    own = F.struct(F.col("doc_id"), sha.alias("text_sha256")).alias("key")
+    keyed = docs.select(own, F.struct(*docs.columns).alias("row"))
+    once = keyed.join(stay, "key", "left_semi").dropDuplicates(["key"])
+    return once.select(*(F.col(f"row.`{c}`") for c in docs.columns))

@@ -121,7 +121,8 @@ def trained(docs: DataFrame, labels: DataFrame, held_out, label: str = "quality"
     order = [F.xxhash64(F.col("_id").cast("string")), "_id"]
     picked = [known.where(F.col("label") == y).orderBy(*order).limit(per_class) for y in (0, 1)]
     some = F.broadcast(picked[0].unionAll(picked[1]))
-    texts = docs.join(some, docs["doc_id"] == F.col("_id")).select("label", F.coalesce("text", F.lit("")).alias("text"))
+    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))  # other columns may bear any name
+    texts = texts.join(some, F.col("doc_id") == F.col("_id")).select("label", "text")
     found = texts.mapInArrow(_features, "label int, codes binary").toArrow()
     y = found.column("label").to_numpy()
     x = [np.frombuffer(v.as_buffer(), np.int32) for v in found.column("codes")]

@@ -10,6 +10,7 @@ is rejected. All of it is column expressions on one row, without a shuffle.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,7 +18,7 @@ from pyspark.sql import functions as F
 # Fixed values of the digest: white space, symbols, length of a repeated window and the limits.
 WHITE = " \t\n\x0b\x0c\r"
 SPACE = r"[\x20\x09-\x0D]"
-SYMBOLS = "#*$%&|<>"
+SYMBOL = r"[#*$%&|<>]"
 WINDOW = 8
 FEWEST_WORDS = 20
 MOST_REPEATED_PERCENT = 30
@@ -26,9 +27,12 @@ MOST_LOST_PERCENT = 50
 RULES = ("navigation", "boilerplate", "punctuation")
 NOISE_PER_WORDS = 5  # one mark of noise for every so many words is too much
 LINKS_PER_WORDS = 4  # one separator for every so many words makes a list of links
-END = r"[.!?:;\x{2026}\x{3002}\x{FF01}\x{FF1F}\x{0964}\x{061F}\x{06D4}][\x22\x27\x{201D}\x{2019}\x{00BB})\]]*" + SPACE + r"*\z"
+# A closing mark (also an ellipsis, and those of Chinese, Hindi, Arabic and Urdu), before quotes and brackets.
+ENDS = ".!?:;\u2026\u3002\uff01\uff1f\u0964\u061f\u06d4"
+CLOSERS = "\"'\u201d\u2019\u00bb)]"
+NOISES = ("!!", "!?", "?!", "??", "#", "*", "$", "%", "&", "<", ">")
 NOISE = r"[!?]{2,}|[#*$%&<>]+"
-SEPARATOR = r"[|\x{00BB}\x{203A}\x{2022}\x{00B7}\x{2192}]"
+SEPARATORS = "|\u00bb\u203a\u2022\u00b7\u2192"
 MENU = (
     r"(?i)^[^a-z0-9]*(home|menu|log ?in|log ?out|sign (in|up)|register|search|next|previous|back to top|read more|share|"
     r"contact( us)?|about( us)?|skip to (main )?content|site ?map)[^a-z0-9]*\z"
@@ -37,6 +41,11 @@ NOTICE = (
     r"(?i)(cookie (policy|settings|consent)|(uses?|accept( all)?) cookies|privacy policy|terms of (use|service)|all rights reserved|"
     r"\x{00A9}|\(c\) [0-9]{4}|enable javascript|lorem ipsum|subscribe to our|click here|powered by)"
 )
+# Every match of NOTICE holds one of these.
+NOTICES = (
+    "cookie", "privacy policy", "terms of", "all rights reserved", "\u00a9", "(c) ", "enable javascript", "lorem ipsum",
+    "subscribe to our", "click here", "powered by",
+)
 
 
 def bound(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -50,9 +59,9 @@ def words_of(text: Column) -> Column:
     return F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, SPACE + "+"))
 
 
-def _visible(text: Column) -> Column:
-    """How many characters a text has in words."""
-    return F.length(F.translate(text, WHITE, "")).cast("long")
+def _visible(words: Column) -> Column:
+    """How many characters words have."""
+    return F.aggregate(words, F.lit(0).cast("long"), lambda total, w: total + F.length(w))
 
 
 def _windows(size: Column, at: Callable[[Column], Column]) -> Column:
@@ -89,29 +98,54 @@ def _ordered_lines(text: Column) -> Column:
     return bound(marked, lambda m: F.transform(m, lambda x, k: F.struct(x["p"].alias("p"), x["line"].alias("line"), seen(m, x, k).alias("seen"))))
 
 
-def _failed(line: Column, seen: Column, words: Column) -> Column:
+def _holds_any(text: Column, parts) -> Column:
+    return reduce(Column.__or__, (F.contains(text, F.lit(p)) for p in parts))
+
+
+def _hints(text: Column) -> Column:
+    """What a whole text has at all, by plain search, so that most lines need no pattern."""
+    return F.struct(
+        _holds_any(F.lower(text), NOTICES).alias("notices"),
+        _holds_any(text, SEPARATORS).alias("links"),
+        _holds_any(text, NOISES).alias("noise"),
+    )
+
+
+def _ended(line: Column) -> Column:
+    """Whether a line ends in a closing mark, quotes and brackets after it aside."""
+    return F.right(F.rtrim(F.rtrim(line, F.lit(WHITE)), F.lit(CLOSERS)), F.lit(1)).isin(*ENDS)
+
+
+def _failed(line: Column, seen: Column, words: Column, hints: Column) -> Column:
     """Name of the first rule a line breaks, null for none and for lines without a word."""
     n = F.size(words)
     noise = F.regexp_count(line, F.lit(NOISE)) * NOISE_PER_WORDS > n
-    links = F.regexp_count(line, F.lit(SEPARATOR))
+    links = F.regexp_count(line, F.lit(f"[{SEPARATORS}]"))
     same = F.size(F.filter(words, lambda w, k: F.coalesce(w == F.get(words, k - 1), F.lit(False))))
+    listed = hints["links"] & bound(links, lambda x: (x >= 2) & (x * LINKS_PER_WORDS >= n))
     return (
         F.when(n == 0, F.lit(None).cast("string"))
-        .when(((links >= 2) & (links * LINKS_PER_WORDS >= n)) | line.rlike(MENU), "navigation")
-        .when(seen | line.rlike(NOTICE) | ((n >= 4) & (2 * same > n)), "boilerplate")
-        .when(~line.rlike(END) | noise, "punctuation")
+        .when(listed | line.rlike(MENU), "navigation")
+        .when(seen | (hints["notices"] & line.rlike(NOTICE)) | ((n >= 4) & (2 * same > n)), "boilerplate")
+        .when(~_ended(line) | (hints["noise"] & noise), "punctuation")
     )
 
 
 def _judged_lines(text: Column) -> Column:
-    judged = lambda x: bound(
+    judged = lambda x, hints: bound(
         words_of(x["line"]),
         lambda w: F.struct(
-            x["p"].alias("p"), x["line"].alias("line"), (F.size(w) > 0).alias("worded"),
-            x["seen"].alias("seen"), _failed(x["line"], x["seen"], w).alias("failed"),
+            x["p"].alias("p"), x["line"].alias("line"), w.alias("words"),
+            x["seen"].alias("seen"), _failed(x["line"], x["seen"], w, hints).alias("failed"),
         ),
     )
-    return F.sort_array(F.transform(_ordered_lines(text), judged))
+    lines = _ordered_lines(text)
+    return F.sort_array(bound(_hints(text), lambda hints: F.transform(lines, lambda x: judged(x, hints))))
+
+
+def _words(lines: Column) -> Column:
+    """The words of the whole text, as no word goes over a line's end."""
+    return F.flatten(F.transform(lines, lambda x: x["words"]))
 
 
 def _count(rows: Column, condition: Callable[[Column], Column]) -> Column:
@@ -120,14 +154,14 @@ def _count(rows: Column, condition: Callable[[Column], Column]) -> Column:
 
 def _report(text: Column, words: Column, lines: Column) -> Column:
     """Line figures, base figures and the cleaned text of one document."""
-    lost = F.aggregate(F.filter(lines, lambda x: x["failed"].isNotNull()), F.lit(0).cast("long"), lambda a, x: a + _visible(x["line"]))
+    lost = F.aggregate(F.filter(lines, lambda x: x["failed"].isNotNull()), F.lit(0).cast("long"), lambda a, x: a + _visible(x["words"]))
     left = F.transform(F.filter(lines, lambda x: x["failed"].isNull()), lambda x: x["line"])
     failing = lambda rule: _count(lines, lambda x: x["failed"] == rule)
     return F.struct(
         F.size(words).cast("long").alias("n_words"),
-        _visible(text).alias("word_chars"),
-        (F.length(text) - F.length(F.translate(text, SYMBOLS, ""))).cast("long").alias("n_symbols"),
-        _count(lines, lambda x: x["worded"] & x["seen"]).alias("n_dup_lines"),
+        _visible(words).alias("word_chars"),
+        F.regexp_count(text, F.lit(SYMBOL)).cast("long").alias("n_symbols"),
+        _count(lines, lambda x: (F.size(x["words"]) > 0) & x["seen"]).alias("n_dup_lines"),
         repeated_words(words).alias("n_repeat_words"),
         *(failing(rule).alias(f"n_{rule}") for rule in RULES),
         lost.alias("lost_chars"),
@@ -139,7 +173,7 @@ def judged(text: Column) -> Column:
     """All figures of a text, ``base_failed``, ``kept`` and ``clean_text`` as one struct; null counts as empty."""
     report = bound(
         F.coalesce(text, F.lit("")),
-        lambda t: bound(words_of(t), lambda w: bound(_judged_lines(t), lambda lines: _report(t, w, lines))),
+        lambda t: bound(_judged_lines(t), lambda lines: bound(_words(lines), lambda w: _report(t, w, lines))),
     )
 
     def verdict(r: Column) -> Column:

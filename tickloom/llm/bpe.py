@@ -36,7 +36,7 @@ PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?
 SUFFIXES = ("s", "t", "re", "ve", "m", "ll", "d")
 
 BLOCK_BYTES = 1 << 20
-REMEMBERED = 1_500_000
+REMEMBERED = 500_000
 AT_ONCE = 5_000
 SQUARES_AT_ONCE = 2_000_000  # sum of squared lengths of the pieces in one recursion
 LONG_PIECE = 256

@@ -15,8 +15,6 @@ when there are more, it forgets those not met since the last time.
 from __future__ import annotations
 
 import base64
-import ctypes
-import gc
 import hashlib
 import heapq
 import itertools
@@ -36,7 +34,7 @@ PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?
 SUFFIXES = ("s", "t", "re", "ve", "m", "ll", "d")
 
 BLOCK_BYTES = 1 << 20
-REMEMBERED = 500_000
+REMEMBERED = 1_000_000
 AT_ONCE = 5_000
 SQUARES_AT_ONCE = 2_000_000  # sum of squared lengths of the pieces in one recursion
 LONG_PIECE = 256
@@ -309,19 +307,10 @@ class Coder:
             yield from out
 
 
-def _released(batches: Iterator) -> Iterator:
-    """The batches; when a task is done, its worker gives unused memory back, as it may live through many stages."""
-    yield from batches
-    gc.collect()
-    pa.default_memory_pool().release_unused()
-    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
-        trim(0)
-
-
 def _encode(ranks):
     def run(batches):
         coder = Coder.of(ranks)
-        for whole in _released(batches):
+        for whole in words.released(batches):
             for at in range(0, whole.num_rows, ROWS):
                 batch = whole.slice(at, ROWS)
                 ids = list(coder.encode(batch.column(batch.schema.get_field_index("text"))))
@@ -333,7 +322,7 @@ def _encode(ranks):
 def _decode(ranks, column):
     def run(batches):
         coder = Coder.of(ranks)
-        for batch in _released(batches):
+        for batch in words.released(batches):
             ids = [x or b"" for x in batch.column(batch.schema.get_field_index(column)).to_pylist()]
             yield batch.append_column("decoded", pa.array(list(coder.decode(ids)), pa.binary()))
 
@@ -365,7 +354,7 @@ def decoded(rows: DataFrame, ranks: bytes, column: str = "token_ids") -> DataFra
 def _round_trip(ranks):
     def run(batches):
         coder = Coder.of(ranks)
-        for batch in _released(batches):
+        for batch in words.released(batches):
             for at in range(0, batch.num_rows, ROWS):
                 part = batch.slice(at, ROWS)
                 ids = list(coder.encode(part.column(1)))

@@ -59,7 +59,7 @@ def signature(shingles: np.ndarray) -> np.ndarray:
 
 def _sign(size):
     def run(batches):
-        for batch in batches:
+        for batch in words.released(batches):
             ids = batch.column(0)
             rows = {"n": [], "h1": [], "h2": [], "keys": []}
             for found in shingle_sets(batch.column(1), size):
@@ -78,7 +78,7 @@ def _sign(size):
 
 def _sets(size):
     def run(batches):
-        for batch in batches:
+        for batch in words.released(batches):
             found = [x.view(np.int64) for x in shingle_sets(batch.column(1), size)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, _LISTS)], ["id", "shingles"])
 
@@ -87,7 +87,7 @@ def _sets(size):
 
 def _confirm(percent):
     def run(batches):
-        for batch in batches:
+        for batch in words.released(batches):
             common, good = [], []
             for x, y in zip(batch.column(2), batch.column(3), strict=True):
                 both = np.concatenate((x.values.to_numpy(), y.values.to_numpy()))

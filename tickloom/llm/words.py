@@ -7,6 +7,8 @@ Hashes have 64 bits; a window's hash comes from two prefix sums, whatever its le
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -134,3 +136,12 @@ def word_block(data: np.ndarray, offsets: np.ndarray, lower: bool, first_row: in
 
 def as_longs(hashes: np.ndarray) -> np.ndarray:
     return hashes.view(np.int64)
+
+
+def released(batches: Iterator) -> Iterator:
+    """The batches; when a task is done, its worker gives unused memory back, as it may live through many stages."""
+    yield from batches
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        trim(0)

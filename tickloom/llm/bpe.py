@@ -315,6 +315,8 @@ def _encode(ranks):
                 batch = whole.slice(at, ROWS)
                 ids = list(coder.encode(batch.column(batch.schema.get_field_index("text"))))
                 yield batch.append_column("token_ids", pa.array(ids, pa.binary()))
+                del batch, ids
+                words.release()
 
     return run
 

@@ -138,10 +138,15 @@ def as_longs(hashes: np.ndarray) -> np.ndarray:
     return hashes.view(np.int64)
 
 
+def release() -> None:
+    """Give memory that is not in use back to the system."""
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        trim(0)
+
+
 def released(batches: Iterator) -> Iterator:
     """The batches; when a task is done, its worker gives unused memory back, as it may live through many stages."""
     yield from batches
     gc.collect()
-    pa.default_memory_pool().release_unused()
-    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
-        trim(0)
+    release()

@@ -5,12 +5,13 @@ import math
 from collections import Counter, defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 from cases import LOWER, empty, folder, hard, hard_rows, small, words  # noqa: F401
 
 from tickloom.llm.components import components
 from tickloom.llm.exact_dedup import exact_duplicates, without_duplicates
 from tickloom.llm.mixing import mix_plan, mixed, source_targets
-from tickloom.llm.near_dedup import near_duplicates, without_near_duplicates
+from tickloom.llm.near_dedup import _triples, _within, near_duplicates, without_near_duplicates
 from tickloom.llm.queries import QUERIES
 from tickloom.llm.substring_dedup import repeated_passages
 
@@ -111,6 +112,44 @@ def test_one_of_a_near_group_stays(hard):
     assert 1 in kept and not kept & {2, 3, 4}
 
 
+def test_one_id_on_two_texts_keeps_the_links_of_both(spark):
+    a, b = (" ".join(f"{x}{i}" for i in range(100)) for x in "ab")
+    rows = [(1, a), (2, a + " tail"), (2, b), (3, b + " end"), (4, "none of these words")]
+    for order in (rows, rows[::-1]):
+        docs = spark.createDataFrame(order, "doc_id long, text string")
+        got = sorted((r.doc_id, r.n_shingles, r.component_id) for r in near_duplicates(docs).collect())
+        assert got == [(1, 96, 1), (2, 96, 2), (2, 97, 1), (3, 97, 2), (4, 1, 4)]
+        stay = {(r.doc_id, r.text) for r in without_near_duplicates(docs).collect()}
+        assert stay == {(1, a), (2, b), (4, "none of these words")}
+
+
+def boilerplate(count):
+    """Texts of a shared notice and words of their own, too few in common to be links."""
+    notice = " ".join(f"notice{i}" for i in range(204))
+    return [(i, notice + " " + " ".join(f"own{i}x{k}" for k in range(40 + i % 5))) for i in range(count)]
+
+
+def test_texts_that_share_boilerplate_are_not_linked(spark):
+    rows = boilerplate(200) + [(1000, boilerplate(1)[0][1] + " more")]
+    got = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()
+    assert {r.doc_id: r.component_id for r in got} == {i: c for i, (_, c) in near_expected(rows).items()}
+
+
+def test_a_list_is_compared_by_distinct_bounds(spark):
+    shape = "key long, id long, c long, n long, m long, h long, keys array<long>"
+    # 40 kinds of bounds, whatever the number of members; all below 0.75
+    rows = [(7, i, i, 260 + i % 40, 200, 200, [7]) for i in range(4_000)]
+    rows += [(7, 9_000 + i, 9_000 + i % 2, 220, 215, 205, [7]) for i in range(4)]  # two components, may be links
+    rows += [(7, 9_100 + i, 9_100, 500, 500, 500, [7]) for i in range(50)]  # one component already
+    rows += [(8, i, i, 30, 30, -1, [7, 8]) for i in (9_000, 9_001)]  # a pair of both lists counts once, in list 7
+    members = spark.createDataFrame(rows, shape)
+    compared = [tuple(r) for r in _triples(members, 75).collect()]
+    assert sorted(compared) == [(7, 220, 215, 205, 220, 215, 205), (8, 30, 30, -1, 30, 30, -1)]
+    members = members.withColumn("keys", F.when(F.col("id").isin(9_000, 9_001), F.array(F.lit(7), F.lit(8))).otherwise(F.col("keys")).cast("array<long>"))
+    got = sorted(map(tuple, _within(members, 75).collect()))
+    assert got == [(9_000, 9_001), (9_000, 9_003), (9_001, 9_002), (9_002, 9_003)]
+
+
 def test_components_of_a_long_path(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(60)] + [(100, 101)], "a long, b long")
     got = {r.id: r.component for r in components(edges).collect()}

@@ -7,9 +7,11 @@ they share a pair among the ``COORDINATES - MATCHES + 1`` rarest of either: freq
 A list is not expanded into pairs: each member meets the list's hub, its most central member,
 which is enough to join nearly all of a group of any size. Lists whose members are still in
 different components are then looked at on full sets: shingles that no other text of such
-lists has, and what each text shares with the hub, bound what two texts can share, and all
-pairs of different components within the bounds are compared. Every link is confirmed on
-full sets. A pair of similarity 0.75 agrees in 48 of 64 values on average and falls below 34
+lists has, and what each text shares with the hub, bound what two texts can share. These
+bounds are three numbers per member, so a list is collapsed to its distinct triples, triples
+are compared instead of texts, and only members of triples within the bounds and in different
+components are paired: texts that share no more than their boilerplate cost one
+row each, however many they are. Every link is confirmed on full sets. A pair of similarity 0.75 agrees in 48 of 64 values on average and falls below 34
 once in 20,000 times.
 """
 
@@ -28,6 +30,7 @@ SHINGLE_WORDS = 5
 COORDINATES = 64
 MATCHES = 34
 PERCENT = 75
+SALTS = 8  # so many tasks compare the members of one list
 BROADCAST_IDS = 2_000_000  # so many ids (about 100 MB as a hash table) go to every executor; more are joined by a shuffle
 
 _FACTORS = words.mix64(np.arange(1, COORDINATES + 1, dtype=np.uint64) * np.uint64(0x8CB92BA72F3D8DD7)) | np.uint64(1)
@@ -57,6 +60,13 @@ def signature(shingles: np.ndarray) -> np.ndarray:
     return words.mix64(least ^ _FACTORS)
 
 
+def set_hashes(found: np.ndarray) -> tuple[int, int]:
+    """Two hashes that tell sets of shingles apart."""
+    if not len(found):
+        return 0, 0
+    return int(found.sum().view(np.int64)), int(words.mix64(found * _FACTORS[0]).sum().view(np.int64))
+
+
 def _sign(size):
     def run(batches):
         for batch in words.released(batches):
@@ -64,13 +74,14 @@ def _sign(size):
             rows = {"n": [], "h1": [], "h2": [], "keys": []}
             for found in shingle_sets(batch.column(1), size):
                 rows["n"].append(len(found))
-                rows["h1"].append(int(found.sum().view(np.int64)) if len(found) else 0)
-                rows["h2"].append(int(words.mix64(found * _FACTORS[0]).sum().view(np.int64)) if len(found) else 0)
+                h1, h2 = set_hashes(found)
+                rows["h1"].append(h1)
+                rows["h2"].append(h2)
                 rows["keys"].append(signature(found).view(np.int64) if len(found) else None)
             yield pa.RecordBatch.from_arrays(
-                [ids, pa.array(rows["n"], pa.int64()), pa.array(rows["h1"], pa.int64()),
+                [ids, batch.column(2), pa.array(rows["n"], pa.int64()), pa.array(rows["h1"], pa.int64()),
                  pa.array(rows["h2"], pa.int64()), pa.array(rows["keys"], _LISTS)],
-                ["doc_id", "n_shingles", "h1", "h2", "keys"],
+                ["doc_id", "text_hash", "n_shingles", "h1", "h2", "keys"],
             )
 
     return run
@@ -80,7 +91,12 @@ def _sets(size):
     def run(batches):
         for batch in words.released(batches):
             found = [x.view(np.int64) for x in shingle_sets(batch.column(1), size)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, _LISTS)], ["id", "shingles"])
+            h1, h2 = zip(*(set_hashes(x.view(np.uint64)) for x in found), strict=True) if found else ((), ())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array([len(x) for x in found], pa.int64()), pa.array(h1, pa.int64()),
+                 pa.array(h2, pa.int64()), pa.array(found, _LISTS)],
+                ["doc_id", "n_shingles", "h1", "h2", "shingles"],
+            )
 
     return run
 
@@ -171,7 +187,7 @@ def _mixed(posted: DataFrame, found: DataFrame) -> DataFrame:
 def _still_apart(
     posted: DataFrame, hubs: DataFrame, met: DataFrame, found: DataFrame, sets: DataFrame, percent: int
 ) -> DataFrame:
-    """All pairs of members of one list that are in different components, but for those that cannot be
+    """The pairs of members of one list that are in different components, but for those that cannot be
     links by two bounds on what they share: shingles that no other text of such lists has count for
     nothing, and the smaller number counts of the shingles within the list's hub and of those
     outside it. ``met`` has what texts share with hubs; a text that did not meet the hub has
@@ -191,66 +207,119 @@ def _still_apart(
     own = at.groupBy("id").agg(F.min("c").alias("c"), F.collect_list("key").alias("keys"))  # no more than the prefix
     members = own.join(able, "id").select("*", F.explode("keys").alias("key")).join(hubs, "key")
     members = members.join(ends[0].unionAll(ends[1]), ["id", "hub"], "left")
-    members = stored(members.select("key", "id", "c", "n", "m", within.alias("h"), "keys"), "members")
+    members = stored(members.select("key", "id", "c", "n", "m", F.coalesce(within, F.lit(-1)).alias("h"), "keys"), "members")
+    return _within(members, percent)
+
+
+def _triples(members: DataFrame, percent: int) -> DataFrame:
+    """(key, nx, mx, hx, ny, my, hy): the pairs of distinct triples of one list whose members may be links and
+    are in different components. h is -1 where a member has not met the hub."""
+    found = members.groupBy("key", "n", "m", "h").agg(F.min("c").alias("lo"), F.max("c").alias("hi"))
+    salt = F.pmod(F.xxhash64("n", "m", "h"), F.lit(SALTS)).alias("salt")
+    every = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))).alias("salt")
     left, right = (
-        members.select("key", *(F.col(c).alias(c + side) for c in ("id", "c", "n", "m", "h", "keys"))) for side in "xy"
+        found.select("key", part, *(F.col(c).alias(c + side) for c in ("n", "m", "h", "lo", "hi")))
+        for side, part in (("x", salt), ("y", every))
     )
     most = F.least("mx", "my")
     by_hub = F.least("hx", "hy") + F.least(F.col("mx") - F.col("hx"), F.col("my") - F.col("hy"))
-    most = F.when(F.col("hx").isNotNull() & F.col("hy").isNotNull(), by_hub).otherwise(most)
-    near = (F.col("cx") < F.col("cy")) & (100 * most >= percent * (F.col("nx") + F.col("ny") - most))
+    most = F.when((F.col("hx") >= 0) & (F.col("hy") >= 0), F.least(most, by_hub)).otherwise(most)
+    near = 100 * most >= percent * (F.col("nx") + F.col("ny") - most)
+    ordered = F.struct("nx", "mx", "hx") <= F.struct("ny", "my", "hy")
+    apart = F.least("lox", "loy") < F.greatest("hix", "hiy")
+    return left.join(right, ["key", "salt"]).where(ordered & near & apart).drop("salt", "lox", "loy", "hix", "hiy")
+
+
+def _within(members: DataFrame, percent: int) -> DataFrame:
+    """(a, b): the pairs of members of one list, in different components, that the bounds leave."""
+    triples = stored(_triples(members, percent), "triples")
+    salt = F.pmod(F.xxhash64("id"), F.lit(SALTS)).alias("salt")
+    every = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))).alias("salt")
+    left, right = (
+        members.select("key", part, *(F.col(c).alias(c + side) for c in ("id", "c", "n", "m", "h", "keys")))
+        .join(triples.select("key", *(c + side for c in "nmh")).distinct(), ["key", *(c + side for c in "nmh")], "left_semi")
+        for side, part in (("x", salt), ("y", every))
+    )
+    same = (F.col("nx") == F.col("ny")) & (F.col("mx") == F.col("my")) & (F.col("hx") == F.col("hy"))
+    apart = F.when(same, F.col("cx") < F.col("cy")).otherwise(F.col("cx") != F.col("cy"))
     once = F.col("key") == F.array_min(F.array_intersect("keysx", "keysy"))  # in one of the lists that both are in
-    return left.join(right, "key").where(near & once).select(F.least("idx", "idy").alias("a"), F.greatest("idx", "idy").alias("b"))
-
+    met = left.join(triples, ["key", "nx", "mx", "hx"]).join(right, ["key", "salt", "ny", "my", "hy"])
+    return met.where(apart & once).select(F.least("idx", "idy").alias("a"), F.greatest("idx", "idy").alias("b"))
 
-def near_duplicates(
-    docs: DataFrame, size: int = SHINGLE_WORDS, percent: int = PERCENT, matches: int = MATCHES
-) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept for every row of (doc_id, text).
 
-    A text's set holds its distinct shingles of ``size`` words, A-Z lower-cased; a shorter
-    text is one shingle; texts without words, empty or null have an empty set and stand
-    alone. Texts are linked where 100 * intersection >= percent * union. component_id is the
-    smallest id that links reach, the text's own included. Rows that repeat an id and its
-    text are the same document; different texts under one id may be taken as linked. A row
-    without id links nothing and is kept, with a null component. An empty table gives an
-    empty result. Other columns are not read.
-    """
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+def _grouped(docs: DataFrame, size: int, percent: int, matches: int) -> DataFrame:
+    """doc_id, text_hash, n_shingles, component_id, kept for every row."""
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("text_hash"))
     signed = stored(
-        docs.mapInArrow(_sign(size), "doc_id long, n_shingles long, h1 long, h2 long, keys array<long>"), "signed"
+        docs.mapInArrow(
+            _sign(size), "doc_id long, text_hash long, n_shingles long, h1 long, h2 long, keys array<long>"
+        ),
+        "signed",
     )
     used = signed.where("n_shingles > 0 and doc_id is not null")
+    # a class of equal sets is a node with a number of its own, as one id may stand on several texts
     classes = stored(
         used.groupBy("h1", "h2", "n_shingles").agg(F.min(F.struct("doc_id", "keys")).alias("r"))
-        .select("h1", "h2", "n_shingles", F.col("r.doc_id").alias("id"), F.col("r.keys").alias("keys")),
+        .select(F.monotonically_increasing_id().alias("id"), "h1", "h2", "n_shingles", "r.doc_id", "r.keys"),
         "classes",
     )
     reps = classes.select("id", "keys")
     posted = _posted(reps, matches)
     lists = posted.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
     posted = stored(posted.join(lists, "key"), "posted")
-    reps = stored(_among(reps, posted), "reps")
+    nodes = stored(_among(classes, posted), "reps")
+    reps = nodes.select("id", "keys")
     hubs = _hubs(posted)
     tried = stored(_collided(_hub_pairs(posted, hubs), reps, matches), "tried")
-    texts = _among(docs.withColumnRenamed("doc_id", "id"), posted).mapInArrow(_sets(size), "id long, shingles array<long>")
-    sets = stored(texts.dropDuplicates(["id"]), "sets")
+    sets = _sets_of(docs, nodes.drop("keys"), size)
     met = _confirmed(tried, sets, percent)
     found = components(met.where("linked"))
     # within the bounds nearly all pairs agree in enough coordinates, so full sets decide at once
     rest = _still_apart(posted, hubs, met, found, sets, percent)
     rest = rest.join(tried.select("a", "b"), ["a", "b"], "left_anti")
-    found = extended(found, _confirmed(rest, sets, percent).where("linked")).withColumnRenamed("id", "rep")
-    # one row per class carries its component to all copies
-    named = classes.withColumnRenamed("id", "rep").drop("keys").join(found, "rep", "left")
-    named = named.select("h1", "h2", "n_shingles", F.coalesce("component", "rep").alias("component"))
-    own = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
-    return signed.select("doc_id", "n_shingles", "h1", "h2").join(named, ["h1", "h2", "n_shingles"], "left").select(
-        "doc_id", "n_shingles", own.alias("component_id"), F.col("doc_id").eqNullSafe(own).alias("kept")
+    found = extended(found, _confirmed(rest, sets, percent).where("linked"))
+    # one row per class carries the least doc_id of its component to all copies
+    named = classes.select("id", "h1", "h2", "n_shingles", "doc_id").join(found, "id", "left")
+    named = named.withColumn("component", F.coalesce("component", "id"))
+    least = named.groupBy("component").agg(F.min("doc_id").alias("least"))
+    named = named.join(least, "component").select("h1", "h2", "n_shingles", "least")
+    own = F.when(F.col("doc_id").isNotNull(), F.coalesce("least", "doc_id"))
+    return signed.drop("keys").join(named, ["h1", "h2", "n_shingles"], "left").select(
+        "doc_id", "text_hash", "n_shingles", own.alias("component_id"), F.col("doc_id").eqNullSafe(own).alias("kept")
     )
 
 
-def without_near_duplicates(docs: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs``, one of each group of near duplicates, with all their columns."""
-    gone = near_duplicates(docs, **options).where(~F.col("kept")).select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+def _sets_of(docs: DataFrame, nodes: DataFrame, size: int) -> DataFrame:
+    """(id, shingles): the full set of each node, from a text with the node's doc_id and that very set; written."""
+    some = _among(docs.select(F.col("doc_id").alias("id"), "text"), nodes.select(F.col("doc_id").alias("id")))
+    same = ["doc_id", "h1", "h2", "n_shingles"]
+    texts = some.mapInArrow(_sets(size), "doc_id long, n_shingles long, h1 long, h2 long, shingles array<long>")
+    return stored(texts.dropDuplicates(same).join(nodes, same).select("id", "shingles"), "sets")
+
+
+def near_duplicates(
+    docs: DataFrame, size: int = SHINGLE_WORDS, percent: int = PERCENT, matches: int = MATCHES
+) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept for every row of (doc_id, text).
+
+    A text's set holds its distinct shingles of ``size`` words, A-Z lower-cased; a shorter
+    text is one shingle; texts without words, empty or null have an empty set and stand
+    alone. Texts are linked where 100 * intersection >= percent * union. component_id is the
+    smallest id that links reach, the text's own included. Rows that repeat an id and its
+    text are the same document; different texts under one id are texts of their own, each with its
+    own links. A row without id links nothing and is kept, with a null component. An empty table gives an
+    empty result. Other columns are not read.
+    """
+    return _grouped(docs, size, percent, matches).drop("text_hash")
+
+
+def without_near_duplicates(
+    docs: DataFrame, size: int = SHINGLE_WORDS, percent: int = PERCENT, matches: int = MATCHES
+) -> DataFrame:
+    """The rows of ``docs``, those with the smallest id of each group of near duplicates, with all their columns.
+    A text that shares its id with a text that goes stays, unless it is a near duplicate itself."""
+    found = _grouped(docs, size, percent, matches).where(~F.col("kept"))
+    gone = found.select(F.struct("doc_id", "text_hash").alias("key")).distinct()
+    own = F.struct(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"))
+    keyed = docs.select(own.alias("key"), F.struct(*docs.columns).alias("row"))
+    return keyed.join(gone, "key", "left_anti").select(*(F.col(f"row.`{c}`") for c in docs.columns))

@@ -43,7 +43,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, source, lang and token_ids of every document of the mix."""
     ranks = read_ranks(public_tokenizers.path(VOCABULARY))
-    return encoded(docs, ranks).select("doc_id", "source", "lang", "token_ids")
+    return encoded(docs.select("doc_id", "source", "lang", "text"), ranks, text=False)
 
 
 STAGES = [("quality", quality), ("exact_dedup", exact), ("near_dedup", near), ("mix", mix), ("tokens", tokens)]

@@ -307,15 +307,17 @@ class Coder:
             yield from out
 
 
-def _encode(ranks):
+def _encode(ranks, text):
     def run(batches):
         coder = Coder.of(ranks)
         for whole in words.released(batches):
             for at in range(0, whole.num_rows, ROWS):
                 batch = whole.slice(at, ROWS)
-                ids = list(coder.encode(batch.column(batch.schema.get_field_index("text"))))
-                yield batch.append_column("token_ids", pa.array(ids, pa.binary()))
-                del batch, ids
+                at_text = batch.schema.get_field_index("text")
+                ids = list(coder.encode(batch.column(at_text)))
+                rest = batch if text else batch.remove_column(at_text)
+                yield rest.append_column("token_ids", pa.array(ids, pa.binary()))
+                del batch, rest, ids
                 words.release()
 
     return run
@@ -337,14 +339,15 @@ def _with(docs: DataFrame, name: str):
     return StructType([*docs.schema.fields, StructField(name, BinaryType())])
 
 
-def encoded(docs: DataFrame, ranks: bytes) -> DataFrame:
+def encoded(docs: DataFrame, ranks: bytes, text: bool = True) -> DataFrame:
     """``docs`` with token_ids: the ids of column text, little-endian unsigned 32-bit integers.
 
     Null and empty texts have no ids. No special tokens; their strings are ordinary text. All
     other columns and repeated rows are carried along, a column named token_ids is replaced.
+    Without ``text`` the column text does not travel back from the workers.
     """
     docs = docs.drop("token_ids")
-    return docs.mapInArrow(_encode(ranks), _with(docs, "token_ids"))
+    return docs.mapInArrow(_encode(ranks, text), _with(docs if text else docs.drop("text"), "token_ids"))
 
 
 def decoded(rows: DataFrame, ranks: bytes, column: str = "token_ids") -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from cases import LOWER, empty, folder, hard, hard_rows, small, words  # noqa: F401
 
 from tickloom.llm.components import components
-from tickloom.llm.exact_dedup import exact_duplicates, without_duplicates
+from tickloom.llm.exact_dedup import digests, exact_duplicates, merge_runs, merge_tree, without_duplicates
 from tickloom.llm.mixing import mix_plan, mixed, source_targets
 from tickloom.llm.near_dedup import _triples, _within, near_duplicates, without_near_duplicates
 from tickloom.llm.queries import QUERIES
@@ -37,6 +37,27 @@ def test_exact_on_hard_rows(hard, empty):
     assert exact_duplicates(empty).count() == 0
 
 
+def test_runs_are_sorted_and_merged_across_batches(spark):
+    rows = [(i, f"t{i % 7}" if i % 3 else "HOT" if i % 2 else "hot") for i in range(3_000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    size = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")  # one digest goes over many batches
+    try:
+        plan = merge_tree(digests(docs), "largest", 8)
+        got = exact_duplicates(docs).select("doc_id", "keep_id", "group_size", "kept", "text_sha256").collect()
+        runs = merge_runs(digests(docs).selectExpr("0L slot", "text_sha256", "check", "doc_id keep_id", "1L copies"), "smallest")
+        runs = runs.selectExpr("spark_partition_id() part", "*").collect()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+    assert Counter(map(tuple, got)) == exact_expected(rows)
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" not in text and text.count("MapInArrow") == 2 and text.count("Sort [") >= 2
+    assert sum(r.copies for r in runs) == 3_000
+    for part in {r.part for r in runs}:
+        found = [r.text_sha256 for r in runs if r.part == part]
+        assert found == sorted(set(found))
+
+
 def test_exact_smallest_and_bad_choice(hard):
     rows = {r.doc_id: r.keep_id for r in exact_duplicates(hard, keep="smallest").collect()}
     assert rows[3] == 1 and rows[12] == 11

@@ -1,17 +1,21 @@
-"""Exact duplicates by a tree of aggregates over digest runs.
-
-Every document becomes a digest of its normalised text. Slots hold runs: a digest once,
-with the id to keep, the number of copies and a check value. In each round a slot trades
-with the slots that differ from it in one digit of the slot number, sending each the
-digests that have this digit, and aggregates the runs it gets by slot and digest: a hash
-aggregate takes the place of sorting the runs and merging them, with the same result. The
-check value is a second hash with the length; texts are not compared. A round only ever
-combines ``FAN_IN`` runs, so a text with a billion copies is one row per run from the
-first merge on, and after the last round each slot holds a range of digests, not all.
+"""Exact duplicates by a tree of merges of sorted digest runs.
+
+Every document becomes a digest of its normalised text. Slots hold runs: sorted by digest, a
+digest once, with the id to keep, the number of copies and a check value. Each task starts with the
+run of its own rows. In each round a slot trades with the slots that differ from it in one digit of the
+slot number, sending each the digests that have this digit, and merges the ``FAN_IN`` runs
+it gets: Spark's sorter, which spills, brings them into one order, and a pass over it in the task
+keeps the first row of each digest, the one with the id that stays, with the copies of all. It holds one row
+beside the batch. The check value is a second hash with the length, and rows are merged only where it
+agrees too; texts are not compared. A text with a billion copies is one row per run before anything is
+sent, and after the last round each slot holds a range of digests, not all.
 """
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -34,13 +38,37 @@ def digests(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> Data
     )
 
 
+def _changes(column: pa.Array) -> np.ndarray:
+    """Whether each value but the first differs from the one before it."""
+    return pc.not_equal(column.slice(1), column.slice(0, len(column) - 1)).to_numpy(zero_copy_only=False)
+
+
+def _merge(batches):
+    """The first row of each run of equal slot, digest and check, with the sum of copies; rows come sorted."""
+    held = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        if held is not None:
+            batch = pa.Table.from_batches([held, batch]).combine_chunks().to_batches()[0]
+        new = np.ones(batch.num_rows, bool)
+        new[1:] = np.logical_or.reduce([_changes(batch.column(name)) for name in ("slot", "text_sha256", "check")])
+        first = np.flatnonzero(new)
+        copies = np.add.reduceat(batch.column("copies").to_numpy(), first)
+        rows = batch.take(pa.array(first))
+        at = rows.schema.get_field_index("copies")
+        rows = rows.set_column(at, rows.schema.field(at), pa.array(copies, pa.int64()))
+        yield rows.slice(0, len(first) - 1)
+        held = rows.slice(len(first) - 1)  # the next batch may go on with this digest
+    if held is not None:
+        yield held
+
+
 def merge_runs(runs: DataFrame, keep: str) -> DataFrame:
-    """One row per slot and digest, by a hash aggregate. Rows of one digest count as equal only
-    where the check agrees."""
-    winner = F.max("keep_id") if keep == "largest" else F.min("keep_id")
-    return runs.groupBy("slot", "text_sha256", "check").agg(
-        winner.alias("keep_id"), F.sum("copies").alias("copies")
-    )
+    """One row per slot and digest of each partition, in sorted order. Rows of one digest count as equal only
+    where the check agrees; of these the first, with the id to keep, stays."""
+    order = F.col("keep_id").desc_nulls_last() if keep == "largest" else F.col("keep_id").asc_nulls_last()
+    return runs.sortWithinPartitions("slot", "text_sha256", "check", order).mapInArrow(_merge, runs.schema)
 
 
 def merge_tree(found: DataFrame, keep: str, slots: int) -> DataFrame:
@@ -63,7 +91,7 @@ def merge_tree(found: DataFrame, keep: str, slots: int) -> DataFrame:
         unit = FAN_IN**place
         own = F.col("slot").bitwiseAND(F.lit(~((FAN_IN - 1) * unit)))
         digit = F.floor(address / unit) % FAN_IN
-        runs = merge_runs(runs.withColumn("slot", (own + digit * unit).cast("long")), keep)
+        runs = merge_runs(runs.withColumn("slot", (own + digit * unit).cast("long")).repartition("slot"), keep)
     return runs.drop("slot")
 
 

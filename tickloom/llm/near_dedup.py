@@ -30,7 +30,7 @@ SHINGLE_WORDS = 5
 COORDINATES = 64
 MATCHES = 34
 PERCENT = 75
-SALTS = 8  # so many tasks compare the members of one list
+SALTS = 8  # so many tasks compare the triples of one list
 BROADCAST_IDS = 2_000_000  # so many ids (about 100 MB as a hash table) go to every executor; more are joined by a shuffle
 
 _FACTORS = words.mix64(np.arange(1, COORDINATES + 1, dtype=np.uint64) * np.uint64(0x8CB92BA72F3D8DD7)) | np.uint64(1)
@@ -232,19 +232,19 @@ def _triples(members: DataFrame, percent: int) -> DataFrame:
 
 def _within(members: DataFrame, percent: int) -> DataFrame:
     """(a, b): the pairs of members of one list, in different components, that the bounds leave."""
+    bounds = ("n", "m", "h", "c")
+    side = lambda rows, s: rows.select("key", *(F.col(c).alias(c + s) for c in rows.columns if c != "key"))
+    on = lambda s: ["key", *(c + s for c in bounds)]
     triples = stored(_triples(members, percent), "triples")
-    salt = F.pmod(F.xxhash64("id"), F.lit(SALTS)).alias("salt")
-    every = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))).alias("salt")
-    left, right = (
-        members.select("key", part, *(F.col(c).alias(c + side) for c in ("id", "c", "n", "m", "h", "keys")))
-        .join(triples.select("key", *(c + side for c in "nmh")).distinct(), ["key", *(c + side for c in "nmh")], "left_semi")
-        for side, part in (("x", salt), ("y", every))
-    )
+    # the members of a triple in one component are one row: a large group meets what is apart from it, not itself
+    found = members.select("key", *bounds).distinct()
+    met = side(found, "x").join(triples, ["key", "nx", "mx", "hx"]).join(side(found, "y"), ["key", "ny", "my", "hy"])
     same = (F.col("nx") == F.col("ny")) & (F.col("mx") == F.col("my")) & (F.col("hx") == F.col("hy"))
-    apart = F.when(same, F.col("cx") < F.col("cy")).otherwise(F.col("cx") != F.col("cy"))
+    met = met.where(F.when(same, F.col("cx") < F.col("cy")).otherwise(F.col("cx") != F.col("cy")))
+    met = stored(met.select(*on("x"), *on("y")[1:]), "met")
+    pairs = met.join(side(members, "x"), on("x")).join(side(members, "y"), on("y"))
     once = F.col("key") == F.array_min(F.array_intersect("keysx", "keysy"))  # in one of the lists that both are in
-    met = left.join(triples, ["key", "nx", "mx", "hx"]).join(right, ["key", "salt", "ny", "my", "hy"])
-    return met.where(apart & once).select(F.least("idx", "idy").alias("a"), F.greatest("idx", "idy").alias("b"))
+    return pairs.where(once).select(F.least("idx", "idy").alias("a"), F.greatest("idx", "idy").alias("b"))
 
 
 def _grouped(docs: DataFrame, size: int, percent: int, matches: int) -> DataFrame:

@@ -11,7 +11,7 @@ from cases import LOWER, empty, folder, hard, hard_rows, small, words  # noqa: F
 from tickloom.llm.components import components
 from tickloom.llm.exact_dedup import digests, exact_duplicates, merge_runs, merge_tree, without_duplicates
 from tickloom.llm.mixing import mix_plan, mixed, source_targets
-from tickloom.llm.near_dedup import _triples, _within, near_duplicates, without_near_duplicates
+from tickloom.llm.near_dedup import _possible, _within, near_duplicates, without_near_duplicates
 from tickloom.llm.queries import QUERIES
 from tickloom.llm.substring_dedup import repeated_passages
 
@@ -164,8 +164,8 @@ def test_a_list_is_compared_by_distinct_bounds(spark):
     rows += [(7, 9_100 + i, 9_100, 500, 500, 500, [7]) for i in range(50)]  # one component already
     rows += [(8, i, i, 30, 30, -1, [7, 8]) for i in (9_000, 9_001)]  # a pair of both lists counts once, in list 7
     members = spark.createDataFrame(rows, shape)
-    compared = [tuple(r) for r in _triples(members, 75).collect()]
-    assert sorted(compared) == [(7, 220, 215, 205, 220, 215, 205), (8, 30, 30, -1, 30, 30, -1)]
+    compared = [tuple(r) for r in _possible(members, 75).collect()]
+    assert sorted(compared) == [(7, 220, 215, 205), (8, 30, 30, -1)]
     members = members.withColumn("keys", F.when(F.col("id").isin(9_000, 9_001), F.array(F.lit(7), F.lit(8))).otherwise(F.col("keys")).cast("array<long>"))
     got = sorted(map(tuple, _within(members, 75).collect()))
     assert got == [(9_000, 9_001), (9_000, 9_003), (9_001, 9_002), (9_002, 9_003)]

@@ -8,10 +8,11 @@ A list is not expanded into pairs: each member meets the list's hub, its most ce
 which is enough to join nearly all of a group of any size. Lists whose members are still in
 different components are then looked at on full sets: shingles that no other text of such
 lists has, and what each text shares with the hub, bound what two texts can share. These
-bounds are three numbers per member, so a list is collapsed to its distinct triples, triples
-are compared instead of texts, and only members of triples within the bounds and in different
-components are paired: texts that share no more than their boilerplate cost one
-row each, however many they are. Every link is confirmed on full sets. A pair of similarity 0.75 agrees in 48 of 64 values on average and falls below 34
+bounds are three numbers per member, so a list is first collapsed to its distinct triples: members whose
+triple can be linked with none (texts that share no more than their boilerplate) are left out however
+many they are, and the pairs of the others that are in different components and within the
+bounds are compared. Every link is confirmed on
+full sets. A pair of similarity 0.75 agrees in 48 of 64 values on average and falls below 34
 once in 20,000 times.
 """
 
@@ -30,7 +31,6 @@ SHINGLE_WORDS = 5
 COORDINATES = 64
 MATCHES = 34
 PERCENT = 75
-SALTS = 8  # so many tasks compare the triples of one list
 BROADCAST_IDS = 2_000_000  # so many ids (about 100 MB as a hash table) go to every executor; more are joined by a shuffle
 
 _FACTORS = words.mix64(np.arange(1, COORDINATES + 1, dtype=np.uint64) * np.uint64(0x8CB92BA72F3D8DD7)) | np.uint64(1)
@@ -211,40 +211,34 @@ def _still_apart(
     return _within(members, percent)
 
 
-def _triples(members: DataFrame, percent: int) -> DataFrame:
-    """(key, nx, mx, hx, ny, my, hy): the pairs of distinct triples of one list whose members may be links and
-    are in different components. h is -1 where a member has not met the hub."""
-    found = members.groupBy("key", "n", "m", "h").agg(F.min("c").alias("lo"), F.max("c").alias("hi"))
-    salt = F.pmod(F.xxhash64("n", "m", "h"), F.lit(SALTS)).alias("salt")
-    every = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))).alias("salt")
-    left, right = (
-        found.select("key", part, *(F.col(c).alias(c + side) for c in ("n", "m", "h", "lo", "hi")))
-        for side, part in (("x", salt), ("y", every))
-    )
+def _near(percent: int):
+    """Whether two members (or triples) x and y may be a link, by their bounds; h is -1 for a text that did not meet the hub."""
     most = F.least("mx", "my")
     by_hub = F.least("hx", "hy") + F.least(F.col("mx") - F.col("hx"), F.col("my") - F.col("hy"))
-    most = F.when((F.col("hx") >= 0) & (F.col("hy") >= 0), F.least(most, by_hub)).otherwise(most)
-    near = 100 * most >= percent * (F.col("nx") + F.col("ny") - most)
-    ordered = F.struct("nx", "mx", "hx") <= F.struct("ny", "my", "hy")
+    most = F.when((F.col("hx") >= 0) & (F.col("hy") >= 0), by_hub).otherwise(most)
+    return 100 * most >= percent * (F.col("nx") + F.col("ny") - most)
+
+
+def _possible(members: DataFrame, percent: int) -> DataFrame:
+    """(key, n, m, h): the distinct triples of each list that may be linked with a triple of the list, itself
+    included, and are not in the same component as a whole."""
+    found = members.groupBy("key", "n", "m", "h").agg(F.min("c").alias("lo"), F.max("c").alias("hi"))
+    left, right = (found.select(*(F.col(c).alias(c + side) for c in found.columns)) for side in "xy")
     apart = F.least("lox", "loy") < F.greatest("hix", "hiy")
-    return left.join(right, ["key", "salt"]).where(ordered & near & apart).drop("salt", "lox", "loy", "hix", "hiy")
+    met = left.join(right, (F.col("keyx") == F.col("keyy")) & apart & _near(percent), "left_semi")
+    return met.select(*(F.col(c + "x").alias(c) for c in ("key", "n", "m", "h")))
 
 
 def _within(members: DataFrame, percent: int) -> DataFrame:
     """(a, b): the pairs of members of one list, in different components, that the bounds leave."""
-    bounds = ("n", "m", "h", "c")
-    side = lambda rows, s: rows.select("key", *(F.col(c).alias(c + s) for c in rows.columns if c != "key"))
-    on = lambda s: ["key", *(c + s for c in bounds)]
-    triples = stored(_triples(members, percent), "triples")
-    # the members of a triple in one component are one row: a large group meets what is apart from it, not itself
-    found = members.select("key", *bounds).distinct()
-    met = side(found, "x").join(triples, ["key", "nx", "mx", "hx"]).join(side(found, "y"), ["key", "ny", "my", "hy"])
-    same = (F.col("nx") == F.col("ny")) & (F.col("mx") == F.col("my")) & (F.col("hx") == F.col("hy"))
-    met = met.where(F.when(same, F.col("cx") < F.col("cy")).otherwise(F.col("cx") != F.col("cy")))
-    met = stored(met.select(*on("x"), *on("y")[1:]), "met")
-    pairs = met.join(side(members, "x"), on("x")).join(side(members, "y"), on("y"))
+    possible = stored(_possible(members, percent), "possible")
+    some = members.join(possible, ["key", "n", "m", "h"], "left_semi")
+    left, right = (
+        some.select("key", *(F.col(c).alias(c + side) for c in ("id", "c", "n", "m", "h", "keys"))) for side in "xy"
+    )
     once = F.col("key") == F.array_min(F.array_intersect("keysx", "keysy"))  # in one of the lists that both are in
-    return pairs.where(once).select(F.least("idx", "idy").alias("a"), F.greatest("idx", "idy").alias("b"))
+    met = left.join(right, "key").where((F.col("cx") < F.col("cy")) & _near(percent) & once)
+    return met.select(F.least("idx", "idy").alias("a"), F.greatest("idx", "idy").alias("b"))
 
 
 def _grouped(docs: DataFrame, size: int, percent: int, matches: int) -> DataFrame:

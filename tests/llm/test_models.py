@@ -12,7 +12,7 @@ import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 import tiktoken
-from cases import empty, hard, hard_rows, words  # noqa: F401
+from cases import empty, hard, hard_rows, small, words  # noqa: F401
 from pyspark.sql import functions as F
 
 from tickloom.llm import bpe, hmm, language, quality
@@ -295,6 +295,52 @@ def test_expected_counts_are_those_of_whole_texts():
     assert all(np.allclose(g, w) for g, w in zip(got, want, strict=True))
 
 
+def test_windows_of_any_size_give_the_same_counts(monkeypatch):
+    draw = np.random.RandomState(3)
+    share = lambda *s: (lambda x: x / x.sum(-1, keepdims=True))(draw.rand(*s))
+    model = share(3), share(3, 3), share(3, 7).T
+    length = np.concatenate(([4_000, 0, 1], draw.randint(0, 60, 90)))
+    bounds = np.concatenate(([0], np.cumsum(length)))
+    symbols = draw.randint(7, size=bounds[-1]).astype(np.uint16)
+    whole = hmm._empty(3, 7)
+    hmm.expected(model, symbols, bounds, whole)
+    assert math.isclose(whole[2].sum(), bounds[-1], rel_tol=1e-4)
+    for texts, window, kept in ((7, 50, 60), (1, 1, 1), (500, 100, 1 << 18)):
+        monkeypatch.setattr(hmm, "TEXTS", texts)
+        monkeypatch.setattr(hmm, "WINDOW", window)
+        monkeypatch.setattr(hmm, "KEPT", kept)
+        got = hmm._empty(3, 7)
+        hmm.expected(model, symbols, bounds, got)
+        assert all(np.allclose(g, w, rtol=1e-4) for g, w in zip(got, whole, strict=True))
+
+
+def test_unlikely_symbols_do_not_underflow():
+    """States that all but exclude each other's symbols, met in turn, stay finite in single precision."""
+    emit = np.array([[1 - 1e-6, 1e-6], [1e-6, 1 - 1e-6]])
+    model = np.array([0.5, 0.5]), np.array([[1 - 1e-9, 1e-9], [1e-9, 1 - 1e-9]]), emit
+    symbols = np.tile([0, 1], 5_000).astype(np.uint16)
+    got = hmm._empty(2, 2)
+    hmm.expected(model, symbols, np.array([0, 10_000]), got)
+    assert all(np.isfinite(x).all() for x in got) and math.isclose(got[2].sum(), 10_000, rel_tol=1e-3)
+
+
+def test_extrapolated_rounds_reach_what_plain_ones_do(small, monkeypatch):
+    hashes = [np.concatenate([b.hashes for b in block_words(pa.array([r["text"] or ""]), lower=True)] or [[]]) for r in small]
+    bounds = np.concatenate(([0], np.cumsum([len(h) for h in hashes])))
+    _, symbols, counts = np.unique(np.concatenate(hashes), return_inverse=True, return_counts=True)
+    symbols, unigram = symbols.astype(np.uint16), (counts + 1) / (counts.sum() + len(counts))
+    score = lambda rounds: hmm.likelihoods(hmm.first_model(symbols, bounds, unigram, 4, rounds), symbols, bounds).sum()
+    fast = score(hmm.ROUNDS)
+    monkeypatch.setattr(hmm, "STRIDE", 1.0)
+    assert fast >= score(22) * 1.002  # logarithms, below zero
+
+
+def test_more_symbols_than_their_bits_are_refused(spark, hard, monkeypatch):
+    monkeypatch.setattr(hmm, "BUCKETS", 1 << 16)
+    with pytest.raises(ValueError, match="16 bits"):
+        hmm.score_texts(hard, held_out(F.col("doc_id"), 7, 2))
+
+
 def test_model_beats_the_base_on_held_out_rows(spark):
     rows = QUERIES["op9_hidden_markov_lm"](spark, "/root/testdata/sf0.01").where("held_out").toPandas()
     assert rows.score.sum() > rows.base_score.sum()

@@ -224,7 +224,10 @@ def test_rare_words_are_counted_in_shards(spark, monkeypatch):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     few = hmm.score_texts(docs, held_out(F.col("doc_id"), 7, 2), frequent=3).toPandas().sort_values("doc_id")
     many = hmm.score_texts(docs, held_out(F.col("doc_id"), 7, 2)).toPandas().sort_values("doc_id")
-    assert few.n_known.tolist() == many.n_known.tolist()
+    monkeypatch.setattr(hmm, "SHARD_BYTES", 100)  # more shards than shuffle partitions
+    more = hmm.score_texts(docs, held_out(F.col("doc_id"), 7, 2), frequent=3).toPandas().sort_values("doc_id")
+    assert few.n_known.tolist() == many.n_known.tolist() == more.n_known.tolist()
+    assert np.allclose(few.score, more.score)
     assert np.allclose(few.base_score, many.base_score)
 
 

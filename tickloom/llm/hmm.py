@@ -8,8 +8,8 @@ vocabulary is, and the likelihood of a text is that of its symbols (scaled forwa
 recursion over the whole text) times that of its words within their buckets.
 
 The texts are turned into symbols once. Rare words go to shards by hash, packed with the
-text they come from; a shard has all occurrences of its words, counts those of training
-texts and sends the counts back. No word that has a shard is frequent, so no shard is hot.
+text they come from, as many shards as their size asks for; a shard has all occurrences of its
+words, counts those of training texts and sends the counts back. No word that has a shard is frequent, so no shard is hot.
 Every round of Baum-Welch goes over all training texts, whole ones, from a start that no text
 decides; all but the last extrapolate, which reaches in 13 rounds what 22 plain ones do. Expected counts are summed within tasks, then by symbol; only the tables come to
 the driver.
@@ -34,6 +34,7 @@ STATES = 8
 ROUNDS = 13
 STRIDE = 1.8  # all rounds but the last go this many times the way to their estimate; 1 is plain Baum-Welch
 TEXTS, WINDOW, KEPT, SCALE = 4096, 1 << 16, 1 << 18, 4  # sizes of the work on expected counts, which change no result
+SHARD_BYTES = 64 << 20  # of rare words' hashes, at most, in a shard on average
 END = np.uint64(0x51ED270B9F0C3A7D)  # the hash that stands for the end of a text
 
 _CODED = "doc_id {id}, held_out boolean, n_tokens long, symbols binary, rare binary, uid long"
@@ -451,10 +452,13 @@ def score_texts(
         for left in range(rounds if total else 0, 0, -1):
             model = _trained(training, model, unigram, STRIDE if left > 1 else 1.0)
 
-    shards = even_keys(docs.sparkSession, shuffles(docs.sparkSession))
+    rare = coded.agg(F.sum(F.octet_length("rare"))).first()[0] or 0
+    parts = max(shuffles(docs.sparkSession), -(-rare // SHARD_BYTES))
+    shards = even_keys(docs.sparkSession, parts)
     packed = coded.select("uid", "rare", "held_out").mapInArrow(
         _to_shards(shards), "shard long, uid long, held binary, row binary, hash binary"
     )
+    packed = packed.repartition(parts, "shard")
     back = stored(packed.groupBy("shard").applyInArrow(_counted, "home long, uid long, row binary, n binary"), "counted")
     distinct = np.zeros(BUCKETS, np.int64)
     found = back.where("home < 0").select("row", "n").mapInArrow(_distinct, "bucket long, n long")

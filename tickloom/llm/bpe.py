@@ -18,6 +18,7 @@ import base64
 import hashlib
 import heapq
 import itertools
+from array import array
 from collections.abc import Callable, Iterator
 
 import duckdb
@@ -33,7 +34,7 @@ from tickloom.llm import words
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 SUFFIXES = ("s", "t", "re", "ve", "m", "ll", "d")
 
-BLOCK_BYTES = 1 << 20
+BLOCK_BYTES = 1 << 18
 REMEMBERED = 1_000_000
 AT_ONCE = 5_000
 SQUARES_AT_ONCE = 2_000_000  # sum of squared lengths of the pieces in one recursion
@@ -164,13 +165,13 @@ class Coder:
         self.kinds, self.memory = _kinds(), Memory(REMEMBERED)
         # without a folder to spill to, a query that needs more memory fails instead of filling a local disk
         self.db = duckdb.connect(config={"threads": 1, "memory_limit": "250MB", "temp_directory": ""})
-        rows = []
+        rows = array("q")
         for token, rank in self.rank.items():
             for cut in range(1, len(token)):
                 a, b = self.rank.get(token[:cut]), self.rank.get(token[cut:])
                 if a is not None and b is not None:
-                    rows.append((a, b, rank))
-        a, b, rank = np.array(rows, np.int64).reshape(-1, 3).T
+                    rows.extend((a, b, rank))
+        a, b, rank = np.frombuffer(rows, np.int64).reshape(-1, 3).T
         merges = pa.table({"pair": a * 1048576 + b, "rank": rank})
         vocabulary = pa.table({"token": list(self.rank.values()), "bytes": [t.hex() for t in self.rank]})
         for name, table in (("merges", merges), ("vocabulary", vocabulary)):

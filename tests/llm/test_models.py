@@ -3,6 +3,7 @@
 import base64
 import hashlib
 import math
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -129,6 +130,28 @@ def test_pieces_are_remembered_and_forgotten(reference, monkeypatch):
     assert len(asked[-1]) > 20
 
 
+def test_a_full_memory_stays_small():
+    """Entries are narrow, and merging the late ones takes a fixed amount beside the tables."""
+    memory, draw = bpe.Memory(400_000, 50_257), np.random.RandomState(2)
+    hashes = np.unique(draw.randint(0, 1 << 62, 390_000)).astype(np.uint64)
+    size = draw.randint(1, 7, len(hashes))
+    size[7] = 300  # too long to be remembered
+    ids = draw.randint(0, 50_257, size.sum()).astype(np.uint32)
+    ends = np.cumsum(size)
+    tracemalloc.start()
+    try:
+        for at in range(0, len(hashes), 30_000):
+            a, b = (ends[at - 1] if at else 0), ends[min(at + 30_000, len(ends)) - 1]
+            memory.add(hashes[at : at + 30_000], ids[a:b], size[at : at + 30_000])
+        kept, most = tracemalloc.get_traced_memory()
+    finally:
+        tracemalloc.stop()
+    assert kept < 22 * len(hashes) and most < 100 * len(hashes)
+    known, flat, found = memory.find(hashes)
+    assert not known[7] and found[7] == 0 and known.sum() == len(hashes) - 1
+    assert (flat == np.delete(ids, np.arange(ends[6], ends[7]))).all()
+
+
 def test_token_digests_on_hard_rows(hard, empty, reference):
     ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
     got = Counter(map(tuple, bpe.token_digests(hard, ranks).collect()))

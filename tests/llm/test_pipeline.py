@@ -9,6 +9,7 @@ import pytest
 from cases import folder, hard_rows, words  # noqa: F401
 from pyspark.sql import functions as F
 
+from tickloom.llm.mixing import _numbered
 from tickloom.llm.oracle import ORACLE
 from tickloom.llm.queries import QUERIES, table
 
@@ -44,6 +45,14 @@ def test_run_equals_the_stages(spark, folder):
     assert sorted(map(key, rows)) == sorted(map(key, again))
 
 
+def test_the_mix_starts_no_python_worker(spark, folder):
+    """Workers that a small list of numbers needs stay beside those of the next stage."""
+    sizes = table(spark, folder, "documents").groupBy("source").agg(F.sum(F.length("text")).alias("source_size"))
+    numbered = _numbered(sizes)
+    assert "ExistingRDD" not in numbered._jdf.queryExecution().toString()
+    assert sorted(r.place for r in numbered.collect()) == list(range(sizes.count()))
+
+
 CLASHING = "label int, _id long, _key string, key string, row int, token_ids string, quality_score double, copies string, n long"
 
 

@@ -41,6 +41,7 @@ SQUARES_AT_ONCE = 2_000_000  # sum of squared lengths of the pieces in one recur
 LONG_PIECE = 256
 ROWS = 1_000
 DECODED_AT_ONCE = 100_000
+SPANS_AT_ONCE = 1 << 16
 _BASE = np.uint64(0xC2B2AE3D27D4EB4F)
 _SPACE, _LETTER, _NUMBER, _OTHER = range(4)
 
@@ -74,41 +75,53 @@ def read_ranks(path: str) -> bytes:
 
 def _kinds() -> np.ndarray:
     """The kind of every code point: white space, letter, number or other."""
-    text = "".join(chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000)
     kinds = np.full(0x110000, _OTHER, np.uint8)
-    for kind, pattern in ((_SPACE, r"\s+"), (_LETTER, r"\p{L}+"), (_NUMBER, r"\p{N}+")):
-        for match in regex.finditer(pattern, text):
-            a, b = (i if i < 0xD800 else i + 0x800 for i in match.span())
-            kinds[a:b] = kind
+    for low in range(0, 0x110000, 0x800):
+        if 0xD800 <= low < 0xE000:
+            continue
+        text = np.arange(low, low + 0x800, dtype="<u4").tobytes().decode("utf-32-le")
+        for kind, pattern in ((_SPACE, r"\s+"), (_LETTER, r"\p{L}+"), (_NUMBER, r"\p{N}+")):
+            for match in regex.finditer(pattern, text):
+                kinds[low + match.start() : low + match.end()] = kind
     return kinds
 
 
 def _gathered(flat: np.ndarray, begin: np.ndarray, size: np.ndarray) -> np.ndarray:
-    """``flat[begin:begin + size]`` of all spans, one after the other."""
-    total = np.cumsum(size)
-    return flat[np.repeat(begin - total + size, size) + np.arange(total[-1] if len(total) else 0)]
+    """``flat[begin:begin + size]`` of all spans, one after the other; the places of a few spans at a time."""
+    ends = np.cumsum(size, dtype=np.int64)
+    out = np.empty(int(ends[-1]) if len(ends) else 0, flat.dtype)
+    for at in range(0, len(size), SPANS_AT_ONCE):
+        n = size[at : at + SPANS_AT_ONCE]
+        stop = ends[at : at + SPANS_AT_ONCE]
+        done = int(ends[at - 1]) if at else 0
+        places = np.repeat(begin[at : at + SPANS_AT_ONCE] - (stop - n), n) + np.arange(done, int(stop[-1]))
+        out[done : int(stop[-1])] = flat[places]
+    return out
 
 
 class Memory:
-    """Ids of pieces by their hash, in sorted arrays: a large one and one for what came lately."""
+    """Ids of pieces by their hash, in sorted arrays: a large one and one for what came lately.
 
-    def __init__(self, limit: int):
-        self.limit = limit
+    An entry takes about 20 bytes: ids have the narrowest type that holds all of ``ids``, sizes one
+    byte. A piece of more than 255 ids is not remembered.
+    """
+
+    def __init__(self, limit: int, ids: int = 1 << 32):
+        self.limit, self.kind = limit, np.min_scalar_type(ids - 1)
         self.large, self.late = self._empty(), self._empty()
         self.used = np.zeros(0, bool)
 
-    @staticmethod
-    def _empty():
-        return np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.uint32)
+    def _empty(self):
+        return np.empty(0, np.uint64), np.empty(0, np.uint32), np.empty(0, np.uint8), np.empty(0, self.kind)
 
     @staticmethod
     def _table(hashes, size, flat):
         """Hash, begin, size and ids, sorted by hash."""
         order = np.argsort(hashes)
-        begin = np.cumsum(size) - size
+        begin = np.cumsum(size, dtype=np.int64) - size
         flat = _gathered(flat, begin[order], size[order])
         size = size[order]
-        return hashes[order], np.cumsum(size) - size, size, flat
+        return hashes[order], (np.cumsum(size, dtype=np.int64) - size).astype(np.uint32), size, flat
 
     def _joined(self, a, b):
         return self._table(np.concatenate((a[0], b[0])), np.concatenate((a[2], b[2])), np.concatenate((a[3], b[3])))
@@ -128,13 +141,16 @@ class Memory:
         upto = np.cumsum(size) - size
         flat = np.empty(int(size.sum()), np.uint32)
         for hit, slot, table in parts:
-            n = table[2][slot]
+            n = table[2][slot].astype(np.int64)
             spread = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
             flat[np.repeat(upto[hit], n) + spread] = table[3][np.repeat(table[1][slot], n) + spread]
         return known, flat, size
 
     def add(self, hashes: np.ndarray, flat: np.ndarray, size: np.ndarray) -> None:
-        self.late = self._joined(self.late, (hashes, None, size, flat))
+        short = size < 256
+        if not short.all():
+            hashes, flat, size = hashes[short], flat[np.repeat(short, size)], size[short]
+        self.late = self._joined(self.late, (hashes, None, size.astype(np.uint8), flat.astype(self.kind)))
         if len(self.late[0]) * 8 < self.limit:
             return
         if len(self.large[0]) + len(self.late[0]) > self.limit:
@@ -161,8 +177,8 @@ class Coder:
         pairs = (line.split() for line in ranks.splitlines() if line)
         self.rank = {base64.b64decode(token): int(rank) for token, rank in pairs}
         self.byte = np.array([self.rank[bytes([b])] for b in range(256)], np.int64)
-        self.pairs: dict[int, int] | None = None
-        self.kinds, self.memory = _kinds(), Memory(REMEMBERED)
+        self.bytes_of = {rank: token for token, rank in self.rank.items()}
+        self.kinds, self.memory = _kinds(), Memory(REMEMBERED, max(self.rank.values()) + 1)
         # without a folder to spill to, a query that needs more memory fails instead of filling a local disk
         self.db = duckdb.connect(config={"threads": 1, "memory_limit": "250MB", "temp_directory": ""})
         rows = array("q")
@@ -172,12 +188,13 @@ class Coder:
                 if a is not None and b is not None:
                     rows.extend((a, b, rank))
         a, b, rank = np.frombuffer(rows, np.int64).reshape(-1, 3).T
-        merges = pa.table({"pair": a * 1048576 + b, "rank": rank})
-        vocabulary = pa.table({"token": list(self.rank.values()), "bytes": [t.hex() for t in self.rank]})
-        for name, table in (("merges", merges), ("vocabulary", vocabulary)):
-            self.db.register("given", table)
-            self.db.execute(f"CREATE TABLE {name} AS SELECT * FROM given")
-            self.db.unregister("given")
+        self._create("merges", pa.table({"pair": a * 1048576 + b, "rank": rank}))
+        self.can_decode = False
+
+    def _create(self, name: str, table: pa.Table) -> None:
+        self.db.register("given", table)
+        self.db.execute(f"CREATE TABLE {name} AS SELECT * FROM given")
+        self.db.unregister("given")
 
     def encode_pieces(self, pieces: list[bytes]) -> list[bytes]:
         """The ids of each piece, little-endian and unsigned, four bytes each."""
@@ -209,27 +226,28 @@ class Coder:
 
     def _contracted(self, piece: bytes) -> list[int]:
         """The ids of one long piece: pairs wait in a heap by rank and place, tokens are a linked list."""
-        if self.pairs is None:
-            a, b = (self.db.sql(f"SELECT {c} FROM merges").fetchnumpy()[c] for c in ("pair", "rank"))
-            self.pairs = dict(zip(a.tolist(), b.tolist(), strict=True))
-        rank_of = self.pairs.get
+        rank, bytes_of = self.rank.get, self.bytes_of
+
+        def rank_of(a: int, b: int) -> int | None:
+            return rank(bytes_of[a] + bytes_of[b])
+
         token = self.byte[np.frombuffer(piece, np.uint8)].tolist()
         n = len(token)
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        heap = [(r, i) for i in range(n - 1) if (r := rank_of(token[i] * 1048576 + token[i + 1])) is not None]
+        heap = [(r, i) for i in range(n - 1) if (r := rank_of(token[i], token[i + 1])) is not None]
         heapq.heapify(heap)
         while heap:
-            rank, i = heapq.heappop(heap)
+            lowest, i = heapq.heappop(heap)
             j = after[i]
             # a pair whose tokens have changed since it was put in is no longer one
-            if token[i] < 0 or j >= n or rank_of(token[i] * 1048576 + token[j]) != rank:
+            if token[i] < 0 or j >= n or rank_of(token[i], token[j]) != lowest:
                 continue
-            token[i], token[j], after[i] = rank, -1, after[j]
+            token[i], token[j], after[i] = lowest, -1, after[j]
             if after[i] < n:
                 before[after[i]] = i
             for left in (before[i], i):
                 if left >= 0 and after[left] < n:
-                    r = rank_of(token[left] * 1048576 + token[after[left]])
+                    r = rank_of(token[left], token[after[left]])
                     if r is not None:
                         heapq.heappush(heap, (r, left))
         return [t for t in token if t >= 0]
@@ -294,6 +312,9 @@ class Coder:
 
     def decode(self, texts: list[bytes]) -> Iterator[bytes]:
         """The bytes that each text's ids stand for."""
+        if not self.can_decode:
+            self._create("vocabulary", pa.table({"token": list(self.rank.values()), "bytes": [t.hex() for t in self.rank]}))
+            self.can_decode = True
         size = np.array([len(x) // 4 for x in texts], np.int64)
         offsets = np.concatenate(([0], np.cumsum(size)))
         for row, stop in words.row_blocks(offsets, DECODED_AT_ONCE):

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -29,7 +30,9 @@ def _numbered(sources: DataFrame) -> DataFrame:
         before += sizes[part]
     if not starts:
         return runs.select("source", "source_size", F.col("at").alias("place"))
-    first = runs.sparkSession.createDataFrame(starts, "run long, before long")
+    # as Arrow, since rows from a Python list start Python workers on the executors, which then stay
+    columns = (pa.array(c, pa.int64()) for c in zip(*starts, strict=True))
+    first = runs.sparkSession.createDataFrame(pa.table(dict(zip(("run", "before"), columns, strict=True))))
     rank = F.col("at").bitwiseAND(F.lit((1 << 33) - 1)) + F.col("before")
     return runs.withColumn("run", run).join(F.broadcast(first), "run").select(
         "source", "source_size", rank.alias("place")

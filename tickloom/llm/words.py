@@ -148,5 +148,6 @@ def release() -> None:
 def released(batches: Iterator) -> Iterator:
     """The batches; when a task is done, its worker gives unused memory back, as it may live through many stages."""
     yield from batches
+    _POWERS.clear()
     gc.collect()
     release()

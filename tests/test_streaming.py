@@ -9,7 +9,7 @@ from conftest import DATA
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
-from tickloom.operators import candles, ingest
+from tickloom.operators import candles, dedup, ingest
 from tickloom.plans.changes import closed_before
 from tickloom.plans.upkeep import compact_days, expire_days
 from tickloom.schema import BUS_MESSAGE, LAKE_TRADE, RAW_TRADE, TRADE_COLUMNS
@@ -17,6 +17,7 @@ from tickloom.sinks.tables import MARKER, partition_values
 from tickloom.sources import events as ev
 from tickloom.sources.bus import file_stream, text_stream
 from tickloom.sources.lake import read_lake, read_table
+from tickloom.streaming import live as live_module
 from tickloom.streaming.archive import load_and_archive, load_to_jdbc
 from tickloom.streaming.ingest import ingest_realtime, ingest_to_lake, normalize_to_lake, read_realtime
 from tickloom.streaming.live import (
@@ -191,6 +192,27 @@ def test_live_replays_touch_nothing_and_versions_touch_both_candles(spark, bus,
     assert live.shown() == {1: (1.0, 1.0, 1), 2: (2.0, 2.0, 1), 4: (4.0, 4.0, 1), 5: (5.0, 5.0, 1), 8: (7.0, 7.0, 1), 1500: (3.5, 3.5, 1)}
 
 
+def test_a_live_batch_resolves_its_own_trades_once(spark, bus, live, monkeypatch):
+    """Only the trades of other batches are looked up again for the candles a batch touches."""
+    looked = []
+
+    def latest(rows, *order):
+        looked.append(sorted(r.trade_id for r in rows.select("trade_id").distinct().collect()))
+        return dedup.latest_per_key(rows, *order)
+
+    monkeypatch.setattr(live_module, "latest_per_key", latest)
+    bus(message(1, 0, 1.0), message(2, 0.5, 2.0), message(1, 0, 1.0), message(3, 3, 3.0))
+    live.run()
+    assert live.shown() == {0: (1.0, 2.0, 2), 3: (3.0, 3.0, 1)} and looked == []
+    bus(message(4, 0.7, 4.0), message(2, 0.5, 2.0))
+    live.run()
+    assert live.shown() == {0: (1.0, 4.0, 3), 3: (3.0, 3.0, 1)} and looked == [[1]]
+    # a version that moves a trade takes it out of a candle that holds trades of both batches
+    bus(message(2, 5, 2.5))
+    live.run()
+    assert live.shown() == {0: (1.0, 4.0, 2), 3: (3.0, 3.0, 1), 5: (2.5, 2.5, 1)} and looked[1:] == [[1, 4]]
+
+
 def test_live_stream_keeps_what_it_cannot_show(spark, bus, live):
     far = 6000 * 365 * 24 * 60
     bus(message(1, 0), message(9, far), message(None, 0), "nope", message(5, 3, 1e15), message(6, 3, symbol="s" * 30))

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from tickloom.functions.bitmaps import ID_KEY, has_bit, holders, id_bitmaps, merge_bitmaps
+from tickloom.functions.bitmaps import holders, id_bitmaps, merge_bitmaps
 from tickloom.functions.times import bucket_start, check_day_bucket, seconds_interval, seconds_of
 from tickloom.operators.candles import CANDLE_INPUT, ohlcv
 from tickloom.operators.dedup import CANDLE_KEY, TRADE_KEY, dedup_candles, latest_per_key, trade_order
@@ -62,50 +62,58 @@ def _only(rows: DataFrame, keys: DataFrame) -> DataFrame:
     return rows.join(renamed, same, "left_semi")
 
 
-def _known_days(index: DataFrame, mine: DataFrame, low: int, high: int) -> list[str]:
-    """Days that hold ids of ``mine`` already; its buckets lie between ``low`` and ``high``."""
-    place = {"bucket": F.bitmap_bucket_number("trade_id"), "position": F.bitmap_bit_position("trade_id")}
-    renamed, _ = _same_key(mine.select("symbol", "trade_id").withColumns(place).select(*ID_KEY, "position"))
-    near = index.where(F.col("bucket").between(low, high))
-    met = near.join(renamed, F.col("symbol").eqNullSafe(F.col("_symbol")) & (F.col("bucket") == F.col("_bucket")))
-    found = met.where(has_bit(F.col("bits"), F.col("_position"))).select(F.col("insert_date").cast("string")).distinct()
-    return sorted(r[0] for r in found.collect())
+def winners_of(old: DataFrame, mine: DataFrame) -> DataFrame:
+    """The last version of every trade of a batch (``CANDLE_INPUT``), the time of the version it
+    beats (``before``), and whether the batch changed it.
 
-
-def touched_candles(old: DataFrame, mine: DataFrame, bucket: str | int) -> DataFrame:
-    """period_start and symbol of the candles a batch changes.
-
-    ``old`` has the stored versions of the batch's trades. A copy changes no winner and touches nothing;
-    a newer version touches its own candle and that of the version it beats.
+    ``old`` has the stored versions of the batch's trades.
     """
     order = trade_order(CANDLE_INPUT)
     rows = old.select(*CANDLE_INPUT, F.lit(False).alias("new")).unionByName(mine.select(*CANDLE_INPUT, F.lit(True).alias("new")))
     version = F.struct(*order)
     known = F.max(F.when(~F.col("new"), version))
-    winners = rows.groupBy(*TRADE_KEY).agg(known.alias("before"), F.max(version).alias("after"))
-    changed = winners.where(~F.col("before").eqNullSafe(F.col("after")))
-    times = changed.select("symbol", F.explode(F.array("before.trade_time", "after.trade_time")).alias("time")).where("time IS NOT NULL")
+    both = rows.groupBy(*TRADE_KEY).agg(known.alias("before"), F.max(version).alias("after"))
+    changed = ~F.col("before").eqNullSafe(F.col("after"))
+    return both.select(*TRADE_KEY, "after.*", F.col("before.trade_time").alias("before"), changed.alias("changed"))
+
+
+def touched_candles(winners: DataFrame, bucket: str | int) -> DataFrame:
+    """period_start and symbol of the candles a batch changes.
+
+    A copy changes no winner and touches nothing; a newer version touches its own candle and
+    that of the version it beats.
+    """
+    times = winners.where("changed").select("symbol", F.explode(F.array("before", "trade_time")).alias("time")).where("time IS NOT NULL")
     return times.select(bucket_start(F.col("time"), bucket).alias("period_start"), "symbol").distinct()
 
 
-def _rebuilt(spark: SparkSession, tables: LiveTables, touched: DataFrame, bucket: str | int, span) -> DataFrame:
-    """The touched candles from all stored trades; one without a trade left has the count 0.
+def _rebuilt(
+    spark: SparkSession, tables: LiveTables, name: str, winners: DataFrame, touched: DataFrame, bucket: str | int, span
+) -> DataFrame:
+    """The touched candles from the batch's winners and all other trades; one without a trade left has the count 0.
 
-    ``span`` has the first and last period touched and the days they are in.
+    Every version of the batch's trades went into ``winners``, so only the trades it does not have are looked
+    up in what other batches stored. ``span`` has the first and last period touched and the days they are in.
     """
     first, last, days = span["first"], span["last"], span["days"]
     start_of = bucket_start(F.col("trade_time"), bucket)
     end = F.lit(last) + seconds_interval(seconds_of(bucket))
-    near = read_days(spark, tables.trades, LIVE_TRADE, days).where((F.col("trade_time") >= F.lit(first)) & (F.col("trade_time") < end))
-    inside = _only(near.withColumn("period_start", start_of), touched)
-    index = read_table(spark, tables.ids, LIVE_IDS)
-    elsewhere = {str(r[0]) for r in holders(index, id_bitmaps(inside), "insert_date").collect()}
-    stored = read_days(spark, tables.trades, LIVE_TRADE, sorted(elsewhere | set(days)))
-    versions = _only(stored, inside.select(*TRADE_KEY)).select(*CANDLE_INPUT)
-    order = trade_order(CANDLE_INPUT)
-    latest = latest_per_key(versions, TRADE_KEY, order[:1], order[1:])
-    winners = _only(latest.withColumn("period_start", start_of), touched)
-    made = ohlcv(winners.drop("period_start"), bucket)
+    other = F.col("batch") != name
+    near = read_days(spark, tables.trades, LIVE_TRADE, days).where(other & (F.col("trade_time") >= F.lit(first)) & (F.col("trade_time") < end))
+    keys, same = _same_key(winners.select(*TRADE_KEY))
+    inside = _only(near.withColumn("period_start", start_of), touched).join(keys, same, "left_anti").select(*CANDLE_INPUT).persist()
+    try:
+        index = read_table(spark, tables.ids, LIVE_IDS).where(other)
+        elsewhere = {str(r[0]) for r in holders(index, id_bitmaps(inside), "insert_date").collect()}
+        made = winners.select(*CANDLE_INPUT)
+        if elsewhere:
+            stored = read_days(spark, tables.trades, LIVE_TRADE, sorted(elsewhere | set(days))).where(other)
+            versions = _only(stored, inside.select(*TRADE_KEY)).select(*CANDLE_INPUT)
+            order = trade_order(CANDLE_INPUT)
+            made = made.unionByName(latest_per_key(versions, TRADE_KEY, order[:1], order[1:]))
+    finally:
+        inside.unpersist()
+    made = ohlcv(_only(made.withColumn("period_start", start_of), touched).drop("period_start"), bucket)
     renamed, same = _same_key(touched)
     whole = renamed.join(made, same, "left")
     nothing = F.coalesce("trades_count", F.lit(0).cast("int"))
@@ -151,32 +159,36 @@ def live_candles(
     def write(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
         name = batch_name(session, batch_id)
-        named = with_batch(with_closed_days(batch, closed_before(session, tables.trades)), batch_id).persist()
+        named = with_batch(with_closed_days(batch, closed_before(session, tables.trades)), batch_id)
+        # only what is refused is stored with its message
+        named = named.withColumn("value", F.when(F.col("reject_reason").isNotNull(), F.col("value"))).persist()
         try:
             good = conform_raw(accepted(named).drop("value")).withColumn("insert_date", F.to_date("trade_time"))
             write_batch(good, tables.trades, ["insert_date", "batch"])
             write_batch(quarantined(named), tables.quarantine, ["batch"])
-            number = F.bitmap_bucket_number("trade_id")
-            came = good.agg(_found_days(F.col("insert_date")).alias("days"), F.min(number).alias("low"), F.max(number).alias("high")).first()
+            days = good.agg(_found_days(F.col("insert_date")).alias("days")).first()["days"]
         finally:
             named.unpersist()
-        if not came["days"]:
+        if not days:
             return
-        mine = read_days(session, tables.trades, LIVE_TRADE, came["days"]).where(F.col("batch") == name)
+        mine = read_days(session, tables.trades, LIVE_TRADE, days).where(F.col("batch") == name)
         write_batch(id_bitmaps(mine, "insert_date", "batch").hint("rebalance", "insert_date"), tables.ids, ["insert_date", "batch"])
+        ids = read_days(session, tables.ids, LIVE_IDS, days).where(F.col("batch") == name)
         others = read_table(session, tables.ids, LIVE_IDS).where(F.col("batch") != name)
-        known_days = _known_days(others, mine, came["low"], came["high"])
+        known_days = sorted(str(r[0]) for r in holders(others, ids, "insert_date").collect())
         known = read_days(session, tables.trades, LIVE_TRADE, known_days).where(F.col("batch") != name)
-        touched = touched_candles(_only(known, mine.select(*TRADE_KEY)), mine, bucket).persist()
+        winners = winners_of(_only(known, mine.select(*TRADE_KEY)), mine).persist()
+        touched = touched_candles(winners, bucket).persist()
         try:
             period = F.col("period_start")
             span = touched.agg(F.min(period).alias("first"), F.max(period).alias("last"), _found_days(F.to_date(period)).alias("days")).first()
             if span["days"]:
-                made = with_period_date(_rebuilt(session, tables, touched, bucket, span))
+                made = with_period_date(_rebuilt(session, tables, name, winners, touched, bucket, span))
                 rows = with_batch(made, batch_id).withColumn("version", F.lit(base + batch_id).cast("long"))
                 write_batch(rows.hint("rebalance", "period_date"), tables.candles, ["period_date", "batch"])
         finally:
             touched.unpersist()
+            winners.unpersist()
 
     return start(checked, write, checkpoint, every, "append")
 
